@@ -1,0 +1 @@
+"""Empty on purpose: every job of the covered feature set is a batch job."""
