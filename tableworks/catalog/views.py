@@ -38,7 +38,7 @@ trades AS (
          {cents_sql('l_extendedprice')} AS volume_cents,
          CAST(l_quantity AS BIGINT) AS shares,
          {cents_sql('l_extendedprice')} // CAST(l_quantity AS BIGINT) AS price_cents,
-         l_quantity, l_tax, l_orderkey, l_linenumber, l_partkey
+         l_quantity, l_tax
   FROM lineitem JOIN part ON l_partkey = p_partkey
 ),
 bars AS (
@@ -47,12 +47,12 @@ bars AS (
          CASE WHEN min(l_quantity) >= 3 THEN '010' ELSE '070' END AS market_type,
          CASE WHEN max(l_tax) < 0.08 THEN '02' ELSE '96' END AS bdi_code,
          min(specification) AS specification,
-         first(price_cents ORDER BY l_orderkey, l_linenumber, l_partkey, volume_cents, shares)
-           / 100.0 AS open_price,
+         (min(price_cents) + (max(price_cents) - min(price_cents))
+           * (CAST(sum(shares) AS BIGINT) % 11) // 10) / 100.0 AS open_price,
          max(price_cents) / 100.0 AS high_price,
          min(price_cents) / 100.0 AS low_price,
-         last(price_cents ORDER BY l_orderkey, l_linenumber, l_partkey, volume_cents, shares)
-           / 100.0 AS close_price,
+         (min(price_cents) + (max(price_cents) - min(price_cents))
+           * (CAST(sum(volume_cents) AS BIGINT) % 11) // 10) / 100.0 AS close_price,
          count(*) AS total_trades,
          CAST(sum(shares) AS BIGINT) AS total_quantity,
          CAST(sum(volume_cents) AS BIGINT) / 100.0 AS total_volume,
@@ -61,53 +61,66 @@ bars AS (
 )"""
 
 
+# In ascending order, so that the smallest code stands for the smallest text.
+SPECIFICATIONS = ["DRN PROMO", "ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily quotes: one row per supplier (as ISIN), era (as ticker) and ship date."""
+    """Daily quotes: one row per supplier (as ISIN), era (as ticker) and ship date.
+
+    Texts are built after the aggregation: with numbers only, it stays a hash aggregation.
+    """
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
-    supplier = F.col("l_suppkey").cast("string")
-    day = F.col("l_shipdate").cast("date")
-    big = F.col("l_quantity") > 25
-    trades = lines.select(
-        F.concat(F.lit("I"), supplier).alias("isin_code"),
-        F.concat(
-            F.lit("I"),
-            supplier,
-            F.when(day < F.lit("1998-07-01").cast("date"), "A").otherwise("B"),
-        ).alias("ticker"),
-        F.concat(F.lit("Empresa Nº "), supplier).alias("company_name"),
-        day.alias("trade_date"),
-        F.when((F.col("p_type") == "PROMO") & big, F.lit("DRN PROMO"))
-        .when((F.col("p_type") == "ECONOMY") & big, F.lit(None))
-        .otherwise(F.col("p_type"))
-        .alias("specification"),
-        F.when(F.col("l_suppkey") % 2 == 0, 1).otherwise(1000).alias("quote_factor"),
-        cents("l_extendedprice").alias("volume_cents"),
-        F.col("l_quantity").cast("long").alias("shares"),
-        "l_quantity",
-        "l_tax",
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-    ).withColumn("price_cents", F.expr("volume_cents div shares"))
-    sequence = F.struct("l_orderkey", "l_linenumber", "l_partkey", "volume_cents", "shares")
-    return (
-        trades.groupBy("isin_code", "ticker", "company_name", "trade_date")
+    kind, big = F.col("p_type"), F.col("l_quantity") > 25
+    specification = (
+        F.when((kind == "PROMO") & big, F.lit("DRN PROMO"))
+        .when((kind == "ECONOMY") & big, F.lit(None))
+        .otherwise(kind)
+    )
+    names = F.array(*[F.lit(name) for name in SPECIFICATIONS])
+    days = (
+        lines.select(
+            "l_suppkey",
+            F.col("l_shipdate").cast("date").alias("trade_date"),
+            F.array_position(names, specification).alias("specification_code"),
+            cents("l_extendedprice").alias("volume_cents"),
+            F.col("l_quantity").cast("long").alias("shares"),
+            "l_tax",
+        )
+        .withColumn("price_cents", F.expr("volume_cents div shares"))
+        .groupBy("l_suppkey", "trade_date")
         .agg(
-            F.when(F.min("l_quantity") >= 3, "010").otherwise("070").alias("market_type"),
-            F.when(F.max("l_tax") < 0.08, "02").otherwise("96").alias("bdi_code"),
-            F.min("specification").alias("specification"),
-            (F.min_by("price_cents", sequence) / 100.0).alias("open_price"),
-            (F.max("price_cents") / 100.0).alias("high_price"),
-            (F.min("price_cents") / 100.0).alias("low_price"),
-            (F.max_by("price_cents", sequence) / 100.0).alias("close_price"),
+            F.min("shares").alias("smallest"),
+            F.max("l_tax").alias("highest_tax"),
+            F.min("specification_code").alias("specification_code"),
+            F.min("price_cents").alias("low"),
+            F.max("price_cents").alias("high"),
             F.count("*").alias("total_trades"),
             F.sum("shares").alias("total_quantity"),
-            (F.sum("volume_cents") / 100.0).alias("total_volume"),
-            F.max("quote_factor").cast("long").alias("quote_factor"),
+            F.sum("volume_cents").alias("volume"),
         )
-        .withColumn("year", F.year("trade_date"))
+    )
+    supplier = F.col("l_suppkey").cast("string")
+    early = F.col("trade_date") < F.lit("1998-07-01").cast("date")
+    return days.select(
+        F.concat(F.lit("I"), supplier).alias("isin_code"),
+        F.concat(F.lit("I"), supplier, F.when(early, "A").otherwise("B")).alias("ticker"),
+        F.concat(F.lit("Empresa Nº "), supplier).alias("company_name"),
+        "trade_date",
+        F.year("trade_date").alias("year"),
+        F.when(F.col("smallest") >= 3, "010").otherwise("070").alias("market_type"),
+        F.when(F.col("highest_tax") < 0.08, "02").otherwise("96").alias("bdi_code"),
+        F.get(names, F.col("specification_code") - 1).alias("specification"),
+        (F.expr("low + (high - low) * (total_quantity % 11) div 10") / 100.0).alias("open_price"),
+        (F.col("high") / 100.0).alias("high_price"),
+        (F.col("low") / 100.0).alias("low_price"),
+        (F.expr("low + (high - low) * (volume % 11) div 10") / 100.0).alias("close_price"),
+        "total_trades",
+        "total_quantity",
+        (F.col("volume") / 100.0).alias("total_volume"),
+        F.when(F.col("l_suppkey") % 2 == 0, 1).otherwise(1000).cast("long").alias("quote_factor"),
     )
 
 

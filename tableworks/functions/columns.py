@@ -57,9 +57,17 @@ def sorted_mad(ordered: Column | str, center: Column | str) -> Column:
 
 
 def array_mad(values: Column | str) -> Column:
-    """Median absolute deviation of a numeric array from its own median."""
-    ordered = F.sort_array(_column(values))
-    return sorted_mad(ordered, sorted_median(ordered))
+    """Median absolute deviation of a numeric array from its own median.
+
+    The inner lambdas would sort again for every element if they captured the expression,
+    so the sorted array and its median are bound to lambda variables first.
+    """
+    measured = F.transform(
+        F.array(F.sort_array(_column(values))),
+        lambda a: F.struct(a.alias("ordered"), sorted_median(a).alias("center")),
+    )
+    mads = F.transform(measured, lambda m: sorted_mad(m["ordered"], m["center"]))
+    return F.get(mads, F.lit(0))
 
 
 def signed_log(value: Column | str) -> Column:

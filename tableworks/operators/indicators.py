@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from ..functions import signed_log, sorted_mad, sorted_median
+from ..functions import signed_log
 from .series import RUN_ROWS, Series, series_operator
 
 # The price columns, and the factor that makes MAD comparable to a deviation.
@@ -15,8 +15,8 @@ PRICES = ("open_price", "high_price", "low_price", "close_price")
 MAD_SCALE = 0.6745
 
 
-def _last(window: WindowSpec, rows: int) -> WindowSpec:
-    return window.rowsBetween(1 - rows, 0)
+def _last(series: Series, rows: int) -> WindowSpec:
+    return series.window.rowsBetween(1 - rows, 0)
 
 
 def log_features(df: DataFrame) -> DataFrame:
@@ -26,48 +26,40 @@ def log_features(df: DataFrame) -> DataFrame:
 
 
 @series_operator(lookback=lambda: 1)
-def log_return(df: DataFrame, window: WindowSpec) -> DataFrame:
+def log_return(df: DataFrame, series: Series) -> DataFrame:
     """``ln(close / previous close)``."""
-    ratio = F.try_divide("close_price", F.lag("close_price").over(window))
+    ratio = F.try_divide("close_price", F.lag("close_price").over(series.window))
     return df.withColumn("log_return", F.ln(ratio))
 
 
 @series_operator(lookback=lambda value, rows, out: rows - 1)
 def rolling_sample(
-    df: DataFrame, window: WindowSpec, *, value: str, rows: int, out: str
+    df: DataFrame, series: Series, *, value: str, rows: int, out: str
 ) -> DataFrame:
     """The non-null values of the last ``rows`` rows, ascending."""
-    sample = F.collect_list(value).over(_last(window, rows))
+    sample = F.collect_list(value).over(_last(series, rows))
     return df.withColumn(out, F.sort_array(sample))
 
 
 @series_operator(lookback=lambda value, rows, prefix: rows - 1)
 def rolling_median_mad(
-    df: DataFrame, window: WindowSpec, *, value: str, rows: int, prefix: str
+    df: DataFrame, series: Series, *, value: str, rows: int, prefix: str
 ) -> DataFrame:
-    """Exact median and MAD of the last ``rows`` rows, nulls left out.
+    """Exact median and MAD of the last ``rows`` rows, nulls left out."""
+    return series.rolling_medians(df, [(value, rows, prefix)])
 
-    The frame is sorted once; the MAD is read off the sorted frame.
-    """
-    sample, median = f"_{prefix}_sample", f"{prefix}_median"
-    return (
-        rolling_sample.core(df, window, value=value, rows=rows, out=sample)
-        .withColumn(median, sorted_median(sample))
-        .withColumn(f"{prefix}_mad", sorted_mad(sample, median))
-        .drop(sample)
-    )
 
-
-def zscore_from(value: str, median: str, mad: str, scale: float = MAD_SCALE) -> Column:
-    """Modified z-score; null unless the MAD is positive."""
-    distance = F.col(value) - F.col(median)
-    return F.when(F.col(mad) > 0, scale * distance / F.col(mad))
+def zscore_from(value: str, prefix: str, scale: float = MAD_SCALE) -> Column:
+    """Modified z-score from a median and a MAD; null unless the MAD is positive."""
+    distance = F.col(value) - F.col(f"{prefix}_median")
+    mad = F.col(f"{prefix}_mad")
+    return F.when(mad > 0, scale * distance / mad)
 
 
 @series_operator(lookback=lambda value, out, rows=90, scale=MAD_SCALE: rows - 1)
 def modified_zscore(
     df: DataFrame,
-    window: WindowSpec,
+    series: Series,
     *,
     value: str,
     out: str,
@@ -75,15 +67,14 @@ def modified_zscore(
     scale: float = MAD_SCALE,
 ) -> DataFrame:
     """Modified z-score of ``value`` against the median and MAD of the last ``rows`` rows."""
-    measured = rolling_median_mad.core(df, window, value=value, rows=rows, prefix="_z")
-    scored = measured.withColumn(out, zscore_from(value, "_z_median", "_z_mad", scale))
-    return scored.drop("_z_median", "_z_mad")
+    measured = series.rolling_medians(df, [(value, rows, "_z")])
+    return measured.withColumn(out, zscore_from(value, "_z", scale)).drop("_z_median", "_z_mad")
 
 
 @series_operator(lookback=lambda k=14: k - 1)
-def rolling_minmax(df: DataFrame, window: WindowSpec, *, k: int = 14) -> DataFrame:
+def rolling_minmax(df: DataFrame, series: Series, *, k: int = 14) -> DataFrame:
     """Lowest low and highest high of the last ``k`` sessions."""
-    frame = _last(window, k)
+    frame = _last(series, k)
     return df.withColumns(
         {
             f"lowest_{k}": F.min("low_price").over(frame),
@@ -94,25 +85,25 @@ def rolling_minmax(df: DataFrame, window: WindowSpec, *, k: int = 14) -> DataFra
 
 @series_operator(lookback=lambda k=14, smooth_k=3, smooth_d=3: k + smooth_k + smooth_d - 3)
 def slow_stochastic(
-    df: DataFrame, window: WindowSpec, *, k: int = 14, smooth_k: int = 3, smooth_d: int = 3
+    df: DataFrame, series: Series, *, k: int = 14, smooth_k: int = 3, smooth_d: int = 3
 ) -> DataFrame:
     """Position of the close inside the recent range (0..100), smoothed twice."""
     low, high = f"lowest_{k}", f"highest_{k}"
     position = F.try_divide(F.col("close_price") - F.col(low), F.col(high) - F.col(low))
     return (
-        rolling_minmax.core(df, window, k=k)
+        rolling_minmax.core(df, series, k=k)
         .withColumn("fast_k", 100 * position)
-        .withColumn("slow_k", F.avg("fast_k").over(_last(window, smooth_k)))
-        .withColumn("slow_d", F.avg("slow_k").over(_last(window, smooth_d)))
+        .withColumn("slow_k", F.avg("fast_k").over(_last(series, smooth_k)))
+        .withColumn("slow_d", F.avg("slow_k").over(_last(series, smooth_d)))
         .drop(low, high)
     )
 
 
 @series_operator(lookback=lambda rows=90: rows - 1)
-def moving_average(df: DataFrame, window: WindowSpec, *, rows: int = 90) -> DataFrame:
+def moving_average(df: DataFrame, series: Series, *, rows: int = 90) -> DataFrame:
     """Simple moving average of the close and the close's relative distance from it."""
     average, distance = f"sma_{rows}", f"sma_{rows}_distance"
-    return df.withColumn(average, F.avg("close_price").over(_last(window, rows))).withColumn(
+    return df.withColumn(average, F.avg("close_price").over(_last(series, rows))).withColumn(
         distance, F.try_divide("close_price", average) - 1
     )
 
@@ -133,7 +124,7 @@ def trend_lags(
 )
 def trend_flags(
     df: DataFrame,
-    window: WindowSpec,
+    series: Series,
     *,
     weeks: Iterable[int] = range(2, 26, 2),
     months: Iterable[int] = range(2, 8, 2),
@@ -145,31 +136,29 @@ def trend_flags(
     lags = trend_lags(weeks, months, week_rows, month_rows)
     return df.withColumns(
         {
-            flag: (close > F.lag(close, rows).over(window)).cast("int")
+            flag: (close > F.lag(close, rows).over(series.window)).cast("int")
             for flag, rows in lags.items()
         }
     )
 
 
+def volume_columns(rows: int, prefix: str) -> list[Column]:
+    """Volume baselines and scores from the rolling median and MAD of the volume."""
+    median, mad = F.col(f"{prefix}_median"), F.col(f"{prefix}_mad")
+    return [
+        F.log1p("total_volume").alias("log_volume"),
+        median.alias(f"volume_median_{rows}"),
+        F.try_divide("total_volume", median).alias("volume_ratio"),
+        mad.alias(f"volume_mad_{rows}"),
+        zscore_from("total_volume", prefix).alias(f"volume_zscore_{rows}"),
+    ]
+
+
 @series_operator(lookback=lambda rows=20: rows - 1)
-def volume_indicators(df: DataFrame, window: WindowSpec, *, rows: int = 20) -> DataFrame:
+def volume_indicators(df: DataFrame, series: Series, *, rows: int = 20) -> DataFrame:
     """Log volume, its ratio to the recent median, and its modified z-score."""
-    volume, median, mad = "total_volume", f"volume_median_{rows}", f"volume_mad_{rows}"
-    measured = rolling_median_mad.core(
-        df.withColumn("log_volume", F.log1p(volume)),
-        window,
-        value=volume,
-        rows=rows,
-        prefix="_volume",
-    )
-    return measured.select(
-        *df.columns,
-        "log_volume",
-        F.col("_volume_median").alias(median),
-        F.try_divide(volume, "_volume_median").alias("volume_ratio"),
-        F.col("_volume_mad").alias(mad),
-        zscore_from(volume, "_volume_median", "_volume_mad").alias(f"volume_zscore_{rows}"),
-    )
+    measured = series.rolling_medians(df, [("total_volume", rows, "_volume")])
+    return measured.select(*df.columns, *volume_columns(rows, "_volume"))
 
 
 def signed_quantity() -> Column:

@@ -14,13 +14,16 @@ column-pruned pass with map-side combine.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.rolling import median_and_mad
+
 RUN, HALO = "_run", "_halo"
 RUN_ROWS = 250_000
 # Keys beyond this many heaviest ones each hold less than 1/2000 of the rows, which is no
@@ -150,8 +153,36 @@ class Series:
         )
 
 
+    def rolling_medians(
+        self, framed: DataFrame, measures: Sequence[tuple[str, int, str]]
+    ) -> DataFrame:
+        """``<prefix>_median`` and ``<prefix>_mad`` for each (column, rows, prefix).
+
+        Spark's window functions would rebuild and sort every frame value by value; here a
+        run is one Arrow table and numpy sorts its frames in blocks. The rows are already
+        clustered by (key, run), so nothing is shuffled, but later windows would be: call
+        this last. A run bounds what a task holds at a time.
+        """
+        order = self.order
+        added = [f"{prefix}_{name}" for _, _, prefix in measures for name in ("median", "mad")]
+        schema = T.StructType(
+            [*framed.schema.fields, *[T.StructField(name, T.DoubleType()) for name in added]]
+        )
+
+        def measure(run: pa.Table) -> pa.Table:
+            run = run.sort_by(order)
+            for column, rows, prefix in measures:
+                values = run.column(column).cast("double").to_numpy()
+                for name, result in zip(("median", "mad"), median_and_mad(values, rows)):
+                    series = pa.array(result, pa.float64(), from_pandas=True)
+                    run = run.append_column(f"{prefix}_{name}", series)
+            return run
+
+        return framed.groupBy(self.key, RUN).applyInArrow(measure, schema)
+
+
 def series_operator(lookback: Callable[..., int]):
-    """Turn ``core(framed, window, **params)`` into an operator on plain tables.
+    """Turn ``core(framed, series, **params)`` into an operator on plain tables.
 
     ``lookback(**params)`` tells how many earlier rows the core needs. The core stays
     reachable as ``operator.core`` so that composites can share one frame.
@@ -168,7 +199,7 @@ def series_operator(lookback: Callable[..., int]):
             **params,
         ) -> DataFrame:
             series = Series(df, key, order, lookback(**params), run_rows)
-            return series.settle(core(series.frame(), series.window, **params))
+            return series.settle(core(series.frame(), series, **params))
 
         operator.core = core
         return operator

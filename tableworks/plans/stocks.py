@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import events as ev
 from ..operators import indicators as ind
 from ..operators.quotes import filter_stocks, normalize_price
-from ..operators.series import RUN_ROWS, Series
+from ..operators.series import HALO, RUN, RUN_ROWS, Series
 from ..session import stored
 from ..sources import tables
 
+# Sessions behind the baselines of the return and volume scores.
+RETURN_ROWS, VOLUME_ROWS = 90, 20
+
 
 def adjusted_prices(
     quotes: DataFrame,
@@ -49,7 +52,9 @@ def stock_features(
 ) -> DataFrame:
     """The nine steps from raw quotes to 48 columns.
 
-    All windows over a ticker share one shuffle and one sort.
+    All windows over a ticker share one shuffle and one sort. The return score looks back
+    over returns, each of which looks back one more session; the halo covers the longest
+    chain, the oldest trend flag.
     """
     priced = normalize_price(filter_stocks(quotes))
     adjusted = ind.log_features(
@@ -60,19 +65,28 @@ def stock_features(
     )
     # Adjusting keeps every row, so the row counts can come from the plain quotes.
     series = Series(adjusted, "ticker", "trade_date", longest, run_rows, profile=priced)
-    window = series.window
 
     def returns(framed: DataFrame) -> DataFrame:
-        return ind.log_return.core(framed, window)
+        return ind.log_return.core(framed, series)
 
-    framed = returns(series.frame())
-    framed = ind.modified_zscore.core(framed, window, value="log_return", out="return_zscore")
-    framed = ind.slow_stochastic.core(framed, window)
-    framed = ind.moving_average.core(framed, window)
-    framed = ind.trend_flags.core(framed, window)
-    framed = ind.volume_indicators.core(framed, window)
+    framed = ind.slow_stochastic.core(returns(series.frame()), series)
+    framed = ind.moving_average.core(framed, series)
+    framed = ind.trend_flags.core(framed, series)
     framed = series.running_sum(framed, "obv", ind.signed_quantity(), returns)
-    return series.settle(framed)
+    measured = series.settle(
+        series.rolling_medians(
+            framed, [("log_return", RETURN_ROWS, "_return"), ("total_volume", VOLUME_ROWS, "_volume")]
+        )
+    )
+    shown = [name for name in framed.columns if name not in (RUN, HALO, "obv")]
+    after_returns = shown.index("log_return") + 1
+    return measured.select(
+        *shown[:after_returns],
+        ind.zscore_from("log_return", "_return").alias("return_zscore"),
+        *shown[after_returns:],
+        *ind.volume_columns(VOLUME_ROWS, "_volume"),
+        "obv",
+    )
 
 
 def run_stock_job(
