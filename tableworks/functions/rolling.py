@@ -1,8 +1,12 @@
-"""Rolling order statistics of one ordered series, vectorised over blocks of rows."""
+"""Rolling order statistics over Arrow batches of sorted series, vectorised with numpy."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK_ROWS = 4096
 
@@ -14,20 +18,74 @@ def _middle(ordered: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, (ordered[each, low] + ordered[each, high]) / 2, np.nan)
 
 
-def median_and_mad(values: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Exact median and MAD of the last ``rows`` entries at every position.
+def median_and_mad(
+    values: np.ndarray, depth: np.ndarray, rows: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Exact median and MAD of the last ``rows`` entries at the last ``len(depth)`` positions.
 
-    NaN marks a missing entry and is left out; a frame without entries gives NaN. The MAD
-    measures every entry of the frame against the frame's own median.
+    ``depth`` is how many entries before a position belong to the same series. NaN marks a
+    missing entry and is left out; a frame without entries gives NaN. The MAD measures
+    every entry of the frame against the frame's own median.
     """
+    size = len(depth)
     padded = np.concatenate([np.full(rows - 1, np.nan), values])
-    frames = np.lib.stride_tricks.sliding_window_view(padded, rows)
-    median, mad = np.empty(len(values)), np.empty(len(values))
-    for start in range(0, len(values), BLOCK_ROWS):
+    frames = np.lib.stride_tricks.sliding_window_view(padded, rows)[-size:]
+    age = np.arange(rows - 1, -1, -1)
+    median, mad = np.empty(size), np.empty(size)
+    for start in range(0, size, BLOCK_ROWS):
         block = slice(start, start + BLOCK_ROWS)
-        ordered = np.sort(frames[block], axis=1)
+        own = np.where(age <= depth[block, None], frames[block], np.nan)
+        ordered = np.sort(own, axis=1)
         counts = rows - np.isnan(ordered).sum(axis=1)
         median[block] = _middle(ordered, counts)
         deviations = np.abs(ordered - median[block, None])
         mad[block] = _middle(np.sort(deviations, axis=1), counts)
     return median, mad
+
+
+def _repeats(column: pa.Array) -> np.ndarray:
+    """Whether each entry but the first equals the one before it; nulls equal each other."""
+    before, after = column.slice(0, len(column) - 1), column.slice(1)
+    equal = pc.fill_null(pc.equal(before, after), False)
+    both_null = pc.and_(pc.is_null(before), pc.is_null(after))
+    return pc.or_(equal, both_null).to_numpy(zero_copy_only=False)
+
+
+def add_medians(
+    batches: Iterator[pa.RecordBatch],
+    keys: Sequence[str],
+    measures: Sequence[tuple[str, int, str]],
+) -> Iterator[pa.RecordBatch]:
+    """Append ``<prefix>_median`` and ``<prefix>_mad`` for each (column, rows, prefix).
+
+    The batches hold whole series, contiguous and in order. Between batches only the last
+    key and the last ``rows - 1`` entries of each measure are kept.
+    """
+    last_keys: list[pa.Array] | None = None
+    last_depth = -1
+    tails = {prefix: np.empty(0) for _, _, prefix in measures}
+    for batch in batches:
+        size = batch.num_rows
+        if size == 0:
+            continue
+        columns = [batch.column(key) for key in keys]
+        if last_keys is None:
+            last_keys = [column.slice(0, 1) for column in columns]
+        joined = [pa.concat_arrays(pair) for pair in zip(last_keys, columns)]
+        same = np.logical_and.reduce([_repeats(column) for column in joined])
+        # Depth counts up inside a series and continues the one of the previous batch.
+        position = np.arange(size)
+        start = np.maximum.accumulate(np.where(same, -1 - last_depth, position))
+        depth = position - start
+
+        arrays, names = list(batch.columns), list(batch.schema.names)
+        for column, rows, prefix in measures:
+            values = batch.column(column).cast("double").to_numpy(zero_copy_only=False)
+            known = np.concatenate([tails[prefix], values])
+            for name, result in zip(("median", "mad"), median_and_mad(known, depth, rows)):
+                arrays.append(pa.array(result, pa.float64(), from_pandas=True))
+                names.append(f"{prefix}_{name}")
+            tails[prefix] = known[len(known) - min(rows - 1, len(known)) :]
+        last_keys = [column.slice(size - 1, 1) for column in columns]
+        last_depth = int(depth[-1])
+        yield pa.RecordBatch.from_arrays(arrays, names)

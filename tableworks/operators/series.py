@@ -16,13 +16,13 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.rolling import median_and_mad
+from ..functions.rolling import add_medians
 
 RUN, HALO = "_run", "_halo"
 RUN_ROWS = 250_000
@@ -104,7 +104,7 @@ class Series:
         return placed.select(self.key, "_bucket", F.array_compact(runs).alias("_runs"))
 
     def frame(self, cut_only: bool = False) -> DataFrame:
-        """The rows with their run, halo copies included.
+        """The rows with their run, halo copies included, clustered by (key, run).
 
         The broadcast side holds at most ``CUT_KEYS`` keys times the buckets of the order
         range; when no series is cut it is empty and adaptive execution removes the join.
@@ -119,6 +119,7 @@ class Series:
                 *self.df.columns,
                 F.inline(F.coalesce("_runs", whole)).alias(RUN, HALO),
             )
+            .repartition(self.key, RUN)
         )
 
     def settle(self, framed: DataFrame) -> DataFrame:
@@ -158,27 +159,18 @@ class Series:
     ) -> DataFrame:
         """``<prefix>_median`` and ``<prefix>_mad`` for each (column, rows, prefix).
 
-        Spark's window functions would rebuild and sort every frame value by value; here a
-        run is one Arrow table and numpy sorts its frames in blocks. The rows are already
-        clustered by (key, run), so nothing is shuffled, but later windows would be: call
-        this last. A run bounds what a task holds at a time.
+        Spark's window functions would rebuild and sort every frame value by value; here
+        the rows stream through Arrow batches and numpy sorts many frames at once. A frame
+        is clustered by (key, run), so nothing is shuffled, and after other windows over
+        the series the sort is there already. Later windows would shuffle: call this last.
         """
-        order = self.order
         added = [f"{prefix}_{name}" for _, _, prefix in measures for name in ("median", "mad")]
         schema = T.StructType(
             [*framed.schema.fields, *[T.StructField(name, T.DoubleType()) for name in added]]
         )
-
-        def measure(run: pa.Table) -> pa.Table:
-            run = run.sort_by(order)
-            for column, rows, prefix in measures:
-                values = run.column(column).cast("double").to_numpy()
-                for name, result in zip(("median", "mad"), median_and_mad(values, rows)):
-                    series = pa.array(result, pa.float64(), from_pandas=True)
-                    run = run.append_column(f"{prefix}_{name}", series)
-            return run
-
-        return framed.groupBy(self.key, RUN).applyInArrow(measure, schema)
+        ordered = framed.sortWithinPartitions(self.key, RUN, self.order)
+        stream = partial(add_medians, keys=(self.key, RUN), measures=tuple(measures))
+        return ordered.mapInArrow(stream, schema)
 
 
 def series_operator(lookback: Callable[..., int]):
