@@ -83,14 +83,15 @@ def match_ratio(
 ) -> Column:
     """Round ratio (or its inverse) within ``tolerance`` of ``raw`` on a log scale, else null.
 
-    The logarithms of the candidates are literals, so a row costs one ``ln`` and comparisons.
+    A ratio and its inverse have opposite logarithms, so one comparison covers both.
     """
-    raw_log = F.ln(_column(raw))
-    match = F.lit(None).cast("double")
-    for candidate in reversed([*ratios, *(1 / ratio for ratio in ratios)]):
-        close = F.abs(raw_log - math.log(candidate)) <= tolerance
-        match = F.when(close, F.lit(candidate)).otherwise(match)
-    return match
+    move = F.ln(_column(raw))
+    size = F.abs(move)
+    first, *others = ratios
+    ratio = F.when(F.abs(size - math.log(first)) <= tolerance, F.lit(first))
+    for candidate in others:
+        ratio = ratio.when(F.abs(size - math.log(candidate)) <= tolerance, F.lit(candidate))
+    return F.when(move < 0, 1 / ratio).otherwise(ratio)
 
 
 def null_safe_corr(x: Column | str, y: Column | str) -> Column:

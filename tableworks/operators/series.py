@@ -7,8 +7,8 @@ cut into runs of consecutive rows; a run also receives copies of the last rows b
 sees exactly the frame it would see in the uncut series. Halo rows are dropped afterwards.
 
 Short series are never cut: they keep run 0 and one shuffle on (key, run) serves all of
-their windows. The cut points come from row counts per (key, coarse order value), a
-column-pruned pass with map-side combine.
+their windows. A column-pruned pass counts the rows per key; the cut points of the long
+series come from their counts per coarse order value. Both combine before the shuffle.
 """
 
 from __future__ import annotations
@@ -62,25 +62,27 @@ class Series:
     def cuts(self) -> DataFrame:
         """(key, bucket, runs): the runs that need the rows of a bucket, for cut series only."""
         source = self.df if self.profile is None else self.profile
-        sizes = (
-            source.select(self.key, _coarse(source, self.order).alias("_bucket"))
-            .groupBy(self.key, "_bucket")
-            .agg(F.count(F.lit(1)).alias("_rows"))
-        )
+        rows = F.count(F.lit(1))
         long_keys = (
-            sizes.groupBy(self.key)
-            .agg(F.sum("_rows").alias("_total"))
-            .filter(F.col("_total") > 2 * self.run_rows)
+            source.groupBy(self.key)
+            .agg(rows.alias("_total"))
+            .where(F.col("_total") > 2 * self.run_rows)
             .orderBy(F.desc("_total"))
             .limit(CUT_KEYS)
             .select(self.key)
         )
+        # Without long series this side is empty and never runs.
+        sizes = (
+            source.select(self.key, _coarse(source, self.order).alias("_bucket"))
+            .join(F.broadcast(long_keys), self.key)
+            .groupBy(self.key, "_bucket")
+            .agg(rows.alias("_rows"))
+        )
         by_key = Window.partitionBy(self.key)
         later_runs = by_key.orderBy(RUN).rangeBetween(1, Window.unboundedFollowing)
         run_rows = max(self.run_rows, self.lookback, 1)
         placed = (
-            sizes.join(F.broadcast(long_keys), self.key)
-            .withColumn("_stop", F.sum("_rows").over(by_key.orderBy("_bucket")))
+            sizes.withColumn("_stop", F.sum("_rows").over(by_key.orderBy("_bucket")))
             .withColumn("_start", F.col("_stop") - F.col("_rows"))
             .withColumn(RUN, F.floor(F.col("_start") / run_rows).cast("int") + 1)
             # A run is at least as long as the halo, so only the next two can need a bucket.
