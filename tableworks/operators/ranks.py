@@ -12,7 +12,8 @@ from ..functions import null_safe_corr
 from ..session import stored
 from .reshape import average_all, unpivot
 
-BUCKETS = 512
+# Buckets are tasks of the ranking windows at full size, and rows of its prefix sums.
+BUCKETS = 2048
 
 
 def value_splits(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:

@@ -42,6 +42,8 @@ def _coarse(df: DataFrame, order: str) -> Column:
 class Series:
     """One table seen as ordered series.
 
+    Order values are meant to be unique within a key; equal ones always share a run.
+
     lookback: rows before the current one that the widest (chained) frame needs.
     run_rows: target rows of a run; series of more than twice as many are cut.
     profile: optional cheaper table holding the same (key, order) rows, used for counting.

@@ -64,20 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives the loss of any executor."""
-    spark = df.sparkSession
-    root = _shared_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint()
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once below the shared folder and read back.
 
-    Unlike a checkpoint the copy is columnar, so later passes still prune columns and
-    push filters into the scan.
+    It cuts the lineage like a checkpoint, so a lost executor costs no recomputation, but
+    the copy is columnar: later passes prune columns and push filters into the scan.
+    Whoever owns the folder clears it, as with checkpoints.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
