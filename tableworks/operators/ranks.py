@@ -12,15 +12,19 @@ from ..functions import null_safe_corr
 from ..session import stored
 from .reshape import average_all, unpivot
 
-# Buckets are tasks of the ranking windows at full size, and rows of its prefix sums.
-BUCKETS = 2048
+# Upper limit of the quantile pass: this many bounds reach the driver.
+MAX_BUCKETS = 2_048
 
 
-def value_splits(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
+def value_splits(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
     """At most ``buckets - 1`` inner bounds that cut the rows into near-equal parts.
 
-    The bounds only balance the work: any bounds give the same ranks.
+    The bounds only balance the work: any bounds give the same ranks. By default there are
+    four buckets per shuffle partition.
     """
+    if buckets is None:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(2, min(4 * tasks, MAX_BUCKETS))
     shares = [step / buckets for step in range(1, buckets)]
     bounds = df.approxQuantile(value, shares, 1 / (4 * buckets))
     # The bucketizer wants at least one inner bound.
