@@ -48,24 +48,30 @@ _BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
 
 @dataclass(frozen=True)
 class _Reader:
-    """Casts one slice of a line; a strict reader fails on bad input, a lax one gives null."""
+    """Casts one slice of a line; a strict reader fails on bad input, a lax one gives null.
+
+    Slices are bytes: Latin-1 has one byte per character, so a slice is found by its offset
+    without walking the line, and only text is decoded. The byte 1 stands for a blank.
+    """
 
     strict: bool
     price_scale: float
 
     def whole(self, raw: Column) -> Column:
-        return raw.cast("long") if self.strict else raw.try_cast("long")
+        digits = raw.cast("string")
+        return digits.cast("long") if self.strict else digits.try_cast("long")
 
     def read(self, raw: Column, kind: str) -> Column:
         match kind:
             case "text":
-                return F.btrim(raw, F.lit(_BLANKS))
+                text = F.replace(F.decode(raw, ENCODING), F.lit("\x01"), F.lit(" "))
+                return F.btrim(text, F.lit(_BLANKS))
             case "int":
                 return self.whole(raw)
             case "price":
                 return self.whole(raw) / self.price_scale
             case "date":
-                return (F.to_date if self.strict else F.try_to_date)(raw, "yyyyMMdd")
+                return (F.to_date if self.strict else F.try_to_date)(raw.cast("string"), "yyyyMMdd")
         raise ValueError(f"unknown field kind {kind!r}")
 
 
@@ -86,16 +92,16 @@ def parse_fixed_width(
     Header and trailer lines have another record type in their first two characters.
     """
     reader = _Reader(strict, price_scale)
-    text = F.col("value")
-    if dict(lines.dtypes)["value"] == "binary":
-        text = F.decode(text, ENCODING)
-    # The byte 1 stands for a blank in the source files.
-    records = lines.select(F.translate(text, "\x01", " ").alias("line")).where(
-        F.substring("line", 1, 2) == record_type
-    )
-    return records.select(
-        *[
-            reader.read(F.substring("line", start, end - start + 1), kind).alias(name)
-            for name, start, end, kind in layout
-        ]
+    line = F.col("value")
+    if dict(lines.dtypes)["value"] == "string":
+        line = F.encode(line, ENCODING)
+    return (
+        lines.select(line.alias("line"))
+        .where(F.substring("line", 1, 2) == F.lit(record_type.encode()))
+        .select(
+            *[
+                reader.read(F.substring("line", start, end - start + 1), kind).alias(name)
+                for name, start, end, kind in layout
+            ]
+        )
     )
