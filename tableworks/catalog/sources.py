@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources import archives, delimited, events_json, fixed_width, tables
 from . import views
 from .registry import query
@@ -155,7 +155,9 @@ QUOTE_FIELDS_SQL = """trade_date, bdi_code, ticker, market_type,
 
 @query(f"WITH {views.BARS_SQL} SELECT {QUOTE_FIELDS_SQL} FROM bars")
 def parse_fixed_width(spark, sf_dir):
-    parsed = fixed_width.parse_fixed_width(quote_lines(spark, sf_dir))
+    # Stored like a raw file; parsed lazily, Spark would build each line once per field.
+    lines = stored(quote_lines(spark, sf_dir), "quote-lines")
+    parsed = fixed_width.parse_fixed_width(lines)
     return parsed.drop(
         "forward_term", "best_bid_price", "best_ask_price", "strike_price",
         "correction_indicator", "strike_points",
