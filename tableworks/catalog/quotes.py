@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import audits
 from ..operators import events as ev
 from ..operators import indicators as ind
 from ..operators import quotes as q
@@ -458,7 +459,7 @@ def back_adjust(spark, sf_dir):
     return snapped(ev.back_adjust(priced(spark, sf_dir), events), ADJUSTED)
 
 
-# The published steps alone already move every price; this is the composite used by the job.
+# The same result through stored steps, whose true size decides between broadcast and merge.
 @query(f"{ADJUSTED_SQL} SELECT * REPLACE ({snapped_sql(ADJUSTED)}) FROM adjusted")
 def join_broadcast_left(spark, sf_dir):
     adjusted = adjusted_prices(
@@ -532,9 +533,7 @@ def pipeline_chain(spark, sf_dir):
 
 @query(f"{PRICED_SQL} SELECT year, count(*) AS rows FROM bars GROUP BY year")
 def count_by_year(spark, sf_dir):
-    from ..operators.audits import count_by_year as by_year
-
-    return by_year(views.bars(spark, sf_dir), "trade_date")
+    return audits.count_by_year(views.bars(spark, sf_dir), "trade_date")
 
 
 WEEKLY = ["close_price", "total_quantity", "day_trade", "log_return"]
