@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decontaminate
 from . import near_copies as copies
 from . import quality_rules as rules
+from . import secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.contaminated(documents, benchmark)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, sf_dir, "documents"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -109,12 +116,19 @@ LEFT JOIN f2 ON true
 """
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.find_secrets(texts).drop("text")
+
+
 def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.near_copies(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op4_decontaminate": op4_decontaminate,
     "op6_quality_rules": op6_quality_rules,
+    "op9_secrets": op9_secrets,
     "op10_near_copies": op10_near_copies,
 }
 
