@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from . import decontaminate
 from . import near_copies as copies
+from . import personal_data, pieces
 from . import quality_rules as rules
 from . import secrets
 
+#: A public vocabulary file; the operators take its path as a parameter.
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -19,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_data.find_personal_data(texts).drop("text")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.contaminated(documents, benchmark)
@@ -116,6 +125,18 @@ LEFT JOIN f2 ON true
 """
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(texts, pieces.broadcast(spark, MODEL_PATH))
+    return encoded.select(
+        "doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        "nbest",
+        "round_trip",
+    )
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.find_secrets(texts).drop("text")
@@ -126,8 +147,10 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_personal_data": op3_personal_data,
     "op4_decontaminate": op4_decontaminate,
     "op6_quality_rules": op6_quality_rules,
+    "op8_pieces": op8_pieces,
     "op9_secrets": op9_secrets,
     "op10_near_copies": op10_near_copies,
 }
