@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import chats, decontaminate, language
 from . import near_copies as copies
-from . import personal_data, pieces
+from . import personal_data, pieces, quality_model
 from . import quality_rules as rules
 from . import secrets
+from .shared import training_row
 
 #: A public vocabulary file; the operators take its path as a parameter.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -23,6 +24,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(fixed).alias("text"),
+    )
+    turns = said.unionByName(extra).withColumn("parts", chats.text_parts(F.col("text")))
+    return chats.read_back(chats.format_turns(turns.drop("text")))
+
+
+def _op1_sql() -> str:
+    return rf"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, length(text) + length(text) - length(replace(text, '', ''))
+    + len(regexp_extract_all(text, '{chats.PATTERN}')) AS escaped
+  FROM said
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS every,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text)
+      FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(escaped + length(role) + length('[TURN][TEXT][/TURN]')) AS formatted_chars
+  FROM marked GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(every) AS turns_sha256,
+  CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars,
+  CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS expanded_tokens
+FROM whole
+"""
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    profiles = language.learn(documents.where(training_row(F.col("doc_id"))))
+    found = language.identify(documents.select("doc_id", "text"), profiles)
+    held_out = ~training_row(F.col("doc_id"))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     return personal_data.find_personal_data(texts).drop("text")
@@ -33,6 +82,15 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents, benchmark)
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    learnable = training_row(F.col("doc_id"))
+    labelled = documents.where(learnable).join(labels.where(learnable), "doc_id")
+    scored = quality_model.score(documents, quality_model.fit(labelled))
+    return scored.select("doc_id", (~learnable).alias("held_out"), "score", "predicted")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, sf_dir, "documents"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -147,8 +205,11 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_chats": op1_chats,
+    "op2_language": op2_language,
     "op3_personal_data": op3_personal_data,
     "op4_decontaminate": op4_decontaminate,
+    "op5_quality_model": op5_quality_model,
     "op6_quality_rules": op6_quality_rules,
     "op8_pieces": op8_pieces,
     "op9_secrets": op9_secrets,
@@ -161,4 +222,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": _op6_sql()}
+    return {"op1_chats": _op1_sql(), "op6_quality_rules": _op6_sql()}
