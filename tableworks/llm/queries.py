@@ -11,7 +11,7 @@ from . import chats, decontaminate, language
 from . import near_copies as copies
 from . import personal_data, pieces, quality_model
 from . import quality_rules as rules
-from . import secrets
+from . import secrets, url_filters
 from .shared import training_row
 
 #: A public vocabulary file; the operators take its path as a parameter.
@@ -183,6 +183,21 @@ LEFT JOIN f2 ON true
 """
 
 
+#: Fixed rules of the query.
+RULES = [
+    url_filters.Rule("block", "net"),
+    url_filters.Rule("allow", "example.net", "/en/"),
+    url_filters.Rule("block", "example.com", "/de/"),
+    url_filters.Rule("allow", "org", "/fr/"),
+]
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filters.judge_urls(pages, RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = pieces.encode(texts, pieces.broadcast(spark, MODEL_PATH))
@@ -211,6 +226,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_quality_model": op5_quality_model,
     "op6_quality_rules": op6_quality_rules,
+    "op7_url_filters": op7_url_filters,
     "op8_pieces": op8_pieces,
     "op9_secrets": op9_secrets,
     "op10_near_copies": op10_near_copies,
