@@ -29,9 +29,9 @@ SHINGLE, SEED = 3, 42
 RADIUS = 3
 
 #: Fingerprints aimed at in a shard, most shards, and most sampled fingerprints per shard.
-SHARD_SIZE, MAX_SHARDS, SAMPLE_PER_SHARD = 4096, 1 << 16, 64
+SHARD_SIZE, MAX_SHARDS, SAMPLE_PER_SHARD = 8192, 1 << 16, 64
 #: Below this a leaf is compared directly; vantage points tried at each split.
-LEAF_SIZE, VANTAGES = 256, 6
+LEAF_SIZE, VANTAGES = 512, 6
 #: Leaves that no vantage point splits and that hold more than this probe by flipped bits.
 DENSE_LEAF = 8192
 
@@ -82,7 +82,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
 def best_split(points: np.ndarray, radius: int) -> tuple[np.uint64, int] | None:
     """Vantage point and ``mu`` of the cheapest split, or none if no split shrinks the work."""
     tried = points[np.linspace(0, len(points) - 1, VANTAGES).astype(int)]
-    best, cost = None, 0.8 * len(points) ** 2
+    best, cost = None, 0.95 * len(points) ** 2.0
     for vantage in tried:
         upto = np.cumsum(np.bincount(np.bitwise_count(points ^ vantage), minlength=65))
         left = upto[np.minimum(np.arange(65) + radius, 64)].astype(float)
@@ -97,31 +97,29 @@ def _dense_labels(points: np.ndarray, radius: int) -> np.ndarray:
     """Components of many mutually close fingerprints: linear in their number.
 
     Two of them are within the radius exactly if one, with up to half of the radius flipped,
-    equals the other with the rest flipped.
+    equals the other with the rest flipped. All that reach a key with half of the radius are
+    within the radius of each other, so a key stands for one component.
     """
     near, far = _masks(radius // 2), _masks(radius - radius // 2)
-    keys = (points[:, None] ^ near[None, :]).ravel()
-    owner = np.repeat(np.arange(len(points)), len(near))
-    order = np.argsort(keys, kind="stable")
-    keys, owner = keys[order], owner[order]
-    parent = np.arange(len(points))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    keys, key = np.unique((points[:, None] ^ near[None, :]).ravel(), return_inverse=True)
+    point = np.repeat(np.arange(len(points)), len(near))
+    links = [(point, key)]
     for mask in far:
         probe = points ^ mask
-        lo, hi = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
-        for i in np.flatnonzero(hi > lo):
-            # All owners of a key are within the radius of i.
-            for j in np.unique(owner[lo[i] : hi[i]]):
-                a, b = root(i), root(int(j))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-    return np.array([root(i) for i in range(len(points))])
+        at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
+        hit = np.flatnonzero(keys[at] == probe)
+        links.append((hit, at[hit]))
+    point, key = (np.concatenate(side) for side in zip(*links, strict=True))
+    labels = np.arange(len(points))
+    while True:
+        by_key = np.full(len(keys), len(points))
+        np.minimum.at(by_key, key, labels[point])
+        found = labels.copy()
+        np.minimum.at(found, point, by_key[key])
+        found = found[found]
+        if (found == labels).all():
+            return labels
+        labels = found
 
 
 def _masks(flips: int) -> np.ndarray:
@@ -131,20 +129,34 @@ def _masks(flips: int) -> np.ndarray:
     return np.array(sorted(masks), np.uint64)
 
 
+def _close(points: np.ndarray, radius: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """Rows of the matrix that tells which points are within the radius."""
+    rows = max(1, (1 << 18) // len(points))
+    for at in range(0, len(points), rows):
+        own = slice(at, at + rows)
+        yield own, np.bitwise_count(points[own, None] ^ points[None, :]) <= radius
+
+
 def _leaf_labels(points: np.ndarray, radius: int) -> np.ndarray:
     """Index of the smallest connected point, for sorted points."""
-    if len(points) > DENSE_LEAF:
-        return _dense_labels(points, radius)
     labels = np.arange(len(points))
-    rows = max(1, (1 << 20) // len(points))
+    if not len(points):
+        return labels
+    counts = np.concatenate([np.count_nonzero(near, axis=1) for _, near in _close(points, radius)])
+    linked = np.flatnonzero(counts > 1)
+    if not len(linked):
+        return labels
+    if len(linked) > DENSE_LEAF:
+        labels[linked] = linked[_dense_labels(points[linked], radius)]
+        return labels
+    some, own = points[linked], np.arange(len(linked))
     while True:
-        before = labels
-        labels = labels.copy()
-        for at in range(0, len(points), rows):
-            close = np.bitwise_count(points[at : at + rows, None] ^ points[None, :]) <= radius
-            np.minimum(labels[at : at + rows], np.where(close, before, len(points)).min(axis=1), out=labels[at : at + rows])
-        labels = labels[labels]
-        if (labels == before).all():
+        before, own = own, own.copy()
+        for rows, near in _close(some, radius):
+            own[rows] = np.where(near, before, len(some)).min(axis=1)
+        own = own[own]
+        if (own == before).all():
+            labels[linked] = linked[own]
             return labels
 
 
@@ -242,6 +254,8 @@ def star_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     dealt = prints.select("fingerprint_bits").mapInArrow(deal, "shard long, point long")
+    # The rows are few bytes and much work: a number given here is not coalesced.
+    dealt = dealt.repartition(tree.value.shards, "shard")
     return dealt.groupBy("shard").applyInArrow(link, "a long, b long").distinct()
 
 
