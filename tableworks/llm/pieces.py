@@ -63,10 +63,18 @@ class Vocabulary:
         self.longest = max((len(text) for text, *_ in pieces), default=1)
         worst = min((score for _, score, _ in pieces), default=0.0)
         self.unknown_score = worst - UNKNOWN_PENALTY
+        # A letter that only longer pieces have gets an id of its own, which is spelt in the end.
+        self.real_ids = 1 + max([unknown, *byte_ids.values(), *(id_ for *_, id_ in pieces)])
+        self.stand_ins = {}
+        for letter in letters:
+            own = int(self.classes[ord(letter)])
+            if (own,) not in self.by_text:
+                self.by_text[own,] = self.unknown_score, self.real_ids + own
+                self.stand_ins[self.real_ids + own] = self.spelt(ord(letter))
         self.letters = mixed(np.arange(len(letters) + 1, dtype=np.uint64) + np.uint64(77))
         self.powers = np.cumprod(np.r_[np.uint64(1), np.full(TOGETHER, _BASE)], dtype=np.uint64)
         self._slots()
-        texts: list[bytes] = [b""] * (1 + max([unknown, *byte_ids.values(), *(i for *_, i in pieces)]))
+        texts: list[bytes] = [b""] * self.real_ids
         for text, _, id_ in pieces:
             texts[id_] = text.replace(chr(BLANK), " ").encode()
         for value, id_ in byte_ids.items():
@@ -123,12 +131,10 @@ class Vocabulary:
                 piece = self.by_text.get(own[start:end])
                 if piece:
                     found[end].append((start, *piece))
-            if not any(start == end - 1 for start, *_ in found[end]):
-                found[end].append((end - 1, self.unknown_score, -1))
         return found
 
     def search(self, own: tuple[int, ...], n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best segmentations; an id of -1 stands for a letter without a piece."""
+        """The ``n`` best segmentations of a stretch of classes: scores and ids."""
         edges = self.edges(own)
         forward = [0.0] + [float("-inf")] * len(own)
         for end in range(1, len(own) + 1):
@@ -179,17 +185,12 @@ class Vocabulary:
             for size in range(1, min(j, self.longest) + 1):
                 value = hashes[j, :n] - hashes[j - size, :n] * self.powers[size]
                 slot, score = self.look_up(value)
-                if size == 1:
-                    bare = score <= _WORST
-                    score[bare] = self.unknown_score
                 scores[j, size] = score
                 total = forward[j - size, :n] + score
                 better = np.flatnonzero(total > forward[j, :n])
                 forward[j, better] = total[better]
                 back[j, better] = size
                 taken[j, better] = self.ids[slot[better]]
-                if size == 1:
-                    taken[j, np.flatnonzero(bare)] = -1
         every = np.arange(count)
         on_best = np.zeros((width + 1, count), bool)
         ids, n_ids = np.zeros((count, width), np.int32), np.zeros(count, np.int64)
@@ -258,7 +259,7 @@ class Vocabulary:
             ways = [(0.0, ())]
             for k in near:
                 own = owner[low + k]
-                found = self._searched(keys[own], n)
+                found = self._ways(keys[own], n, pool[first[own] :][: n_ids[own]])
                 ways = heapq.nsmallest(
                     n,
                     [
@@ -273,7 +274,7 @@ class Vocabulary:
                 edits = []
                 for k, other in sorted(path):
                     own = owner[low + k]
-                    put = self._searched(keys[own], n)[other][1]
+                    put = self._ways(keys[own], n, pool[first[own] :][: n_ids[own]])[other][1]
                     edits.append((int(places[low + k] - begin), int(n_ids[own]), list(put)))
                 entries.append((total - lost, edits))
             nbest.append(entries)
@@ -281,7 +282,18 @@ class Vocabulary:
 
     @functools.lru_cache(maxsize=100_000)  # noqa: B019  one vocabulary per process
     def _searched(self, own: tuple[int, ...], n: int):
-        return self.search(own, n)
+        return [(score, self._spelt_out(ids)) for score, ids in self.search(own, n)]
+
+    def _ways(self, own: tuple[int, ...], n: int, best: np.ndarray):
+        """The ``n`` best of a stretch, led by the one that the forward pass chose among equals."""
+        found, first = self._searched(own, n), tuple(best.tolist())
+        others = [way for way in found if way[1] != first]
+        return [(found[0][0], first), *others][:n]
+
+    def _spelt_out(self, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if not self.stand_ins or max(ids) < self.real_ids:
+            return ids
+        return tuple(x for id_ in ids for x in self.stand_ins.get(id_, (id_,)))
 
     def _stretches(self, codes, letters, starts, sizes):
         """Each different stretch once: score, ids, loss of the second best, and who has it."""
@@ -310,9 +322,14 @@ class Vocabulary:
             inside = np.arange(width)[None, :] < size[common][:, None]
             rows_of = np.where(inside, letters[np.minimum(at, len(letters) - 1)], 0)
             best[common], ids, n_own, loss[common] = self.passes(rows_of, size[common])
-            n_ids[common] = n_own
             filled = np.arange(ids.shape[1])[None, :] < n_own[:, None]
-            pool_parts.append(ids[filled])
+            if (filled & (ids >= self.real_ids)).any():
+                rows = [self._spelt_out(tuple(r[:k].tolist())) for r, k in zip(ids, n_own, strict=True)]
+                n_own = np.array([len(row) for row in rows])
+                pool_parts.append(np.array([x for row in rows for x in row], np.int32))
+            else:
+                pool_parts.append(ids[filled])
+            n_ids[common] = n_own
             first[common] = np.cumsum(n_own) - n_own
             used = int(n_own.sum())
         for k in np.flatnonzero(is_bare | (size > TOGETHER)):
@@ -321,7 +338,7 @@ class Vocabulary:
             else:
                 own = tuple(letters[start[k] : start[k] + size[k]].tolist())
                 found = self.search(own, 2)
-                best[k], ids_k = found[0]
+                best[k], ids_k = found[0][0], self._spelt_out(found[0][1])
                 loss[k] = found[0][0] - found[1][0] if len(found) > 1 else 1e30
             n_ids[k], first[k] = len(ids_k), used
             pool_parts.append(np.array(ids_k, np.int32))
@@ -382,7 +399,9 @@ def encode(docs: DataFrame, vocabulary, text: str = "text", n: int = N_BEST, kee
     new = StructType.fromDDL(ENCODED)
     names = {name.lower() for name in new.fieldNames()}
     passed = [c for c in docs.columns if c.lower() not in names and (keep_text or c != text)]
-    source = docs.select(*[quoted(c) for c in passed], quoted(text).cast("string").alias("_encoded_text"))
+    # Plain names on the way: those with dots cannot be passed by name.
+    plain = [quoted(c).alias(f"_{k}") for k, c in enumerate(passed)]
+    source = docs.select(*plain, quoted(text).cast("string").alias("_text"))
     schema = StructType([*source.schema.fields[:-1], *new.fields])
     kinds = list(to_arrow_schema(new))
 
@@ -412,7 +431,7 @@ def encode(docs: DataFrame, vocabulary, text: str = "text", n: int = N_BEST, kee
                 columns = [*kept, pieces.cast(kinds[0].type), pa.array(ways, kinds[1].type), pa.array(same)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*passed, *new.fieldNames())
 
 
 def decode(encoded: DataFrame, vocabulary, pieces: str = "pieces", into: str = "decoded") -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .texts import as_bytes, byte_set, with_text_columns
+from .texts import as_bytes, byte_set, quoted, with_text_columns
 
 SPANS = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
@@ -256,4 +256,5 @@ def _redact(texts: pa.Array) -> dict[str, list]:
 def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``[SECRET]`` for every secret in ``text``; null texts stay null."""
     marked = with_text_columns(docs, text, _redact, "_redacted string")
-    return marked.withColumn(text, F.col("_redacted")).drop("_redacted").select(*docs.columns)
+    kept = [F.col("_redacted").alias(c) if c == text else quoted(c) for c in docs.columns]
+    return marked.select(*kept)

@@ -80,7 +80,9 @@ def with_text_columns(
     names = StructType.fromDDL(schema).fieldNames()
     new = {name.lower() for name in names}
     kept = [quoted(name) for name in df.columns if name.lower() not in new]
-    packed = "_".join(["found", *sorted({name.lower() for name in df.columns} | new)])[:200] + "_"
+    packed = "_found"
+    while packed in new or packed in {name.lower() for name in df.columns}:
+        packed += "_"
     found = text_udf(work, schema)(quoted(column).cast("string")).alias(packed)
     return df.select(*kept, found).select(*kept, *[F.col(packed)[n].alias(n) for n in names])
 
