@@ -188,6 +188,7 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFra
 
     def work(texts: pa.Array) -> dict[str, list]:
         names, scores = held.value.predict(as_strings(texts))
-        return {"lang_pred": names, "score": scores}
+        # Sums depend on how rows were batched, in the last digits.
+        return {"lang_pred": names, "score": np.round(scores, 6)}
 
     return with_text_columns(docs, text, work, PREDICTED)
