@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import hashed_sample
 from .texts import as_bytes, quoted, with_text_columns
 
 EMBEDDING, WIDTH, STEP, FILTERS = 6, 8, 4, 24
@@ -155,14 +156,29 @@ def train(texts: list[bytes], labels: list[int]) -> ByteNetwork:
 
 
 def fit(
-    labelled: DataFrame, text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    rows: int = SAMPLE_ROWS,
 ) -> ByteNetwork:
-    """A network from at most ``rows`` rows with a label, drawn by a hash of the text."""
-    known = labelled.where(quoted(label).isNotNull()).select(
-        F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"), quoted(label).cast("int").alias("label")
+    """A network from about ``rows`` rows with a label, at most half as many again.
+
+    The labels are sampled first, so that no more than these rows' texts move. A key with several
+    labels or texts has them all.
+    """
+    known = labels.where(quoted(label).isNotNull() & quoted(key).isNotNull())
+    sampled = hashed_sample(
+        known.select(quoted(key).alias("_key"), quoted(label).cast("int").alias("_label")), rows
+    )
+    texts = docs.select(
+        quoted(key).alias("_own"), F.coalesce(quoted(text).cast("string"), F.lit("")).alias("_text")
     )
-    drawn = known.orderBy(F.xxhash64("text"), "text", "label").limit(rows).collect()
-    return train([row["text"].encode() for row in drawn], [int(row["label"] > 0) for row in drawn])
+    # The sample has a proven bound.
+    found = texts.join(F.broadcast(sampled), F.col("_own") == F.col("_key")).select("_text", "_label")
+    drawn = found.orderBy(F.xxhash64("_text"), "_text", "_label").limit(rows * 3 // 2).collect()
+    return train([row[0].encode() for row in drawn], [int(row[1] > 0) for row in drawn])
 
 
 def score(docs: DataFrame, network: ByteNetwork, text: str = "text") -> DataFrame:

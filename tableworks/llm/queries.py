@@ -86,8 +86,8 @@ def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     learnable = training_row(F.col("doc_id"))
-    labelled = documents.where(learnable).join(labels.where(learnable), "doc_id")
-    scored = quality_model.score(documents, quality_model.fit(labelled))
+    network = quality_model.fit(documents, labels.where(learnable))
+    scored = quality_model.score(documents, network)
     return scored.select("doc_id", (~learnable).alias("held_out"), "score", "predicted")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +18,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def tasks_for(df: DataFrame, per_task: int, rows: int) -> int:
-    """Partitions for ``rows`` rows, at least as many as the session shuffles to."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, math.ceil(rows / per_task))
+def hashed_sample(df: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` different rows, picked by their hashes; all of them where there are fewer.
+
+    Which rows are picked depends on nothing but the rows and their number. Tasks drop the others
+    where they stand, so what leaves a task is its share of the sample.
+    """
+    total, whole = df.count(), 1 << 30
+    share = min(whole, int(rows * whole / max(total, 1)) + 1)
+    return df.where(F.pmod(F.xxhash64(*df.columns), F.lit(whole)) < share).distinct()
 
 
 def training_row(doc_id) -> F.Column:

@@ -17,10 +17,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import hashed_sample, written
 from .texts import quoted
 
-#: Labelled URLs that training may use at most, and the size of the trees.
+#: Labelled URLs that training may use, and the size of the trees.
 SAMPLE_URLS, TREES, DEPTH, SEED = 20_000, 20, 4, 3
 #: Weight of the overall rate in a suffix's own rate, as a number of URLs.
 PRIOR = 20.0
@@ -142,12 +142,12 @@ def _suffix_table(pages: DataFrame, key: str) -> DataFrame:
 
 
 def train(labelled: DataFrame, rows: int = SAMPLE_URLS) -> GBTClassificationModel | float:
-    """Trees from at most ``rows`` labelled rows drawn by a hash; a constant if all labels agree.
+    """Trees from about ``rows`` labelled rows drawn by a hash; a constant if all labels agree.
 
     ``labelled`` has ``_url``, the features, and ``_label`` (1 is block).
     """
-    drawn = labelled.orderBy(F.xxhash64("_url"), "_url").limit(rows)
-    kept = written(drawn.select("_label", *LEXICAL, *SUFFIX), "labelled-urls")
+    drawn = hashed_sample(labelled.select("_url", "_label", *LEXICAL, *SUFFIX), rows)
+    kept = written(drawn.drop("_url"), "labelled-urls")
     found = [row[0] for row in kept.select("_label").distinct().collect()]
     if len(found) < 2:
         return found[0] if found else 0.0

@@ -56,8 +56,9 @@ def test_gradients_are_those_of_the_loss():
 
 def test_held_out_accuracy(spark):
     folder = SF.replace("0.001", "0.1")
-    docs = spark.read.parquet(f"{folder}/documents.parquet").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
-    network = qm.fit(docs.where(training_row(F.col("doc_id"))))
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels, "doc_id")
+    network = qm.fit(docs, labels.where(training_row(F.col("doc_id"))))
     rest = qm.score(docs.where(~training_row(F.col("doc_id"))).select("text", "quality"), network).collect()
     right = np.mean([r["predicted"] == r["quality"] for r in rest])
     low = [r["predicted"] == 0 for r in rest if r["quality"] == 0]
@@ -65,13 +66,13 @@ def test_held_out_accuracy(spark):
 
 
 def test_odd_rows(odd, none):
-    network = qm.fit(odd.withColumn("quality", F.when(F.col("doc_id") == 5, 0).when(F.col("doc_id").isNotNull(), 1)))
+    network = qm.fit(odd, odd.select("doc_id", F.when(F.col("doc_id") == 5, 0).otherwise(1).alias("quality")))
     rows = qm.score(odd, network).collect()
     assert len(rows) == odd.count()
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
     assert len({r["score"] for r in rows if not r["text"]}) == 1
     assert qm.score(none, network).count() == 0
-    untrained = qm.fit(none.withColumn("quality", F.lit(1)))
+    untrained = qm.fit(odd, none.select("doc_id", F.lit(1).alias("quality")))
     assert {r["score"] for r in qm.score(odd, untrained).collect()} == {0.5}
-    one_class = qm.fit(odd.withColumn("quality", F.lit(1)))
+    one_class = qm.fit(odd, odd.select("doc_id", F.lit(1).alias("quality")))
     assert {r["predicted"] for r in qm.score(odd, one_class).collect()} == {1}
