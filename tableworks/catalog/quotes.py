@@ -300,15 +300,22 @@ def trend_flags(spark, sf_dir):
 
 
 @query(
-    f"""{RETURNS_SQL}, {samples_sql("log_return", 20, "returns")}, sized AS (
-    SELECT ticker, trade_date, len(list(log_return) FILTER (WHERE log_return IS NOT NULL)
-           OVER {frame_sql(20)}) AS n FROM returns)
-    SELECT ticker, trade_date, CAST(coalesce(n, 0) AS INTEGER) AS sample_size FROM sized"""
+    f"""{RETURNS_SQL}, {samples_sql("log_return", 20, "returns")}
+    SELECT ticker, trade_date, CAST(coalesce(len(sample), 0) AS INTEGER) AS sample_size,
+      coalesce(array_to_string(list_transform(sample,
+        lambda v: CAST(floor(v * 1000000 + 0.3711) AS BIGINT)), ','), '') AS sample
+    FROM s"""
 )
 def rolling_collect(spark, sf_dir):
     returns = ind.log_return(sessions(spark, sf_dir))
     sampled = ind.rolling_sample(returns, value="log_return", rows=20, out="sample")
-    return sampled.select("ticker", "trade_date", F.size("sample").alias("sample_size"))
+    millionths = F.transform("sample", lambda v: F.floor(v * 1_000_000.0 + 0.3711).cast("string"))
+    return sampled.select(
+        "ticker",
+        "trade_date",
+        F.size("sample").alias("sample_size"),
+        F.array_join(millionths, ",").alias("sample"),
+    )
 
 
 @query(
@@ -422,35 +429,34 @@ def union_by_name(spark, sf_dir):
     return listed.unionByName(shuffled)
 
 
-EVENT_LIST_SQL = """string_agg(strftime(last_date_prior, '%Y-%m-%d') || ':' || millionths, ','
-           ORDER BY last_date_prior)"""
+EVENT_SQL = """coalesce(strftime(last_date_prior, '%Y-%m-%d'), '') || ':'
+  || coalesce(CAST(CAST(floor(multiplier * 1000000 + 0.3711) AS BIGINT) AS VARCHAR), '')"""
 
 
 @query(
-    f"""{PRICED_SQL}, dated AS (
-    SELECT isin_code, last_date_prior,
-           CAST(floor(product(multiplier) * 1000000 + 0.3711) AS BIGINT) AS millionths
-    FROM ({all_events_sql(1)}) GROUP BY isin_code, last_date_prior)
-    SELECT isin_code, count(*) AS dates, {EVENT_LIST_SQL} AS events FROM dated GROUP BY 1"""
+    f"""{PRICED_SQL} SELECT isin_code, count(*) AS n_events,
+      string_agg({EVENT_SQL}, ',' ORDER BY last_date_prior NULLS FIRST, multiplier NULLS FIRST)
+        AS events
+    FROM ({all_events_sql(1)}) GROUP BY isin_code"""
 )
 def collect_events(spark, sf_dir):
     collected = ev.collect_events(events_in_force(spark, sf_dir, 1))
     entry = F.transform(
         "events",
-        lambda e: F.concat_ws(
-            ":",
-            F.date_format(e["last_date_prior"], "yyyy-MM-dd"),
-            F.floor(e["multiplier"] * 1_000_000.0 + 0.3711).cast("string"),
+        lambda e: F.concat(
+            F.coalesce(F.date_format(e["last_date_prior"], "yyyy-MM-dd"), F.lit("")),
+            F.lit(":"),
+            F.coalesce(F.floor(e["multiplier"] * 1_000_000.0 + 0.3711).cast("string"), F.lit("")),
         ),
     )
     return collected.select(
         "isin_code",
-        F.size("events").cast("long").alias("dates"),
+        F.size("events").cast("long").alias("n_events"),
         F.array_join(entry, ",").alias("events"),
     )
 
 
-ADJUSTED = {price: 3 for price in ind.PRICES} | {"adjustment": 7, "day_trade": 4}
+ADJUSTED = {price: 6 for price in ind.PRICES} | {"adjustment": 7, "day_trade": 6}
 
 
 @query(f"{ADJUSTED_SQL} SELECT * REPLACE ({snapped_sql(ADJUSTED)}) FROM adjusted")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audits, ranks, reshape
-from ..session import stored
 from . import views
 from .registry import query, snap, snap_sql, snapped, snapped_sql
 
@@ -88,12 +87,10 @@ def rank_global(spark, sf_dir):
         .groupBy("product_id", "product_description_lenght")
         .agg(F.count("*").alias("purchases"))
     )
-    groups = stored(groups, "rank-groups")
     ranked = ranks.rank_by_value(
         groups, "product_description_lenght", "description_length_rank"
     )
-    splits = ranks.value_splits(groups, "purchases")
-    ranked = ranks.rank_by_value(ranked, "purchases", "purchases_rank", splits=splits)
+    ranked = ranks.rank_by_value(ranked, "purchases", "purchases_rank")
     return ranked.drop("purchases")
 
 
@@ -105,16 +102,9 @@ def rank_global(spark, sf_dir):
 )
 def rank_partitioned(spark, sf_dir):
     wide = reshape.average_all(views.shopping(spark, sf_dir), "product_id", views.SHOP_LABELS)
-    wide = stored(wide, "rank-features")
     long = reshape.unpivot(wide, ["product_id", "purchases"])
     ranked = ranks.rank_by_value(long, "feature_value", "feature_rank", within=["feature"])
-    ranked = ranks.rank_by_value(
-        ranked,
-        "purchases",
-        "purchases_rank",
-        within=["feature"],
-        splits=ranks.value_splits(wide, "purchases"),
-    )
+    ranked = ranks.rank_by_value(ranked, "purchases", "purchases_rank", within=["feature"])
     return ranked.drop("purchases", "feature_value")
 
 

@@ -338,15 +338,22 @@ def flatten_event_json(spark, sf_dir):
     return events_json.flatten_event_json(company_documents(spark, sf_dir), "document", "company")
 
 
+COMPANIES_SQL = """SELECT c_custkey,
+      CASE c_mktsegment WHEN 'BUILDING' THEN 'DR2' WHEN 'MACHINERY' THEN '' END AS "typeBDR",
+      CASE WHEN c_acctbal < 0 THEN '31/12/9999' WHEN c_acctbal < 5000 THEN '02/01/1998' END
+        AS "dateListing"
+    FROM customer"""
+
+
 @query(
-    """SELECT c_custkey FROM customer
-    WHERE c_mktsegment <> 'BUILDING' AND c_acctbal >= 0"""
+    f"""SELECT * FROM ({COMPANIES_SQL})
+    WHERE coalesce("typeBDR", '') = '' AND "dateListing" IS DISTINCT FROM '31/12/9999'"""
 )
 def filter_listed_companies(spark, sf_dir):
-    segment = F.col("c_mktsegment")
+    segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
     companies = views.table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.when(segment == "BUILDING", "DR2").when(segment == "MACHINERY", "").alias("typeBDR"),
-        F.when(F.col("c_acctbal") < 0, "31/12/9999").otherwise("02/01/1998").alias("dateListing"),
+        F.when(balance < 0, "31/12/9999").when(balance < 5000, "02/01/1998").alias("dateListing"),
     )
-    return events_json.filter_listed_companies(companies).select("c_custkey")
+    return events_json.filter_listed_companies(companies)

@@ -4,49 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import signed_log
-from .series import RUN_ROWS, Series, series_operator
+from .series import last_rows, rolling_medians, running_sum, series_window
 
 # The price columns, and the factor that makes MAD comparable to a deviation.
 PRICES = ("open_price", "high_price", "low_price", "close_price")
 MAD_SCALE = 0.6745
 
+# Where the rows of a series are: what every operator below takes, whole or cut (``series``).
+KEY, ORDER = "ticker", "trade_date"
 
-def _last(series: Series, rows: int) -> WindowSpec:
-    return series.window.rowsBetween(1 - rows, 0)
 
-
-def log_features(df: DataFrame) -> DataFrame:
+def log_columns() -> dict[str, Column]:
     """Logarithms of the prices, and the odd logarithm of the session's own move."""
     logs = {f"log_{price}": F.log1p(price) for price in PRICES}
-    return df.withColumns(logs | {"log_day_trade": signed_log("day_trade")})
+    return logs | {"log_day_trade": signed_log("day_trade")}
+
+
+def log_features(df: DataFrame) -> DataFrame:
+    return df.withColumns(log_columns())
 
 
-@series_operator(lookback=lambda: 1)
-def log_return(df: DataFrame, series: Series) -> DataFrame:
-    """``ln(close / previous close)``."""
-    ratio = F.try_divide("close_price", F.lag("close_price").over(series.window))
-    return df.withColumn("log_return", F.ln(ratio))
+def log_return(df: DataFrame, *, key: str = KEY, order: str = ORDER) -> DataFrame:
+    """``ln(close / previous close)``. Looks back one row."""
+    previous = F.lag("close_price").over(series_window(df, key, order))
+    return df.withColumn("log_return", F.ln(F.try_divide("close_price", previous)))
 
 
-@series_operator(lookback=lambda value, rows, out: rows - 1)
 def rolling_sample(
-    df: DataFrame, series: Series, *, value: str, rows: int, out: str
+    df: DataFrame, *, value: str, rows: int, out: str, key: str = KEY, order: str = ORDER
 ) -> DataFrame:
-    """The non-null values of the last ``rows`` rows, ascending."""
-    sample = F.collect_list(value).over(_last(series, rows))
-    return df.withColumn(out, F.sort_array(sample))
+    """The non-null values of the last ``rows`` rows, in their order."""
+    return df.withColumn(out, F.collect_list(value).over(last_rows(df, key, order, rows)))
 
 
-@series_operator(lookback=lambda value, rows, prefix: rows - 1)
 def rolling_median_mad(
-    df: DataFrame, series: Series, *, value: str, rows: int, prefix: str
+    df: DataFrame, *, value: str, rows: int, prefix: str, key: str = KEY, order: str = ORDER
 ) -> DataFrame:
     """Exact median and MAD of the last ``rows`` rows, nulls left out."""
-    return series.rolling_medians(df, [(value, rows, prefix)])
+    return rolling_medians(df, [(value, rows, prefix)], key=key, order=order)
 
 
 def zscore_from(value: str, prefix: str, scale: float = MAD_SCALE) -> Column:
@@ -56,25 +55,26 @@ def zscore_from(value: str, prefix: str, scale: float = MAD_SCALE) -> Column:
     return F.when(mad > 0, scale * distance / mad)
 
 
-@series_operator(lookback=lambda value, out, rows=90, scale=MAD_SCALE: rows - 1)
 def modified_zscore(
     df: DataFrame,
-    series: Series,
     *,
     value: str,
     out: str,
     rows: int = 90,
     scale: float = MAD_SCALE,
+    key: str = KEY,
+    order: str = ORDER,
 ) -> DataFrame:
     """Modified z-score of ``value`` against the median and MAD of the last ``rows`` rows."""
-    measured = series.rolling_medians(df, [(value, rows, "_z")])
+    measured = rolling_medians(df, [(value, rows, "_z")], key=key, order=order)
     return measured.withColumn(out, zscore_from(value, "_z", scale)).drop("_z_median", "_z_mad")
 
 
-@series_operator(lookback=lambda k=14: k - 1)
-def rolling_minmax(df: DataFrame, series: Series, *, k: int = 14) -> DataFrame:
+def rolling_minmax(
+    df: DataFrame, *, k: int = 14, key: str = KEY, order: str = ORDER
+) -> DataFrame:
     """Lowest low and highest high of the last ``k`` sessions."""
-    frame = _last(series, k)
+    frame = last_rows(df, key, order, k)
     return df.withColumns(
         {
             f"lowest_{k}": F.min("low_price").over(frame),
@@ -83,28 +83,42 @@ def rolling_minmax(df: DataFrame, series: Series, *, k: int = 14) -> DataFrame:
     )
 
 
-@series_operator(lookback=lambda k=14, smooth_k=3, smooth_d=3: k + smooth_k + smooth_d - 3)
 def slow_stochastic(
-    df: DataFrame, series: Series, *, k: int = 14, smooth_k: int = 3, smooth_d: int = 3
+    df: DataFrame,
+    *,
+    k: int = 14,
+    smooth_k: int = 3,
+    smooth_d: int = 3,
+    key: str = KEY,
+    order: str = ORDER,
 ) -> DataFrame:
-    """Position of the close inside the recent range (0..100), smoothed twice."""
+    """Position of the close inside the recent range (0..100), smoothed twice.
+
+    Looks back ``k + smooth_k + smooth_d - 3`` rows.
+    """
     low, high = f"lowest_{k}", f"highest_{k}"
     position = F.try_divide(F.col("close_price") - F.col(low), F.col(high) - F.col(low))
     return (
-        rolling_minmax.core(df, series, k=k)
+        rolling_minmax(df, k=k, key=key, order=order)
         .withColumn("fast_k", 100 * position)
-        .withColumn("slow_k", F.avg("fast_k").over(_last(series, smooth_k)))
-        .withColumn("slow_d", F.avg("slow_k").over(_last(series, smooth_d)))
+        .withColumn("slow_k", F.avg("fast_k").over(last_rows(df, key, order, smooth_k)))
+        .withColumn("slow_d", F.avg("slow_k").over(last_rows(df, key, order, smooth_d)))
         .drop(low, high)
     )
 
 
-@series_operator(lookback=lambda rows=90: rows - 1)
-def moving_average(df: DataFrame, series: Series, *, rows: int = 90) -> DataFrame:
+def average_distance(rows: int = 90) -> Column:
+    """The close's relative distance from its moving average."""
+    return F.try_divide("close_price", f"sma_{rows}") - 1
+
+
+def moving_average(
+    df: DataFrame, *, rows: int = 90, key: str = KEY, order: str = ORDER
+) -> DataFrame:
     """Simple moving average of the close and the close's relative distance from it."""
-    average, distance = f"sma_{rows}", f"sma_{rows}_distance"
-    return df.withColumn(average, F.avg("close_price").over(_last(series, rows))).withColumn(
-        distance, F.try_divide("close_price", average) - 1
+    average = F.avg("close_price").over(last_rows(df, key, order, rows))
+    return df.withColumn(f"sma_{rows}", average).withColumn(
+        f"sma_{rows}_distance", average_distance(rows)
     )
 
 
@@ -117,28 +131,24 @@ def trend_lags(
     return by_weeks | by_months
 
 
-@series_operator(
-    lookback=lambda weeks=range(2, 26, 2), months=range(2, 8, 2), week_rows=5, month_rows=21: max(
-        trend_lags(weeks, months, week_rows, month_rows).values(), default=0
-    )
-)
 def trend_flags(
     df: DataFrame,
-    series: Series,
     *,
     weeks: Iterable[int] = range(2, 26, 2),
     months: Iterable[int] = range(2, 8, 2),
     week_rows: int = 5,
     month_rows: int = 21,
+    key: str = KEY,
+    order: str = ORDER,
 ) -> DataFrame:
-    """1 when the close is above the close n weeks or months of sessions ago, 0 when not."""
-    close = F.col("close_price")
+    """1 when the close is above the close n weeks or months of sessions ago, 0 when not.
+
+    Looks back as many rows as the largest of ``trend_lags``.
+    """
+    close, window = F.col("close_price"), series_window(df, key, order)
     lags = trend_lags(weeks, months, week_rows, month_rows)
     return df.withColumns(
-        {
-            flag: (close > F.lag(close, rows).over(series.window)).cast("int")
-            for flag, rows in lags.items()
-        }
+        {flag: (close > F.lag(close, rows).over(window)).cast("int") for flag, rows in lags.items()}
     )
 
 
@@ -154,10 +164,11 @@ def volume_columns(rows: int, prefix: str) -> list[Column]:
     ]
 
 
-@series_operator(lookback=lambda rows=20: rows - 1)
-def volume_indicators(df: DataFrame, series: Series, *, rows: int = 20) -> DataFrame:
+def volume_indicators(
+    df: DataFrame, *, rows: int = 20, key: str = KEY, order: str = ORDER
+) -> DataFrame:
     """Log volume, its ratio to the recent median, and its modified z-score."""
-    measured = series.rolling_medians(df, [("total_volume", rows, "_volume")])
+    measured = rolling_medians(df, [("total_volume", rows, "_volume")], key=key, order=order)
     return measured.select(*df.columns, *volume_columns(rows, "_volume"))
 
 
@@ -167,14 +178,6 @@ def signed_quantity() -> Column:
     return F.when(direction != 0, direction * F.col("total_quantity")).otherwise(0)
 
 
-def obv(
-    df: DataFrame,
-    *,
-    key: str = "ticker",
-    order: str = "trade_date",
-    run_rows: int = RUN_ROWS,
-) -> DataFrame:
+def obv(df: DataFrame, *, key: str = KEY, order: str = ORDER) -> DataFrame:
     """On-balance volume: running total of the signed quantity. Needs ``log_return``."""
-    series = Series(df, key, order, 0, run_rows)
-    total = series.running_sum(series.frame(), "obv", signed_quantity(), lambda cut: cut)
-    return series.settle(total)
+    return running_sum(df, "obv", signed_quantity(), key=key, order=order)

@@ -4,93 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import null_safe_corr
 from ..session import stored
 from .reshape import average_all, unpivot
 
-# Upper limit of the quantile pass: this many bounds reach the driver.
-MAX_BUCKETS = 2_048
-
-
-def value_splits(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
-    """At most ``buckets - 1`` inner bounds that cut the rows into near-equal parts.
-
-    The bounds only balance the work: any bounds give the same ranks. By default there are
-    four buckets per shuffle partition.
-    """
-    if buckets is None:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = max(2, min(4 * tasks, MAX_BUCKETS))
-    shares = [step / buckets for step in range(1, buckets)]
-    bounds = df.approxQuantile(value, shares, 1 / (4 * buckets))
-    # The bucketizer wants at least one inner bound.
-    inner = sorted(set(bounds)) or [0.0]
-    return [float("-inf"), *inner, float("inf")]
-
 
 def rank_by_value(
-    df: DataFrame,
-    value: str,
-    name: str,
-    *,
-    within: Sequence[str] = (),
-    splits: list[float] | None = None,
+    df: DataFrame, value: str, name: str, *, within: Sequence[str] = (), tasks: int | None = None
 ) -> DataFrame:
     """``rank()`` of ``value`` ascending, nulls last, per group of ``within`` or globally.
 
-    Rows are first reduced to counts per distinct value, so ties, however many, are one
-    row. Distinct values are cut into value buckets: a rank is one plus the rows in lower
-    buckets plus the rows below inside the bucket. Neither a group nor the whole table is
-    ever sorted in one task; the bounds come from one quantile pass over ``value``.
+    ``value`` may have any orderable type. Rows are dealt out once by ranges of (group, value)
+    and, among ties, by a hash of the row, and stored with their part; neither a group nor a
+    value, however common, has to fit one part. Parts are reduced to counts per value. A rank is
+    one plus the rows of lower parts plus those of lower values inside the first part that holds
+    the value. Rows meet their ranks part by part.
     """
     groups = list(within)
-    splits = splits or value_splits(df, value)
-    number = F.col(value).cast("double")
-    counts = (
-        df.groupBy(*groups, value)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_number", F.coalesce(number, F.lit(0.0)))
-    )
-    placed = (
-        Bucketizer(
-            splits=splits, inputCol="_number", outputCol="_place", handleInvalid="keep"
-        )
-        .transform(counts)
-        .withColumn(
-            "_bucket",
-            F.when(F.col(value).isNull(), F.lit(len(splits))).otherwise(
-                F.col("_place").cast("int")
-            ),
-        )
-    )
-    # At most one row per bucket and group reaches this window.
-    lower = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    ranges = [*groups, F.asc_nulls_last(value), F.xxhash64(*hashable)]
+    dealt = df.repartitionByRange(tasks, *ranges).withColumn("_part", F.spark_partition_id())
+    placed = stored(dealt, "ranges")
+
+    counts = placed.groupBy("_part", *groups, value).agg(F.count(F.lit(1)).alias("_rows"))
+    inside = Window.partitionBy("_part", *groups).orderBy(F.asc_nulls_last(value))
+    # At most one row per part reaches each of the next two windows.
+    lower = Window.partitionBy(*groups).orderBy("_part")
+    earlier = (Window.unboundedPreceding, -1)
+    totals = counts.groupBy("_part", *groups).agg(F.sum("_rows").alias("_total"))
+    below = totals.select(
+        F.col("_part").alias("_lower_part"),
+        *_renamed(groups, "_lower"),
+        F.coalesce(F.sum("_total").over(lower.rowsBetween(*earlier)), F.lit(0)).alias("_below"),
     )
-    offsets = (
-        placed.groupBy(*groups, "_bucket")
-        .agg(F.sum("_rows").alias("_bucket_rows"))
-        .withColumn("_below", F.sum("_bucket_rows").over(lower))
-        .select(*_renamed(groups, "_offset"), F.col("_bucket").alias("_offset_bucket"), "_below")
+    before = F.col("_below") + F.coalesce(F.sum("_rows").over(inside.rowsBetween(*earlier)), F.lit(0))
+    found = counts.join(
+        below, (F.col("_part") == F.col("_lower_part")) & _matching(groups, "_lower")
+    ).withColumn("_before", before)
+    ranks = found.select(
+        F.col("_part").alias("_rank_part"),
+        *_renamed(groups, "_rank"),
+        F.col(value).alias("_rank_value"),
+        (1 + F.min("_before").over(Window.partitionBy(*groups, value))).alias(name),
     )
-    inside = Window.partitionBy(*groups, "_bucket").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    rank = 1 + F.coalesce("_below", F.lit(0)) + F.coalesce("_inside", F.lit(0))
-    ranks = (
-        placed.withColumn("_inside", F.sum("_rows").over(inside))
-        .join(
-            offsets,
-            _matching(groups, "_offset") & (F.col("_bucket") == F.col("_offset_bucket")),
-        )
-        .select(*_renamed(groups, "_rank"), F.col(value).alias("_rank_value"), rank.alias(name))
-    )
-    same_value = F.col(value).eqNullSafe(F.col("_rank_value"))
-    return df.join(ranks, same_value & _matching(groups, "_rank")).select(*df.columns, name)
+    same = (F.col("_part") == F.col("_rank_part")) & F.col(value).eqNullSafe(F.col("_rank_value"))
+    return placed.join(ranks, same & _matching(groups, "_rank")).select(*df.columns, name)
 
 
 def _renamed(groups: Sequence[str], prefix: str) -> list[Column]:
@@ -107,12 +70,10 @@ def _matching(groups: Sequence[str], prefix: str) -> Column:
 def spearman_pair(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """Correlation of the rank of ``measure`` with the rank of the group size.
 
-    Ties share the lowest rank. The grouped table is stored once because the quantile
-    passes, the counts and the final join all read it.
+    Ties share the lowest rank. Groups are formed once: each rank stores what it has read.
     """
-    groups = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")), "groups")
-    ranked = rank_by_value(groups, measure, "_measure_rank")
-    ranked = rank_by_value(ranked, "_size", "_size_rank", splits=value_splits(groups, "_size"))
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    ranked = rank_by_value(rank_by_value(groups, measure, "_measure_rank"), "_size", "_size_rank")
     return ranked.agg(
         null_safe_corr("_measure_rank", "_size_rank").alias("spearman_correlation")
     )
@@ -127,16 +88,10 @@ def spearman_all(
     count_name: str = "purchases",
 ) -> DataFrame:
     """Rank correlation of every averaged column with the row count per key, strongest first."""
-    wide = stored(average_all(df, key, exclude, count_name), "features")
+    wide = average_all(df, key, exclude, count_name)
     long = unpivot(wide.drop(key), [count_name])
     ranked = rank_by_value(long, "feature_value", "feature_rank", within=["feature"])
-    ranked = rank_by_value(
-        ranked,
-        count_name,
-        "count_rank",
-        within=["feature"],
-        splits=value_splits(wide, count_name),
-    )
+    ranked = rank_by_value(ranked, count_name, "count_rank", within=["feature"])
     correlation = F.round(null_safe_corr("feature_rank", "count_rank"), digits)
     return (
         ranked.groupBy("feature")

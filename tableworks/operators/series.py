@@ -1,21 +1,20 @@
-"""Row-frame windows over long series, without putting a whole series in one task.
+"""Row-frame windows over series, whole or cut into runs.
 
-A window partitioned by ticker sends every session of a ticker to one task. When one
-ticker holds a large share of the table that task is the whole job. Here long series are
-cut into runs of consecutive rows; a run also receives copies of the last rows before it
-(the halo), as many as the widest frame looks back, so every row that belongs to the run
-sees exactly the frame it would see in the uncut series. Halo rows are dropped afterwards.
+An operator partitions its window by the key. All operators over the same key and order share
+that partitioning and its sort, so a chain of them costs one shuffle and reads its input once.
+A series whose order values are unique dates has a few hundred rows a year and stays whole.
 
-Short series are never cut: they keep run 0 and one shuffle on (key, run) serves all of
-their windows. A column-pruned pass counts the rows per key; the cut points of the long
-series come from their counts per coarse order value. Both combine before the shuffle.
+Where one key can hold a large share of a table, ``cut_series`` cuts it first: rows are dealt out
+by ranges of (key, order), and a run also receives copies of the last rows before it (the halo),
+as many as the widest frame looks back, so every row of the run sees exactly the frame it would
+see in the whole series. Operators notice the run column and go by (key, run); ``settle`` drops
+the copies in the end. Cutting is done once per chain, and only when asked for.
 """
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+import math
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -23,181 +22,110 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rolling import add_medians
+from ..session import stored
 
 RUN, HALO = "_run", "_halo"
 RUN_ROWS = 250_000
-# Keys beyond this many heaviest ones each hold less than 1/2000 of the rows, which is no
-# skew worth cutting. It also bounds what is broadcast; it never decides which rows stay.
-CUT_KEYS = 2_000
 
 
-def _coarse(df: DataFrame, order: str) -> Column:
-    """A coarser, order-preserving value: equal order values always share it."""
-    if isinstance(df.schema[order].dataType, T.DateType):
-        return F.trunc(order, "month")
-    return F.date_trunc("hour", F.col(order))
+def cut_series(
+    df: DataFrame,
+    *,
+    lookback: int,
+    key: str = "ticker",
+    order: str = "trade_date",
+    run_rows: int = RUN_ROWS,
+) -> DataFrame:
+    """The rows with their run, halo copies included. Any orderable type of ``order`` will do.
 
-
-@dataclass(frozen=True)
-class Series:
-    """One table seen as ordered series.
-
-    Order values are meant to be unique within a key; equal ones always share a run.
-
-    lookback: rows before the current one that the widest (chained) frame needs.
-    run_rows: target rows of a run; series of more than twice as many are cut.
-    profile: optional cheaper table holding the same (key, order) rows, used for counting.
+    ``lookback`` is how many rows before the current one the chain of operators needs. Rows of
+    equal key and order share a run, so a run is longer than ``run_rows`` only where such rows
+    are. The rows are written once below the shared folder, which also fixes their runs.
     """
-
-    df: DataFrame
-    key: str
-    order: str
-    lookback: int
-    run_rows: int = RUN_ROWS
-    profile: DataFrame | None = None
-
-    @property
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(self.key, RUN).orderBy(self.order)
-
-    @functools.cached_property
-    def cuts(self) -> DataFrame:
-        """(key, bucket, runs): the runs that need the rows of a bucket, for cut series only."""
-        source = self.df if self.profile is None else self.profile
-        rows = F.count(F.lit(1))
-        long_keys = (
-            source.groupBy(self.key)
-            .agg(rows.alias("_total"))
-            .where(F.col("_total") > 2 * self.run_rows)
-            .orderBy(F.desc("_total"))
-            .limit(CUT_KEYS)
-            .select(self.key)
-        )
-        # Without long series this side is empty and never runs.
-        sizes = (
-            source.select(self.key, _coarse(source, self.order).alias("_bucket"))
-            .join(F.broadcast(long_keys), self.key)
-            .groupBy(self.key, "_bucket")
-            .agg(rows.alias("_rows"))
-        )
-        by_key = Window.partitionBy(self.key)
-        later_runs = by_key.orderBy(RUN).rangeBetween(1, Window.unboundedFollowing)
-        run_rows = max(self.run_rows, self.lookback, 1)
-        placed = (
-            sizes.withColumn("_stop", F.sum("_rows").over(by_key.orderBy("_bucket")))
-            .withColumn("_start", F.col("_stop") - F.col("_rows"))
-            .withColumn(RUN, F.floor(F.col("_start") / run_rows).cast("int") + 1)
-            # A run is at least as long as the halo, so only the next two can need a bucket.
-            .withColumn("_run1", F.min(RUN).over(later_runs))
-            .withColumn("_start1", F.min("_start").over(later_runs))
-            .withColumn("_run2", F.min("_run1").over(later_runs))
-            .withColumn("_start2", F.min("_start1").over(later_runs))
+    runs = max(1, math.ceil(df.count() / run_rows))
+    dealt = df.repartitionByRange(runs, key, order).withColumn(RUN, F.spark_partition_id())
+    placed = stored(dealt, "runs")
+
+    by_key = Window.partitionBy("_key").orderBy("_own")
+    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    # A run has a row at least, so the halo reaches over ``lookback`` runs at most.
+    later = by_key.rowsBetween(1, max(1, lookback))
+    sizes = (
+        placed.groupBy(F.col(key).alias("_key"), F.col(RUN).alias("_own"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumn("_later", F.collect_list(F.struct("_own", "_start")).over(later))
+        .where(F.size("_later") > 0)
+    )
+    place = F.col("_start") + F.row_number().over(Window.partitionBy(key, RUN).orderBy(order))
+    needed_by = F.filter("_later", lambda run: F.col("_place") > run["_start"] - lookback)
+    own = F.array(F.struct(F.col(RUN).alias(RUN), F.lit(False).alias(HALO)))
+    copies = F.transform(
+        needed_by, lambda run: F.struct(run["_own"].alias(RUN), F.lit(True).alias(HALO))
+    )
+    return (
+        placed.join(sizes, F.col(key).eqNullSafe(F.col("_key")) & (F.col(RUN) == F.col("_own")), "left")
+        .withColumn("_place", place)
+        .select(
+            *df.columns,
+            F.inline(F.concat(own, F.coalesce(copies, F.array_except(own, own)))).alias(RUN, HALO),
         )
+    )
 
-        def member(run: str, halo: bool) -> Column:
-            return F.struct(F.col(run).alias(RUN), F.lit(halo).alias(HALO))
 
-        def needed(start: str) -> Column:
-            return F.col(start) - self.lookback < F.col("_stop")
+def settle(framed: DataFrame) -> DataFrame:
+    """Drop the halo copies and the helper columns of a cut series."""
+    return framed.where(~F.col(HALO)).drop(RUN, HALO)
 
-        runs = F.array(
-            member(RUN, False),
-            F.when(needed("_start1"), member("_run1", True)),
-            F.when(needed("_start2"), member("_run2", True)),
-        )
-        return placed.select(self.key, "_bucket", F.array_compact(runs).alias("_runs"))
-
-    def frame(self, cut_only: bool = False) -> DataFrame:
-        """The rows with their run, halo copies included, clustered by (key, run).
-
-        The broadcast side holds at most ``CUT_KEYS`` keys times the buckets of the order
-        range; when no series is cut it is empty and adaptive execution removes the join.
-        """
-        whole = F.array(F.struct(F.lit(0).alias(RUN), F.lit(False).alias(HALO)))
-        return (
-            self.df.withColumn("_bucket", _coarse(self.df, self.order))
-            .join(
-                F.broadcast(self.cuts), [self.key, "_bucket"], "inner" if cut_only else "left"
-            )
-            .select(
-                *self.df.columns,
-                F.inline(F.coalesce("_runs", whole)).alias(RUN, HALO),
-            )
-            .repartition(self.key, RUN)
-        )
 
-    def settle(self, framed: DataFrame) -> DataFrame:
-        """Drop the halo copies and the helper columns."""
-        return framed.filter(~F.col(HALO)).drop(RUN, HALO)
-
-    def running_sum(
-        self,
-        framed: DataFrame,
-        name: str,
-        value: Column,
-        prepare: Callable[[DataFrame], DataFrame],
-    ) -> DataFrame:
-        """Sum of ``value`` from the start of the series; rows of equal order share the total.
-
-        Runs add up locally; a cut series also adds the totals of its earlier runs.
-        ``prepare`` computes the columns ``value`` needs on the cut rows.
-        """
-        own = F.when(~F.col(HALO), value)
-        earlier = Window.partitionBy(self.key).orderBy(RUN).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        carried = (
-            prepare(self.frame(cut_only=True))
-            .groupBy(self.key, RUN)
-            .agg(F.sum(own).alias("_total"))
-            .select(self.key, RUN, F.sum("_total").over(earlier).alias("_carried"))
-        )
-        return framed.join(F.broadcast(carried), [self.key, RUN], "left").select(
-            *framed.columns,
-            (F.sum(own).over(self.window) + F.coalesce("_carried", F.lit(0))).alias(name),
-        )
+def is_cut(df: DataFrame) -> bool:
+    return RUN in df.columns
 
 
-    def rolling_medians(
-        self, framed: DataFrame, measures: Sequence[tuple[str, int, str]]
-    ) -> DataFrame:
-        """``<prefix>_median`` and ``<prefix>_mad`` for each (column, rows, prefix).
+def series_window(df: DataFrame, key: str, order: str) -> WindowSpec:
+    return Window.partitionBy(*([key, RUN] if is_cut(df) else [key])).orderBy(order)
 
-        Spark's window functions would rebuild and sort every frame value by value; here
-        the rows stream through Arrow batches and numpy sorts many frames at once. A frame
-        is clustered by (key, run), so nothing is shuffled, and after other windows over
-        the series the sort is there already. Later windows would shuffle: call this last.
-        """
-        added = [f"{prefix}_{name}" for _, _, prefix in measures for name in ("median", "mad")]
-        schema = T.StructType(
-            [*framed.schema.fields, *[T.StructField(name, T.DoubleType()) for name in added]]
-        )
-        ordered = framed.sortWithinPartitions(self.key, RUN, self.order)
-        stream = partial(add_medians, keys=(self.key, RUN), measures=tuple(measures))
-        return ordered.mapInArrow(stream, schema)
 
+def last_rows(df: DataFrame, key: str, order: str, rows: int) -> WindowSpec:
+    return series_window(df, key, order).rowsBetween(1 - rows, 0)
 
-def series_operator(lookback: Callable[..., int]):
-    """Turn ``core(framed, series, **params)`` into an operator on plain tables.
 
-    ``lookback(**params)`` tells how many earlier rows the core needs. The core stays
-    reachable as ``operator.core`` so that composites can share one frame.
-    """
+def running_sum(df: DataFrame, name: str, value: Column, *, key: str, order: str) -> DataFrame:
+    """Sum of ``value`` from the start of the series; rows of equal order share the total.
 
-    def wrap(core):
-        @functools.wraps(core)
-        def operator(
-            df: DataFrame,
-            *,
-            key: str = "ticker",
-            order: str = "trade_date",
-            run_rows: int = RUN_ROWS,
-            **params,
-        ) -> DataFrame:
-            series = Series(df, key, order, lookback(**params), run_rows)
-            return series.settle(core(series.frame(), series, **params))
-
-        operator.core = core
-        return operator
-
-    return wrap
+    Runs of a cut series add up by themselves and then add the totals of the runs before them.
+    """
+    window = series_window(df, key, order)
+    if not is_cut(df):
+        return df.withColumn(name, F.sum(value).over(window))
+    own = F.when(~F.col(HALO), value)
+    before = Window.partitionBy("_key").orderBy("_own").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        df.groupBy(F.col(key).alias("_key"), F.col(RUN).alias("_own"))
+        .agg(F.sum(own).alias("_total"))
+        .select("_key", "_own", F.sum("_total").over(before).alias("_carried"))
+    )
+    same_run = F.col(key).eqNullSafe(F.col("_key")) & (F.col(RUN) == F.col("_own"))
+    return df.join(carried, same_run, "left").select(
+        *df.columns, (F.sum(own).over(window) + F.coalesce("_carried", F.lit(0))).alias(name)
+    )
+
+
+def rolling_medians(
+    df: DataFrame, measures: Sequence[tuple[str, int, str]], *, key: str, order: str
+) -> DataFrame:
+    """``<prefix>_median`` and ``<prefix>_mad`` for each (column, rows, prefix).
+
+    Spark's window functions would rebuild and sort every frame value by value; here the rows
+    stream through Arrow batches and numpy sorts many frames at once. The row number asks for
+    nothing but rows in the order of the window: after other operators over the series they are
+    there already. Later windows would shuffle again, so call this last.
+    """
+    keys = [key, RUN] if is_cut(df) else [key]
+    ordered = df.withColumn("_place", F.row_number().over(series_window(df, key, order)))
+    added = [f"{prefix}_{name}" for _, _, prefix in measures for name in ("median", "mad")]
+    schema = T.StructType(
+        [*ordered.schema.fields, *[T.StructField(name, T.DoubleType()) for name in added]]
+    )
+    stream = partial(add_medians, keys=tuple(keys), measures=tuple(measures))
+    return ordered.mapInArrow(stream, schema).drop("_place")

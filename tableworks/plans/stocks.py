@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import events as ev
 from ..operators import indicators as ind
 from ..operators.quotes import filter_stocks, normalize_price
-from ..operators.series import HALO, RUN, RUN_ROWS, Series
-from ..session import stored
+from ..operators.series import HALO, RUN, cut_series, rolling_medians, settle
+from ..session import scratch, stored
 from ..sources import tables
 
-# Sessions behind the baselines of the return and volume scores.
-RETURN_ROWS, VOLUME_ROWS = 90, 20
+# Sessions behind the baselines of the return and volume scores, and the moving average.
+RETURN_ROWS, VOLUME_ROWS, AVERAGE_ROWS = 90, 20, 90
 
 
 def adjusted_prices(
@@ -24,7 +24,6 @@ def adjusted_prices(
     min_trades: int = 10,
     min_price: float = 1.0,
     match_days: int = 5,
-    run_rows: int = RUN_ROWS,
     store_events: bool = True,
 ) -> DataFrame:
     """Normalized quotes, back-adjusted for listed and inferred events.
@@ -39,7 +38,6 @@ def adjusted_prices(
         quantity_share=quantity_share,
         min_trades=min_trades,
         min_price=min_price,
-        run_rows=run_rows,
     )
     steps = ev.adjustment_steps(ev.all_events(ev.listed_events(events), inferred, match_days))
     if store_events:
@@ -48,43 +46,54 @@ def adjusted_prices(
 
 
 def stock_features(
-    quotes: DataFrame, events: DataFrame, *, run_rows: int = RUN_ROWS, **thresholds
+    quotes: DataFrame,
+    events: DataFrame,
+    *,
+    run_rows: int | None = None,
+    return_rows: int = RETURN_ROWS,
+    volume_rows: int = VOLUME_ROWS,
+    average_rows: int = AVERAGE_ROWS,
+    **thresholds,
 ) -> DataFrame:
     """The nine steps from raw quotes to 48 columns.
 
-    All windows over a ticker share one shuffle and one sort. The return score looks back
-    over returns, each of which looks back one more session; the halo covers the longest
-    chain, the oldest trend flag.
+    All windows over a ticker share one shuffle and one sort. Columns that need no window come
+    last, so that they do not pass through the stream of medians. ``run_rows`` cuts the series
+    into runs, for tables where one ticker holds a large share of the rows. The return score
+    looks back over returns, each of which looks back one more session; the halo covers the
+    longest chain or flag.
     """
     priced = normalize_price(filter_stocks(quotes))
-    adjusted = ind.log_features(
-        adjusted_prices(priced, events, run_rows=run_rows, **thresholds)
-    )
-    longest = max(
-        ind.trend_lags(range(2, 26, 2), range(2, 8, 2), week_rows=5, month_rows=21).values()
-    )
-    # Adjusting keeps every row, so the row counts can come from the plain quotes.
-    series = Series(adjusted, "ticker", "trade_date", longest, run_rows, profile=priced)
-
-    def returns(framed: DataFrame) -> DataFrame:
-        return ind.log_return.core(framed, series)
-
-    framed = ind.slow_stochastic.core(returns(series.frame()), series)
-    framed = ind.moving_average.core(framed, series)
-    framed = ind.trend_flags.core(framed, series)
-    framed = series.running_sum(framed, "obv", ind.signed_quantity(), returns)
-    measured = series.settle(
-        series.rolling_medians(
-            framed, [("log_return", RETURN_ROWS, "_return"), ("total_volume", VOLUME_ROWS, "_volume")]
-        )
+    series = adjusted_prices(priced, events, **thresholds)
+    if run_rows is not None:
+        lags = ind.trend_lags(range(2, 26, 2), range(2, 8, 2), week_rows=5, month_rows=21)
+        furthest = max(return_rows, volume_rows, average_rows, 20, *lags.values())
+        series = cut_series(series, lookback=furthest + 1, run_rows=run_rows)
+    shown = [name for name in series.columns if name not in (RUN, HALO)]
+    framed = ind.slow_stochastic(ind.log_return(series))
+    framed = ind.moving_average(framed, rows=average_rows).drop(f"sma_{average_rows}_distance")
+    framed = ind.obv(ind.trend_flags(framed))
+    measured = rolling_medians(
+        framed,
+        [("log_return", return_rows, "_return"), ("total_volume", volume_rows, "_volume")],
+        key=ind.KEY,
+        order=ind.ORDER,
     )
-    shown = [name for name in framed.columns if name not in (RUN, HALO, "obv")]
-    after_returns = shown.index("log_return") + 1
+    if run_rows is not None:
+        measured = settle(measured)
+    flags = ind.trend_lags(range(2, 26, 2), range(2, 8, 2), week_rows=5, month_rows=21)
     return measured.select(
-        *shown[:after_returns],
+        *shown,
+        *[column.alias(name) for name, column in ind.log_columns().items()],
+        "log_return",
         ind.zscore_from("log_return", "_return").alias("return_zscore"),
-        *shown[after_returns:],
-        *ind.volume_columns(VOLUME_ROWS, "_volume"),
+        "fast_k",
+        "slow_k",
+        "slow_d",
+        f"sma_{average_rows}",
+        ind.average_distance(average_rows).alias(f"sma_{average_rows}_distance"),
+        *flags,
+        *ind.volume_columns(volume_rows, "_volume"),
         "obv",
     )
 
@@ -103,5 +112,6 @@ def run_stock_job(
     raw = tables.scan_parquet(spark, source)
     tables.sink_if_absent(raw, target, ["year"], tables.year_of("trade_date"), fmt)
     quotes = tables.scan_table(spark, target, fmt)
-    result = stock_features(quotes, tables.scan_parquet(spark, events), **thresholds)
-    return tables.sink_overwrite(result, features, ["year"], fmt)
+    with scratch(spark):
+        result = stock_features(quotes, tables.scan_parquet(spark, events), **thresholds)
+        return tables.sink_overwrite(result, features, ["year"], fmt)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,16 +55,45 @@ def _shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tableworks-")
         context.setCheckpointDir(root)
     return root
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; the innermost open ``scratch`` removes it."""
+    path = f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    paths = _scratch.get()
+    if paths is not None:
+        paths.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate copies written inside go when the block ends.
+
+    Plans are lazy: whatever reads the copies has to be written or collected inside, too.
+    Outside any block copies stay, as checkpoints do, for whoever owns the folder to clear.
+    """
+    token = _scratch.set([])
+    try:
+        yield
+    finally:
+        paths = _scratch.get() or []
+        _scratch.reset(token)
+        for path in paths:
+            remove_path(spark, path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -69,8 +101,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage like a checkpoint, so a lost executor costs no recomputation, but
     the copy is columnar: later passes prune columns and push filters into the scan.
-    Whoever owns the folder clears it, as with checkpoints.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

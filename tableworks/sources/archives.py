@@ -1,4 +1,4 @@
-"""Text inside zip archives, plain or nested. The only Python code that runs on executors.
+"""Text inside zip archives, plain or nested, read by Python on the executors.
 
 A deflate stream cannot be split, so a member is read by one task; archives spread over
 tasks by size. Lines leave a task in blocks, never as a whole file.

@@ -44,6 +44,9 @@ def flatten_event_json(df: DataFrame, json_col: str, company_col: str) -> DataFr
 
 
 def filter_listed_companies(df: DataFrame) -> DataFrame:
-    """Companies with a listing date that are not depositary-receipt issuers."""
+    """Companies that are not depositary-receipt issuers, but for those that never listed.
+
+    An unknown listing date is kept.
+    """
     receipt = F.coalesce(F.col("typeBDR"), F.lit("")) != ""
-    return df.where(~receipt & (F.col("dateListing") != NEVER_LISTED))
+    return df.where(~receipt & ~F.col("dateListing").eqNullSafe(NEVER_LISTED))

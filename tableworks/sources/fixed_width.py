@@ -4,39 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from enum import Enum
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TEXT, INT, PRICE, DATE = "text", "int", "price", "date"
+
+class Field(Enum):
+    """How the bytes of a field read."""
+
+    TEXT = "text"
+    INT = "whole number"
+    PRICE = "number with implied decimals"
+    DATE = "date as yyyyMMdd"
+
 
 # The record layout of the daily quote file (1-based, inclusive positions).
 QUOTE_LAYOUT = (
-    ("trade_date", 3, 10, DATE),
-    ("bdi_code", 11, 12, TEXT),
-    ("ticker", 13, 24, TEXT),
-    ("market_type", 25, 27, TEXT),
-    ("company_name", 28, 39, TEXT),
-    ("specification", 40, 49, TEXT),
-    ("forward_term", 50, 52, TEXT),
-    ("currency", 53, 56, TEXT),
-    ("open_price", 57, 69, PRICE),
-    ("high_price", 70, 82, PRICE),
-    ("low_price", 83, 95, PRICE),
-    ("average_price", 96, 108, PRICE),
-    ("close_price", 109, 121, PRICE),
-    ("best_bid_price", 122, 134, PRICE),
-    ("best_ask_price", 135, 147, PRICE),
-    ("total_trades", 148, 152, INT),
-    ("total_quantity", 153, 170, INT),
-    ("total_volume", 171, 188, PRICE),
-    ("strike_price", 189, 201, PRICE),
-    ("correction_indicator", 202, 202, TEXT),
-    ("expiration_date", 203, 210, DATE),
-    ("quote_factor", 211, 217, INT),
-    ("strike_points", 218, 230, INT),
-    ("isin_code", 231, 242, TEXT),
-    ("distribution_number", 243, 245, INT),
+    ("trade_date", 3, 10, Field.DATE),
+    ("bdi_code", 11, 12, Field.TEXT),
+    ("ticker", 13, 24, Field.TEXT),
+    ("market_type", 25, 27, Field.TEXT),
+    ("company_name", 28, 39, Field.TEXT),
+    ("specification", 40, 49, Field.TEXT),
+    ("forward_term", 50, 52, Field.TEXT),
+    ("currency", 53, 56, Field.TEXT),
+    ("open_price", 57, 69, Field.PRICE),
+    ("high_price", 70, 82, Field.PRICE),
+    ("low_price", 83, 95, Field.PRICE),
+    ("average_price", 96, 108, Field.PRICE),
+    ("close_price", 109, 121, Field.PRICE),
+    ("best_bid_price", 122, 134, Field.PRICE),
+    ("best_ask_price", 135, 147, Field.PRICE),
+    ("total_trades", 148, 152, Field.INT),
+    ("total_quantity", 153, 170, Field.INT),
+    ("total_volume", 171, 188, Field.PRICE),
+    ("strike_price", 189, 201, Field.PRICE),
+    ("correction_indicator", 202, 202, Field.TEXT),
+    ("expiration_date", 203, 210, Field.DATE),
+    ("quote_factor", 211, 217, Field.INT),
+    ("strike_points", 218, 230, Field.INT),
+    ("isin_code", 231, 242, Field.TEXT),
+    ("distribution_number", 243, 245, Field.INT),
 )
 QUOTE_RECORD = "01"
 PRICE_SCALE = 100.0
@@ -59,18 +68,22 @@ class _Reader:
 
     def whole(self, raw: Column) -> Column:
         digits = raw.cast("string")
-        return digits.cast("long") if self.strict else digits.try_cast("long")
+        if not self.strict:
+            return digits.try_cast("long")
+        # A cast alone would forgive blanks and control bytes around the digits.
+        wrong = F.raise_error(F.concat(F.lit("not a whole number: "), digits)).cast("long")
+        return F.when(digits.isNull() | F.rlike(digits, F.lit("^-?[0-9]+$")), digits.cast("long")).otherwise(wrong)
 
-    def read(self, raw: Column, kind: str) -> Column:
+    def read(self, raw: Column, kind: Field) -> Column:
         match kind:
-            case "text":
+            case Field.TEXT:
                 text = F.replace(F.decode(raw, ENCODING), F.lit("\x01"), F.lit(" "))
                 return F.btrim(text, F.lit(_BLANKS))
-            case "int":
+            case Field.INT:
                 return self.whole(raw)
-            case "price":
+            case Field.PRICE:
                 return self.whole(raw) / self.price_scale
-            case "date":
+            case Field.DATE:
                 return (F.to_date if self.strict else F.try_to_date)(raw.cast("string"), "yyyyMMdd")
         raise ValueError(f"unknown field kind {kind!r}")
 
@@ -82,7 +95,7 @@ def scan_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_fixed_width(
     lines: DataFrame,
-    layout: Iterable[tuple[str, int, int, str]] = QUOTE_LAYOUT,
+    layout: Iterable[tuple[str, int, int, Field]] = QUOTE_LAYOUT,
     record_type: str = QUOTE_RECORD,
     price_scale: float = PRICE_SCALE,
     strict: bool = True,

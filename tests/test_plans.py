@@ -10,6 +10,7 @@ from tableworks.catalog import views
 from tableworks.operators import events as ev
 from tableworks.operators import indicators as ind
 from tableworks.operators.quotes import filter_stocks, normalize_price
+from tableworks.operators.series import rolling_medians
 from tableworks.plans.pipeline import Pipeline, Step
 from tableworks.plans.stocks import run_stock_job
 from tableworks.sources import tables
@@ -86,14 +87,12 @@ def test_stock_filters_and_columns_reach_the_scan(spark, stored_quotes):
 
 def test_all_ticker_windows_share_one_shuffle(spark, stored_quotes):
     priced = normalize_price(filter_stocks(stored_quotes))
-    series = ind.Series(priced, "ticker", "trade_date", 126)
-    framed = ind.slow_stochastic.core(ind.log_return.core(series.frame(), series), series)
-    framed = ind.trend_flags.core(ind.moving_average.core(framed, series), series)
-    plan = plan_of(series.rolling_medians(framed, [("log_return", 90, "r")]))
-    assert plan.count("Exchange hashpartitioning(ticker#") >= 1
-    assert plan.count("REPARTITION_BY_COL") == 1
-    main = plan.split("REPARTITION_BY_COL")[0]
-    assert main.count("Sort [") == 1
+    framed = ind.slow_stochastic(ind.log_return(priced))
+    framed = ind.trend_flags(ind.moving_average(framed))
+    measures = [("log_return", 90, "r")]
+    plan = plan_of(rolling_medians(framed, measures, key="ticker", order="trade_date"))
+    assert plan.count("Exchange hashpartitioning(ticker#") == 1
+    assert plan.count("Sort [") == 1 and plan.count("FileScan") == 1
 
 
 def test_event_joins_are_equi_joins(spark, stored_quotes):

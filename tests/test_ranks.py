@@ -24,33 +24,50 @@ def pairs(df):
 
 
 @pytest.mark.parametrize("within", [[], ["grp"]])
-@pytest.mark.parametrize("buckets", [2, 64])
-def test_rank_equals_window_rank(spark, within, buckets):
+@pytest.mark.parametrize("tasks", [1, 5, 64])
+def test_rank_equals_window_rank(spark, within, tasks):
     df = values(spark)
     window = Window.partitionBy(*within).orderBy(F.asc_nulls_last("value"))
     expected = pairs(df.withColumn("place", F.rank().over(window)))
-    splits = ranks.value_splits(df, "value", buckets)
-    got = ranks.rank_by_value(df, "value", "place", within=within, splits=splits)
+    got = ranks.rank_by_value(df, "value", "place", within=within, tasks=tasks)
     assert pairs(got) == expected
     assert got.count() == df.count()
 
 
-def test_rank_of_one_value(spark):
-    df = spark.createDataFrame([(1, 4.0), (2, 4.0)], "id long, value double")
-    assert pairs(ranks.rank_by_value(df, "value", "place")) == {1: 1, 2: 1}
+@pytest.mark.parametrize(
+    "value",
+    [
+        "CASE WHEN id % 3 = 0 THEN double('inf') ELSE value END",
+        "CASE WHEN id % 3 > 0 THEN double('-inf') ELSE double('nan') END",
+        "CAST(value AS string)",
+        "date_add(DATE '2001-01-01', CAST(id % 50 AS int))",
+        "CAST(NULL AS double)",
+    ],
+)
+def test_rank_of_any_type(spark, value):
+    df = values(spark).withColumn("value", F.expr(value))
+    expected = df.withColumn("place", F.rank().over(Window.orderBy(F.asc_nulls_last("value"))))
+    assert pairs(ranks.rank_by_value(df, "value", "place", tasks=16)) == pairs(expected)
+
 
+def test_ties_are_spread(spark):
+    df = values(spark).withColumn("value", F.lit(1.0))
+    ranked = ranks.rank_by_value(df, "value", "place", tasks=8)
+    assert set(pairs(ranked).values()) == {1}
+    placed = df.repartitionByRange(8, "value", F.xxhash64("id", "grp", "value"))
+    assert placed.groupBy(F.spark_partition_id()).count().count() == 8
 
-def test_rank_of_nulls_only(spark):
-    df = spark.createDataFrame([(1, None), (2, None)], "id long, value double")
+
+def test_rank_of_one_value(spark):
+    df = spark.createDataFrame([(1, 4.0), (2, 4.0)], "id long, value double")
     assert pairs(ranks.rank_by_value(df, "value", "place")) == {1: 1, 2: 1}
 
 
 def test_rank_plan_has_no_single_task_window_over_rows(spark):
     df = values(spark)
     plan = ranks.rank_by_value(df, "value", "place")._jdf.queryExecution().executedPlan().toString()
-    window_lines = [line for line in plan.splitlines() if "Window [" in line]
-    assert any("_bucket" in line for line in window_lines)
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 3 and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_spearman_of_a_constant_feature_is_null(spark):
