@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans import conversion
 from ..session import scratch_path, stored
 from ..sources import archives, delimited, events_json, fixed_width, tables
 from . import views
@@ -18,9 +22,13 @@ from .registry import query
 # --- stored tables ----------------------------------------------------------------------
 
 
-@query("SELECT * FROM nation")
+@query("SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
 def scan_parquet(spark, sf_dir):
-    return tables.scan_parquet(spark, f"{sf_dir}/nation.parquet")
+    """A folder of several files, pruned to a few columns."""
+    path = scratch_path(spark, "lineitem-files")
+    views.table(spark, sf_dir, "lineitem").repartition(8, "l_orderkey").write.parquet(path)
+    columns = ("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    return tables.scan_parquet(spark, path).select(*columns)
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer")
@@ -72,40 +80,79 @@ def sink_overwrite(spark, sf_dir):
     return tables.scan_table(spark, path)
 
 
-COPIED = ["customer", "nation", "orders", "part", "region", "supplier"]
+# Table -> a number and a text of each row, in expressions that both engines read alike.
+COPIED = {
+    "benchmark": ("item_id", "text"),
+    "conversations": ("conv_id * 100 + turn", "text"),
+    "customer": ("c_custkey", "c_name"),
+    "documents": ("doc_id", "text"),
+    "embeddings": ("vec_id", "CAST(label AS STRING)"),
+    "events": ("event_id", "props"),
+    "labels": ("doc_id + quality + 2 * toxic", "CAST(quality AS STRING)"),
+    "lineitem": ("l_orderkey * 10 + l_linenumber", "l_returnflag"),
+    "nation": ("n_nationkey", "n_name"),
+    "orders": ("o_orderkey", "o_orderpriority"),
+    "pages": ("page_id", "html"),
+    "part": ("p_partkey", "p_name"),
+    "region": ("r_regionkey", "r_name"),
+    "supplier": ("s_suppkey", "s_name"),
+}
+
+
+def _summary(number: str, text: str) -> str:
+    """Counts and sums over all rows and all texts of a table, in either engine."""
+    return (
+        f"count(*) AS rows, CAST(sum({number}) AS BIGINT) AS numbers, "
+        f"CAST(sum(length({text})) AS BIGINT) AS chars, count(DISTINCT {text}) AS texts"
+    )
 
 
 @query(
     " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS rows FROM {name}" for name in COPIED
+        f"SELECT '{name}' AS table_name, {_summary(*columns)} FROM {name}"
+        for name, columns in COPIED.items()
     )
 )
 def sink_many_tables(spark, sf_dir):
     source, target = scratch_path(spark, "many-source"), scratch_path(spark, "many-target")
     for name in COPIED:
         tables.sink_overwrite(views.table(spark, sf_dir, name), f"{source}/{name}.parquet", [])
-    copies = tables.sink_many_tables(spark, source, target)
-    counts = [
-        tables.scan_table(spark, path)
-        .agg(F.count("*").alias("rows"))
-        .select(F.lit(path.rsplit("/", 1)[-1]).alias("table_name"), "rows")
-        for path in copies
-    ]
-    combined = counts[0]
-    for count in counts[1:]:
-        combined = combined.unionByName(count)
+    combined = None
+    for path in tables.sink_many_tables(spark, source, target):
+        name = path.rsplit("/", 1)[-1]
+        tables.scan_table(spark, path).createOrReplaceTempView("copied")
+        own = spark.sql(f"SELECT '{name}' AS table_name, {_summary(*COPIED[name])} FROM copied")
+        combined = own if combined is None else combined.unionByName(own)
     return combined
 
 
-@query()
+PREVIEW_ROWS = 100
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query(
+    f"""SELECT least(count(*), {PREVIEW_ROWS}) AS preview_rows,
+      least(count(*), {PREVIEW_ROWS}) AS members FROM lineitem"""
+)
 def limit_rows(spark, sf_dir):
-    """An unordered preview: which rows come first is not defined."""
-    return views.table(spark, sf_dir, "lineitem").limit(100)
+    """An unordered preview: which rows come first is not defined, but all are of the table."""
+    lines = views.table(spark, sf_dir, "lineitem")
+    known = lines.select(*LINE_KEY, F.lit(1).alias("known")).distinct()
+    # The preview is bounded.
+    preview = lines.limit(PREVIEW_ROWS).join(known, LINE_KEY, "left")
+    return preview.agg(F.count("*").alias("preview_rows"), F.count("known").alias("members"))
 
 
-@query()
+@query(
+    f"""WITH {views.REVIEWS_SQL} SELECT column_name AS col_name,
+      CASE WHEN column_type LIKE '%[]' THEN 'list' ELSE lower(column_type) END AS kind
+    FROM (DESCRIBE SELECT * FROM reviews)"""
+)
 def describe_schema(spark, sf_dir):
-    return tables.describe_schema(views.reviews(spark, sf_dir))
+    described = tables.describe_schema(views.reviews(spark, sf_dir))
+    kind = F.col("data_type")
+    common = F.when(kind.startswith("array"), "list").when(kind == "string", "varchar")
+    return described.select("col_name", common.otherwise(kind).alias("kind"))
 
 
 # --- fixed width ------------------------------------------------------------------------
@@ -182,8 +229,14 @@ def _write_titles(spark, sf_dir, sep: str, compression: str = "none") -> str:
 
 @query(TITLE_TEXT_SQL)
 def parse_delimited_strings(spark, sf_dir):
-    path = _write_titles(spark, sf_dir, "|")
-    return delimited.parse_delimited_strings(spark, path, "|")
+    """A folder whose files have two column orders."""
+    path = scratch_path(spark, "titles-text")
+    titles = views.titles(spark, sf_dir).select(*TITLE_COLUMNS).na.fill("")
+    even = F.pmod(F.xxhash64("tconst"), F.lit(2)) == 0
+    write = {"sep": "|", "header": True, "quote": "", "escape": "\0", "emptyValue": ""}
+    titles.where(even).write.csv(path, **write)
+    titles.where(~even).select(*TITLE_COLUMNS[::-1]).write.mode("append").csv(path, **write)
+    return delimited.parse_delimited_strings(spark, path, "|").select(*TITLE_COLUMNS)
 
 
 @query(TITLE_TEXT_SQL)
@@ -218,43 +271,114 @@ def _zip(members: dict[str, bytes]) -> bytes:
     return packed.getvalue()
 
 
-def _pack(batches: Iterator[pa.RecordBatch], nested: bool) -> Iterator[pa.RecordBatch]:
-    """One archive per Arrow batch of lines, header first."""
+def _suppliers(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, bytes]]:
+    """One archive's members per Arrow batch of lines, in two column orders."""
     for number, batch in enumerate(batches):
-        lines = ["|".join(ARCHIVED), *batch.column("line").to_pylist()]
-        content = "\r\n".join(lines).encode()
-        if nested:
-            inner = _zip({"data.txt": content})
-            outer = {"pricing file PPUF_2025Q1.zip": inner, "readme.txt": b"skipped"}
-        else:
-            outer = {"data.csv": content, "second.csv": b"skipped"}
-        yield pa.record_batch({"path": [f"archive-{number}.zip"], "content": [_zip(outer)]})
-
-
-def _packed_suppliers(spark, sf_dir, nested: bool) -> DataFrame:
-    lines = views.table(spark, sf_dir, "supplier").select(
+        turned = slice(None, None, -1 if number % 2 else 1)
+        rows = [line.split("|")[turned] for line in batch.column("line").to_pylist()]
+        lines = ["|".join(row) for row in [ARCHIVED[turned], *rows]]
+        yield {"data.csv": "\r\n".join(lines).encode(), "second.csv": b"skipped"}
+
+
+def _nested_suppliers(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, bytes]]:
+    for members in _suppliers(batches):
+        inner = _zip({"data.txt": members["data.csv"]})
+        yield {
+            "pricing file PPUF_2025Q1.zip": inner,
+            "pharmacy networks file PPUF_2025Q1 part 3.zip": inner,
+            # Not an archive: unpacking what is to be skipped would fail.
+            "sample pricing file PPUF.zip": b"skipped",
+            "readme.txt": b"skipped",
+        }
+
+
+def _quotes(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, bytes]]:
+    for batch in batches:
+        yield {"quotes.txt": b"\n".join(batch.column("line").to_pylist())}
+
+
+def _write_archives(lines: DataFrame, members, name: str) -> str:
+    """Archives written by the tasks that hold their lines, below the shared folder."""
+    folder = scratch_path(lines.sparkSession, name)
+    root = folder if ":" in folder else f"file://{folder}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = pa.fs.FileSystem.from_uri(root)
+        files.create_dir(base)
+        for packed in members(batches):
+            path = f"{base}/{uuid.uuid4().hex}.zip"
+            with files.open_output_stream(path) as stream:
+                stream.write(_zip(packed))
+            yield pa.record_batch({"path": [path]})
+
+    lines.mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def _supplier_lines(spark, sf_dir) -> DataFrame:
+    return views.table(spark, sf_dir, "supplier").select(
         F.concat_ws("|", *[F.col(c).cast("string") for c in ARCHIVED]).alias("line")
     )
-    return lines.mapInArrow(
-        lambda batches: _pack(batches, nested), "path string, content binary"
-    )
 
 
 ARCHIVED_SQL = "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ARCHIVED)
 
 
+def _headers(lines: DataFrame) -> list[str]:
+    return sorted(row[0] for row in lines.select("header").distinct().collect())
+
+
 @query(f"{ARCHIVED_SQL} FROM supplier")
 def scan_zip_text(spark, sf_dir):
-    lines = archives.archive_lines(_packed_suppliers(spark, sf_dir, nested=False))
-    return delimited.parse_lines(lines.where(F.col("line_no") > 0), ARCHIVED, "|")
+    """Columns come from each archive's own header."""
+    path = _write_archives(_supplier_lines(spark, sf_dir), _suppliers, "zipped")
+    headers = _headers(archives.scan_zip_text(spark, path, headers_only=True))
+    lines = archives.scan_zip_text(spark, path)
+    return delimited.parse_headed_lines(lines, headers, "|").select(*ARCHIVED)
+
+
+NESTED_SQL = " UNION ALL ".join(
+    f"{ARCHIVED_SQL}, '{name}' AS table_name FROM supplier"
+    for name in ("pricing", "pharmacy_networks")
+)
 
 
-@query(f"{ARCHIVED_SQL}, 'pricing' AS table_name FROM supplier")
+@query(NESTED_SQL)
 def scan_nested_zip(spark, sf_dir):
-    lines = archives.archive_lines(_packed_suppliers(spark, sf_dir, nested=True), nested=True)
+    path = _write_archives(_supplier_lines(spark, sf_dir), _nested_suppliers, "nested")
+    options = {"nested": True, "tables": []}
+    headers = _headers(archives.scan_zip_text(spark, path, headers_only=True, **options))
+    lines = archives.scan_zip_text(spark, path, **options)
     routed = lines.withColumn("table_name", archives.member_table(F.col("member")))
-    body = routed.where((F.col("line_no") > 0) & F.col("table_name").isNotNull())
-    return delimited.parse_lines(body, ARCHIVED, "|", keep=["table_name"])
+    parsed = delimited.parse_headed_lines(routed, headers, "|", keep=["table_name"])
+    return parsed.select(*ARCHIVED, "table_name")
+
+
+@query(NESTED_SQL)
+def convert_nested_zip(spark, sf_dir):
+    """Nested archives to one table per route."""
+    source = _write_archives(_supplier_lines(spark, sf_dir), _nested_suppliers, "nested")
+    made = conversion.convert_nested_zip(spark, source, scratch_path(spark, "routes"))
+    found = [
+        tables.scan_table(spark, path).select(*ARCHIVED, F.lit(name).alias("table_name"))
+        for name, path in made.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    f"""WITH {views.BARS_SQL} SELECT {QUOTE_FIELDS_SQL},
+    CAST(year(trade_date) AS INTEGER) AS year FROM bars"""
+)
+def convert_quotes_zip(spark, sf_dir):
+    """Zipped fixed-width quotes to a table by year."""
+    lines = quote_lines(spark, sf_dir).select(F.col("value").alias("line"))
+    source = _write_archives(lines, _quotes, "zipped-quotes")
+    made = conversion.convert_quotes_zip(spark, source, scratch_path(spark, "quotes"))
+    return tables.scan_table(spark, made).drop(
+        "forward_term", "best_bid_price", "best_ask_price", "strike_price",
+        "correction_indicator", "strike_points",
+    )
 
 
 MEMBER_SQL = """CASE p_type

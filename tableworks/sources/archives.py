@@ -7,10 +7,12 @@ tasks by size. Lines leave a task in blocks, never as a whole file.
 from __future__ import annotations
 
 import io
+import re
 import shutil
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import partial
 from typing import BinaryIO
 
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINES = "archive string, member string, line_no long, line string"
+LINES = "archive string, member string, header string, line_no long, line string"
 BLOCK = 4 << 20
 
 # How the names of nested archives map to tables and parts.
@@ -41,62 +43,90 @@ def _text_blocks(stream: BinaryIO, encoding: str) -> Iterator[list[str]]:
         yield [rest.decode(encoding)]
 
 
+@dataclass(frozen=True)
+class Reading:
+    """What to read: inner archives or first members, and only members of these tables.
+
+    ``tables`` None takes every inner archive, an empty list those that are some table.
+    """
+
+    nested: bool = False
+    encoding: str = "UTF-8"
+    headers_only: bool = False
+    tables: tuple[str, ...] | None = None
+
+    def wants(self, member: str) -> bool:
+        if not member.lower().endswith(".zip"):
+            return False
+        if self.tables is None:
+            return True
+        found = re.match(TABLE_PATTERN, member)
+        if not found or member.startswith(SKIPPED_PREFIX):
+            return False
+        return not self.tables or found[1].strip().replace(" ", "_") in self.tables
+
+
 def _member_batches(
-    archive: str, member: str, stream: BinaryIO, encoding: str
+    archive: str, member: str, stream: BinaryIO, reading: Reading
 ) -> Iterator[pa.RecordBatch]:
-    number = 0
-    for lines in _text_blocks(stream, encoding):
+    number, header = 0, None
+    for lines in _text_blocks(stream, reading.encoding):
+        if not lines:
+            continue
+        if header is None:
+            header = lines[0].rstrip("\r")
+        if reading.headers_only:
+            lines = lines[:1]
         count = len(lines)
         yield pa.record_batch(
             {
                 "archive": pa.array([archive] * count, pa.string()),
                 "member": pa.array([member] * count, pa.string()),
+                "header": pa.array([header] * count, pa.string()),
                 "line_no": pa.array(range(number, number + count), pa.int64()),
                 "line": pa.array([line.rstrip("\r") for line in lines], pa.string()),
             }
         )
         number += count
+        if reading.headers_only:
+            return
 
 
 def _archive_batches(
-    path: str, source: BinaryIO | str, nested: bool, encoding: str
+    path: str, source: BinaryIO | str, reading: Reading
 ) -> Iterator[pa.RecordBatch]:
     with zipfile.ZipFile(source) as bundle:
-        if not nested:
+        if not reading.nested:
             first = bundle.namelist()[0]
             with bundle.open(first) as stream:
-                yield from _member_batches(path, first, stream, encoding)
+                yield from _member_batches(path, first, stream, reading)
             return
         for name in bundle.namelist():
-            if not name.lower().endswith(".zip"):
+            # What is not wanted stays packed.
+            if not reading.wants(name):
                 continue
             # The inner archive needs a seekable copy; it lives as long as this loop step.
             with bundle.open(name) as packed, tempfile.TemporaryFile() as inner:
                 shutil.copyfileobj(packed, inner)
                 with zipfile.ZipFile(inner) as table, table.open(table.namelist()[0]) as stream:
-                    yield from _member_batches(path, name, stream, encoding)
+                    yield from _member_batches(path, name, stream, reading)
 
 
-def _read_contents(batches, nested: bool, encoding: str) -> Iterator[pa.RecordBatch]:
+def _read_contents(batches, reading: Reading) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
-            source = io.BytesIO(content.as_buffer())
-            yield from _archive_batches(path.as_py(), source, nested, encoding)
+            yield from _archive_batches(path.as_py(), io.BytesIO(content.as_buffer()), reading)
 
 
-def _read_mounted(batches, nested: bool, encoding: str) -> Iterator[pa.RecordBatch]:
+def _read_mounted(batches, reading: Reading) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            local = path.removeprefix("file:")
-            yield from _archive_batches(path, local, nested, encoding)
+            yield from _archive_batches(path, path.removeprefix("file:"), reading)
 
 
-def archive_lines(
-    archives: DataFrame, nested: bool = False, encoding: str = "UTF-8"
-) -> DataFrame:
-    """(archive, member, line_no, line) from a table of (path, content)."""
-    reader = partial(_read_contents, nested=nested, encoding=encoding)
-    return archives.select("path", "content").mapInArrow(reader, LINES)
+def archive_lines(archives: DataFrame, reading: Reading = Reading()) -> DataFrame:
+    """(archive, member, header, line_no, line) from a table of (path, content)."""
+    return archives.select("path", "content").mapInArrow(partial(_read_contents, reading=reading), LINES)
 
 
 def scan_zip_text(
@@ -105,18 +135,21 @@ def scan_zip_text(
     nested: bool = False,
     encoding: str = "UTF-8",
     mounted: bool = False,
+    tables: Sequence[str] | None = None,
+    headers_only: bool = False,
 ) -> DataFrame:
-    """Lines of the first member of each archive, or of every inner archive when nested.
+    """Lines of the first member of each archive, or of inner archives when nested.
 
-    The file source packs archives into tasks by size. A binary cell ends at 2 GB; for
-    larger archives on storage that executors mount, ``mounted`` passes paths only and
-    streams each archive inside its task.
+    ``tables`` keeps to the inner archives of these tables (of any table, when empty); others
+    are never unpacked. ``headers_only`` reads the first line of each. The file source packs
+    archives into tasks by size. A binary cell ends at 2 GB; for larger archives on storage that
+    executors mount, ``mounted`` passes paths only and streams each archive inside its task.
     """
+    reading = Reading(nested, encoding, headers_only, None if tables is None else tuple(tables))
     found = spark.read.format("binaryFile").load(path)
     if not mounted:
-        return archive_lines(found, nested, encoding)
-    reader = partial(_read_mounted, nested=nested, encoding=encoding)
-    return found.select("path").mapInArrow(reader, LINES)
+        return archive_lines(found, reading)
+    return found.select("path").mapInArrow(partial(_read_mounted, reading=reading), LINES)
 
 
 def member_table(member: Column) -> Column:

@@ -1,6 +1,8 @@
 """Pipeline behaviour, session settings, and the shape of physical plans."""
 
 import logging
+import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +105,22 @@ def test_event_joins_are_equi_joins(spark, stored_quotes):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_scratch_copies_end(spark):
+    with session.scratch(spark):
+        kept = session.stored(spark.range(3), "copy")
+        (file,) = kept.inputFiles()[:1]
+        assert os.path.exists(file.removeprefix("file://")) and kept.count() == 3
+    assert not os.path.exists(os.path.dirname(file.removeprefix("file://")))
+
+
+def test_cluster_without_shared_folder_fails():
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077"):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.scratch_path(fake, "x")
+
+
 def test_stock_job_end_to_end(spark, tmp_path):
     source, events = str(tmp_path / "raw"), str(tmp_path / "events")
     views.bars(spark, SMALL).drop("year").write.parquet(source)

@@ -22,7 +22,7 @@ def rows(df):
 def quote_line(company="Ação", ticker="ABCD3", quantity="000000000000001500", day="20240105"):
     line = [" "] * 245
     for name, start, end, kind in fixed_width.QUOTE_LAYOUT:
-        text = {"text": " ", "int": "0", "price": "0", "date": "20240105"}[kind]
+        text = {"TEXT": " ", "INT": "0", "PRICE": "0", "DATE": "20240105"}[kind.name]
         line[start - 1 : end] = text.rjust(end - start + 1, "0" if kind != "text" else " ")
     def put(name, value):
         start, end = next((s, e) for n, s, e, _ in fixed_width.QUOTE_LAYOUT if n == name)
@@ -104,6 +104,15 @@ def test_ragged_rows_fail(spark, tmp_path, line):
         delimited.parse_delimited_strings(spark, str(path), "|").select("a").collect()
 
 
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "1.txt").write_text("a|b\n1|2\n")
+    (tmp_path / "2.txt").write_text("b|a\n3|4\n")
+    with gzip.open(tmp_path / "3.txt.gz", "wt") as stream:
+        stream.write("b|c|a\n5||6\n")
+    table = delimited.parse_delimited_strings(spark, str(tmp_path), "|").select("a", "b", "c")
+    assert set(map(tuple, table.collect())) == {("1", "2", None), ("4", "3", None), ("6", "5", "")}
+
+
 def test_gzip_text(spark, tmp_path):
     for part in range(3):
         with gzip.open(tmp_path / f"p{part}.tsv.gz", "wt") as stream:
@@ -159,6 +168,25 @@ def test_nested_zip(spark, tmp_path, mounted):
     ]
 
 
+def test_skipped_members_stay_packed(spark, tmp_path):
+    inner = zipped({"data.txt": b"a|b\n1|2\n"})
+    members = {"pricing file PPUF_2025Q1.zip": inner, "sample pricing file PPUF.zip": b"no archive",
+               "plan file PPUF_2025Q1.zip": inner, "other.zip": b"no archive"}
+    (tmp_path / "q.zip").write_bytes(zipped(members))
+    lines = archives.scan_zip_text(spark, str(tmp_path), nested=True, tables=["plan"])
+    assert lines.select("member", "header").distinct().collect() == [("plan file PPUF_2025Q1.zip", "a|b")]
+    heads = archives.scan_zip_text(spark, str(tmp_path), nested=True, tables=[], headers_only=True)
+    assert heads.count() == 2
+
+
+def test_digits_are_digits_when_strict(spark):
+    line = spark.createDataFrame([("01" + " 12",)], "value string")
+    layout = [("n", 3, 5, fixed_width.Field.INT)]
+    with pytest.raises(Exception, match="not a whole number"):
+        fixed_width.parse_fixed_width(line, layout).collect()
+    assert fixed_width.parse_fixed_width(line, layout, strict=False).first()[0] == 12
+
+
 def test_routes(spark):
     cases = {
         "pricing file PPUF_2025Q1.zip": "pricing/Q.parquet",
@@ -194,10 +222,10 @@ def test_event_documents(spark):
 
 def test_listed_companies(spark):
     companies = [("A", None, "01/01/2000"), ("B", "", "01/01/2000"), ("C", "DRN", "01/01/2000"),
-                 ("D", None, "31/12/9999")]
+                 ("D", None, "31/12/9999"), ("E", "", None)]
     df = spark.createDataFrame(companies, "code string, typeBDR string, dateListing string")
     kept = events_json.filter_listed_companies(df).select("code")
-    assert rows(kept) == [("A",), ("B",)]
+    assert rows(kept) == [("A",), ("B",), ("E",)]
 
 
 # --- stored tables ----------------------------------------------------------------------
