@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import hashed_sample
 from .texts import as_bytes, byte_set, quoted, with_text_columns
 
 SPANS = (
@@ -41,6 +42,8 @@ EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
 MAX_TOKENS, CONTEXT = 24, 3
 #: Texts sampled for training at most, passes over them, and the seed of both.
 SAMPLE_TEXTS, EPOCHS, SEED = 800, 6, 11
+#: Texts looked through for these at most.
+SEARCHED_TEXTS = 24_000
 #: Features on fewer training segments are left out.
 RARE = 25
 #: A segment found must beat staying outside by this much to be reported.
@@ -352,9 +355,10 @@ def examples(texts: list[str]) -> list[tuple[str, list[tuple[str, int, int]]]]:
 
 
 def fit(docs: DataFrame, text: str = "text") -> Field:
-    """A field trained on at most ``SAMPLE_TEXTS`` texts that hold a base span's characters."""
-    value = quoted(text).cast("string")
-    likely = docs.select(value.alias("text")).where(F.col("text").rlike("@[A-Za-z0-9]|[0-9]{2}"))
+    """A field trained on at most ``SAMPLE_TEXTS`` of ``SEARCHED_TEXTS`` or so sampled texts:
+    those that hold a base span's characters."""
+    texts = hashed_sample(docs.select(quoted(text).cast("string").alias("text")), SEARCHED_TEXTS)
+    likely = texts.where(F.col("text").rlike("@[A-Za-z0-9]|[0-9]{2}"))
     drawn = likely.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS)
     pieces = [row[0] for row in drawn.collect()]
     return train(examples(pieces))
