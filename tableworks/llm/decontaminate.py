@@ -28,7 +28,7 @@ from .texts import Packed, as_strings, blocks, quoted, window_hashes, with_text_
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, ALLOWED = 20, (5, 4, 4, 4)
 #: Items held by one task at a time, about 100 kB each; more take further passes.
-PASS_ITEMS = 2048
+PASS_ITEMS = 1024
 #: Positions of a document that are fingerprinted together.
 STRETCH = 1 << 14
 

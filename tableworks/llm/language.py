@@ -102,19 +102,21 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
         yield group
 
 
+def bundle(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of the trigrams' vectors, as often as each occurs."""
+    total = np.zeros(DIMENSIONS)
+    for at in range(0, len(codes), 1 << 13):
+        own = slice(at, at + (1 << 13))
+        total += counts[own].astype(np.float64) @ trigram_vectors(codes[own])
+    return total
+
+
 class Profiles:
     """Unit prototypes by language, in the order of their names."""
 
-    def __init__(self, counts: dict[str, dict[int, int]]):
-        self.names = sorted(counts)
-        rows = []
-        for name in self.names:
-            codes = np.array(list(counts[name]), np.int64)
-            weights = np.array(list(counts[name].values()), np.float64)
-            total = np.zeros(DIMENSIONS)
-            for at in range(0, len(codes), 1 << 14):
-                total += weights[at : at + (1 << 14)] @ trigram_vectors(codes[at : at + (1 << 14)])
-            rows.append(total / max(np.linalg.norm(total), 1e-12))
+    def __init__(self, bundles: dict[str, np.ndarray]):
+        self.names = sorted(bundles)
+        rows = [bundles[name] / max(np.linalg.norm(bundles[name]), 1e-12) for name in self.names]
         self.prototypes = np.array(rows, np.float32).reshape(len(rows), DIMENSIONS)
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -161,6 +163,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _bundled(counts: pa.Table) -> pa.Table:
+    """One language's bundle from its counts; no more rows than there are trigrams."""
+    vector = bundle(counts.column("code").to_numpy(), counts.column("n").to_numpy())
+    return pa.table({"lang": counts.column("lang").slice(0, 1), "vector": [vector.tolist()]})
+
+
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     """Profiles from all rows whose language is known; texts without letters teach nothing."""
     known = rows.where(quoted(lang).isNotNull()).select(
@@ -172,10 +180,8 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     names = summed.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
     if names > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    counts: dict[str, dict[int, int]] = {}
-    for row in summed.collect():
-        counts.setdefault(row["lang"], {})[row["code"]] = row["n"]
-    return Profiles(counts)
+    rows = summed.groupBy("lang").applyInArrow(_bundled, "lang string, vector array<double>")
+    return Profiles({row["lang"]: np.array(row["vector"]) for row in rows.collect()})
 
 
 def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:

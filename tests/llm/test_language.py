@@ -34,7 +34,7 @@ def test_cosine_with_prototypes():
     counts = {}
     for name, text in texts.items():
         values, n = np.unique(lg.trigrams(text), return_counts=True)
-        counts[name] = dict(zip(values.tolist(), n.tolist(), strict=True))
+        counts[name] = lg.bundle(values, n)
     found = lg.Profiles(counts).predict(["the mat", "ist im haus", "", "12 !"])
     assert found[0] == ["en", "de", "und", "und"]
     a, b = bundle("the mat"), bundle(texts["en"])
