@@ -375,7 +375,7 @@ def obv(spark, sf_dir):
     WHERE label IN ('DESDOBRAMENTO', 'BONIFICACAO', 'GRUPAMENTO')"""
 )
 def isin_filter(spark, sf_dir):
-    labels = F.col("label").isin(*ev.SHARE_EVENTS)
+    labels = F.col("label").isin(*ev.MULTIPLIERS)
     return views.corp_events(spark, sf_dir).where(labels)
 
 
