@@ -76,7 +76,8 @@ class PartVisitor:
         for kind in ("image", "audio", "document"):
             own_body, own_tokens = getattr(self, kind)(part)
             here = F.coalesce(part["kind"] == kind, F.lit(False))
-            body, tokens = F.when(here, own_body).otherwise(body), F.when(here, own_tokens).otherwise(tokens)
+            body = F.when(here, own_body).otherwise(body)
+            tokens = F.when(here, own_tokens).otherwise(tokens)
         return body, tokens
 
 
@@ -194,8 +195,7 @@ def read_back(
     SHA-256 digest can only be taken in order, so one task reads a conversation, whatever its
     length; it streams, and keeps no more than one batch of turns.
     """
-    rows = formatted.select(
-        quoted(conv_id).cast("long").alias("conv_id"), quoted(turn).alias("turn"), "segment", "has_loss", "expanded_tokens"
-    )
+    ids = quoted(conv_id).cast("long").alias("conv_id"), quoted(turn).alias("turn")
+    rows = formatted.select(*ids, "segment", "has_loss", "expanded_tokens")
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "segment")
     return dealt.select("conv_id", "segment", "has_loss", "expanded_tokens").mapInArrow(_read, CHECKED)

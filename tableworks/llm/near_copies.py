@@ -18,10 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from tableworks.session import stored
+
 from .texts import as_bytes, quoted, with_text_columns
 
 SHINGLE, SEED = 3, 42
@@ -29,7 +30,7 @@ SHINGLE, SEED = 3, 42
 RADIUS = 3
 
 #: Fingerprints aimed at in a shard, most shards, and most sampled fingerprints per shard.
-SHARD_SIZE, MAX_SHARDS, SAMPLE_PER_SHARD = 8192, 1 << 16, 64
+SHARD_SIZE, MAX_SHARDS, SAMPLE_PER_SHARD = 8192, 1 << 14, 64
 #: Below this a leaf is compared directly; vantage points tried at each split.
 LEAF_SIZE, VANTAGES = 512, 6
 #: Leaves that no vantage point splits and that hold more than this probe by flipped bits.
@@ -236,8 +237,9 @@ def star_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     shards = min(MAX_SHARDS, max(1, total // SHARD_SIZE))
     wanted = shards * SAMPLE_PER_SHARD if shards > 1 else 0
     share = F.pmod(F.xxhash64("fingerprint_bits", F.lit(7)), F.lit(max(total, 1))) < wanted
-    sample = prints.where(share).collect()  # MAX_SHARDS * SAMPLE_PER_SHARD at most, as expected
-    bits = np.array([row[0] for row in sample], np.int64).view(np.uint64)
+    # About MAX_SHARDS * SAMPLE_PER_SHARD fingerprints at most, 8 MB.
+    sample = prints.where(share).select("fingerprint_bits").toArrow().column(0)
+    bits = sample.to_numpy().astype(np.int64).view(np.uint64)
     tree = spark.sparkContext.broadcast(VantageTree(bits, SAMPLE_PER_SHARD, radius))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +268,11 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     on its smallest neighbour, until nothing changes. Rounds grow with the logarithm of the
     longest path. Every round is written to the shared folder.
     """
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), name)
+    def edge(larger: str, smaller: str) -> Column:
+        return F.struct(F.col(larger).alias("a"), F.col(smaller).alias("b"))
+
+    ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = stored(ordered.where("a <> b"), name)
     state = None
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
@@ -276,12 +282,12 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(low, "a")
-            .select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+            .select(F.explode(F.array(edge("a", "m"), edge("b", "m"))).alias("e"))
             .select("e.a", "e.b")
             .where("a <> b")
             .distinct()
         )
-        edges = written(small, name)
+        edges = stored(small, name)
         summary = edges.agg(
             F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.count_distinct("a")
         ).first()
@@ -306,8 +312,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     null name.
     """
     slim = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    marked = written(with_fingerprints(slim).drop("text"), "fingerprints")
-    prints = written(
+    marked = stored(with_fingerprints(slim).drop("text"), "fingerprints")
+    prints = stored(
         marked.groupBy("fingerprint_bits").agg(F.min("doc_id").alias("first_id")), "prints"
     )
     groups = fingerprint_groups(prints)
@@ -327,7 +333,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     own rows first, so a component of any size sends one row per task.
     """
     marked = with_fingerprints(docs, text)
-    prints = written(marked.select("fingerprint_bits").distinct(), "prints")
+    prints = stored(marked.select("fingerprint_bits").distinct(), "prints")
     groups = fingerprint_groups(prints)
     root = F.coalesce("_root", "fingerprint_bits")
     renamed = groups.select(F.col("fingerprint_bits").alias("_bits"), F.col("root").alias("_root"))

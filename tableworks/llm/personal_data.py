@@ -146,8 +146,10 @@ class Stretch:
         return ""
 
 
-_AT, _DOT = re.compile(r"\s*[\[({<]?\s*(?:@|\bat\b)\s*[\])}>]?\s*", re.I), re.compile(r"\s*[\[({<]\s*dot\s*[\])}>]\s*|\s+dot\s+|\.", re.I)
-_NAME, _HOST = re.compile(r"[A-Za-z0-9._%+-]+\Z"), re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\Z")
+_AT = re.compile(r"\s*[\[({<]?\s*(?:@|\bat\b)\s*[\])}>]?\s*", re.I)
+_DOT = re.compile(r"\s*[\[({<]\s*dot\s*[\])}>]\s*|\s+dot\s+|\.", re.I)
+_NAME = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\Z")
 
 
 def features(stretch: Stretch, i: int, j: int) -> list[str]:

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableworks.session import stored
+
 from .texts import (
     Packed,
     apart,
@@ -176,10 +178,11 @@ def quality_rules(
     often as they occur. Without any document that passes the base rules there is no fence.
 
     The counts are made twice, once for the sketches and once beside the rows, rather than
-    shuffled or stored with the texts.
+    shuffled or stored with the texts. The fences are stored first: Spark then knows their true
+    size, broadcasts them only below the session's threshold and merges otherwise.
     """
     counted = with_text_columns(docs, text, text_counts, COUNTS)
-    found = fences(sketches(counted, lang, source))
+    found = stored(fences(sketches(counted, lang, source)), "fences")
     joined = counted
     own, by_lang = _bound(found, 0, ["lang", "source"]), _bound(found, 1, ["lang"])
     key_lang, key_source = quoted(lang).cast("string"), quoted(source).cast("string")

@@ -1,22 +1,10 @@
-"""Tables of intermediate results in the folder that driver and executors share."""
+"""Which rows models learn from."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableworks.session import scratch_path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once below the shared folder and read back.
-
-    Lost executors cost no recomputation, and later passes read only the columns they need.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
 
 def hashed_sample(df: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` different rows, picked by their hashes; all of them where there are fewer.

@@ -17,7 +17,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import hashed_sample, written
+from tableworks.session import stored
+
+from .shared import hashed_sample
 from .texts import quoted
 
 #: Labelled URLs that training may use, and the size of the trees.
@@ -96,7 +98,9 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     entropy = F.aggregate(
         F.array_distinct(letters),
         F.lit(0.0),
-        lambda total, letter: total + _surprise(F.size(F.filter(letters, lambda x: x == letter)) / F.size(letters)),
+        lambda total, letter: total + _surprise(
+            F.size(F.filter(letters, lambda x: x == letter)) / F.size(letters)
+        ),
     )
     labels = F.split(host, r"\.")
     values = (
@@ -120,7 +124,10 @@ def _surprise(share: Column) -> Column:
 
 
 def suffix(host: Column, labels: int) -> Column:
-    return F.array_join(F.slice(F.split(host, r"\."), F.greatest(1 - labels + F.size(F.split(host, r"\.")), F.lit(1)), labels), ".")
+    """The last ``labels`` labels of a host."""
+    parts = F.split(host, r"\.")
+    first = F.greatest(F.size(parts) - labels + 1, F.lit(1))
+    return F.array_join(F.slice(parts, first, labels), ".")
 
 
 def _suffix_table(pages: DataFrame, key: str) -> DataFrame:
@@ -147,7 +154,7 @@ def train(labelled: DataFrame, rows: int = SAMPLE_URLS) -> GBTClassificationMode
     ``labelled`` has ``_url``, the features, and ``_label`` (1 is block).
     """
     drawn = hashed_sample(labelled.select("_url", "_label", *LEXICAL, *SUFFIX), rows)
-    kept = written(drawn.drop("_url"), "labelled-urls")
+    kept = stored(drawn.drop("_url"), "labelled-urls")
     found = [row[0] for row in kept.select("_label").distinct().collect()]
     if len(found) < 2:
         return found[0] if found else 0.0
