@@ -72,7 +72,8 @@ class _Reader:
             return digits.try_cast("long")
         # A cast alone would forgive blanks and control bytes around the digits.
         wrong = F.raise_error(F.concat(F.lit("not a whole number: "), digits)).cast("long")
-        return F.when(digits.isNull() | F.rlike(digits, F.lit("^-?[0-9]+$")), digits.cast("long")).otherwise(wrong)
+        right = digits.isNull() | F.rlike(digits, F.lit("^-?[0-9]+$"))
+        return F.when(right, digits.cast("long")).otherwise(wrong)
 
     def read(self, raw: Column, kind: Field) -> Column:
         match kind:
