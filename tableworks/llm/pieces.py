@@ -30,8 +30,10 @@ from .texts import as_strings, blocks, mixed, quoted
 BLANK, LITERAL = 0x2581, 0x110000
 #: Segmentations returned, and how much worse than the worst piece a character without one is.
 N_BEST, UNKNOWN_PENALTY = 4, 10.0
-#: Stretches up to this long are passed together; longer ones alone.
-TOGETHER = 40
+#: Stretches up to this long are passed together, short ones apart; longer ones alone.
+TOGETHER, SHORT = 40, 10
+#: Bytes of text encoded together: every one of them takes some 60 in the tables.
+BLOCK_BYTES = 1 << 19
 
 _SLOT_BITS = 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -280,7 +282,7 @@ class Vocabulary:
             nbest.append(entries)
         return out, nbest
 
-    @functools.lru_cache(maxsize=100_000)  # noqa: B019  one vocabulary per process
+    @functools.lru_cache(maxsize=8192)  # noqa: B019  one vocabulary per process
     def _searched(self, own: tuple[int, ...], n: int):
         return [(score, self._spelt_out(ids)) for score, ids in self.search(own, n)]
 
@@ -316,12 +318,16 @@ class Vocabulary:
         common = order[(size[order] <= TOGETHER) & ~is_bare[order]]
         pool_parts, first = [np.zeros(0, np.int32)], np.zeros(count, np.int64)
         used = 0
-        if len(common):
-            width = int(size[common[0]])
-            at = start[common][:, None] + np.arange(width)[None, :]
-            inside = np.arange(width)[None, :] < size[common][:, None]
+        # Short and long ones apart: the tables are as wide as the longest of their stretches.
+        for low, high in ((0, SHORT), (SHORT, TOGETHER)):
+            some = common[(size[common] > low) & (size[common] <= high)]
+            if not len(some):
+                continue
+            width = int(size[some[0]])
+            at = start[some][:, None] + np.arange(width)[None, :]
+            inside = np.arange(width)[None, :] < size[some][:, None]
             rows_of = np.where(inside, letters[np.minimum(at, len(letters) - 1)], 0)
-            best[common], ids, n_own, loss[common] = self.passes(rows_of, size[common])
+            best[some], ids, n_own, loss[some] = self.passes(rows_of, size[some])
             filled = np.arange(ids.shape[1])[None, :] < n_own[:, None]
             if (filled & (ids >= self.real_ids)).any():
                 rows = [self._spelt_out(tuple(r[:k].tolist())) for r, k in zip(ids, n_own, strict=True)]
@@ -329,9 +335,9 @@ class Vocabulary:
                 pool_parts.append(np.array([x for row in rows for x in row], np.int32))
             else:
                 pool_parts.append(ids[filled])
-            n_ids[common] = n_own
-            first[common] = np.cumsum(n_own) - n_own
-            used = int(n_own.sum())
+            n_ids[some] = n_own
+            first[some] = used + np.cumsum(n_own) - n_own
+            used += int(n_own.sum())
         for k in np.flatnonzero(is_bare | (size > TOGETHER)):
             if is_bare[k]:
                 ids_k, best[k] = self.spelt(int(codes[start[k]])), self.unknown_score
@@ -408,7 +414,7 @@ def encode(docs: DataFrame, vocabulary, text: str = "text", n: int = N_BEST, kee
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first = 0
-            for block in blocks(batch.column(batch.num_columns - 1)):
+            for block in blocks(batch.column(batch.num_columns - 1), BLOCK_BYTES):
                 texts = as_strings(block)
                 ids, nbest = vocabulary.value.encode(texts, n)
                 same = [

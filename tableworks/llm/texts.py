@@ -33,13 +33,13 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def blocks(texts: pa.Array) -> Iterator[pa.Array]:
+def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[pa.Array]:
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     first = 0
     while first < len(texts):
         base = ends[first] - sizes[first]
-        last = max(first + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, "right")))
+        last = max(first + 1, int(np.searchsorted(ends, base + most, "right")))
         yield texts.slice(first, last - first)
         first = last
 
