@@ -300,14 +300,15 @@ class Vocabulary:
     def _stretches(self, codes, letters, starts, sizes):
         """Each different stretch once: score, ids, loss of the second best, and who has it."""
         place = np.arange(len(codes)) - np.repeat(starts, sizes)
-        far = place >= TOGETHER
         power = self.powers[np.minimum(place, TOGETHER)]
-        if far.any():
-            power = power * mixed(place.astype(np.uint64))
+        # A place has the same weight in every block, and an odd one: no letter drops out.
+        far = np.flatnonzero(place >= TOGETHER)
+        power[far] *= mixed(place[far].astype(np.uint64)) | np.uint64(1)
         value = self.letters[letters] * power
         bare = letters == 0
         value[bare] = mixed(codes[bare].astype(np.uint64) + np.uint64(1 << 32))
         keys = np.add.reduceat(value, starts) if len(starts) else np.zeros(0, np.uint64)
+        keys = mixed(keys + sizes.astype(np.uint64) * _OTHER)
         _, example, owner = np.unique(keys, return_index=True, return_inverse=True)
         size, start = sizes[example], starts[example]
         count = len(example)

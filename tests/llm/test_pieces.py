@@ -87,6 +87,15 @@ def test_round_trip(vocabulary, text):
         assert vocabulary.decode(np.array(applied(ids[0].tolist(), edits), np.int64)).decode() == text
 
 
+def test_a_long_word_leaves_the_rest_of_its_block_alone(vocabulary):
+    texts = ["a, b. c; 1 2 3", "cat bat rat 4 5 6 ?!", "x" * 60, "y" + "x" * 60, "é ü 7"]
+    ids, nbest = vocabulary.encode(texts, 4)
+    for text, own, ways in zip(texts, ids, nbest, strict=True):
+        (alone,), (ways_alone,) = vocabulary.encode([text], 4)
+        assert own.tolist() == alone.tolist() and vocabulary.decode(own).decode() == text
+        assert [s for s, _ in ways] == pytest.approx([s for s, _ in ways_alone])
+
+
 def test_documents(spark, documents, odd, none):
     held = pieces.broadcast(spark, MODEL_PATH)
     for docs in (documents, odd):
