@@ -3,8 +3,9 @@
 The field scores whole candidate segments, not single tokens: what a span looks like from end to
 end (shape, digit groups, check digit, separators) and the word before it. A dynamic program over
 the tokens of a stretch chooses boundaries and types together; an entity has at most
-``MAX_TOKENS`` tokens. Text far from any digit or at-sign has no candidate segment, so it is
-outside by definition and is not scored.
+``MAX_TOKENS`` tokens. Scored are the stretches around digits, at-signs, "at" or "dot" in brackets,
+and a bare "at" that a "dot" or a dotted host follows; text far from all of these is outside by
+definition.
 
 It is trained here, on stretches around the base spans of a bounded sample of texts. Some of these
 are rewritten the way people disguise such data, with "at" and "dot", other separators or no plus
@@ -17,6 +18,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
 
 #: Tokens in a segment at most; words of context on either side of a stretch.
 MAX_TOKENS, CONTEXT = 24, 3
+#: Words around a bare "at" among which its dots or its host must be.
+SPELT_REACH = 4
 #: Texts sampled for training at most, passes over them, and the seed of both.
 SAMPLE_TEXTS, EPOCHS, SEED = 800, 6, 11
 #: Texts looked through for these at most.
@@ -148,6 +152,8 @@ class Stretch:
 
 _AT = re.compile(r"\s*[\[({<]?\s*(?:@|\bat\b)\s*[\])}>]?\s*", re.I)
 _DOT = re.compile(r"\s*[\[({<]\s*dot\s*[\])}>]\s*|\s+dot\s+|\.", re.I)
+_GOES_ON = re.compile(r"(?:%s)[A-Za-z0-9]" % _DOT.pattern, re.I)
+_LED_ON = re.compile(r"[A-Za-z0-9](?:%s)\Z" % _DOT.pattern, re.I)
 _NAME = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\Z")
 
@@ -168,7 +174,17 @@ def features(stretch: Stretch, i: int, j: int) -> list[str]:
         parts = _AT.split(text)
         if len(parts) == 2 and _NAME.match(_DOT.sub(".", parts[0])):
             host = _DOT.sub(".", parts[1])
-            found.append("name at host" if _HOST.match(host) else "name at other")
+            if _HOST.match(host):
+                # How the whole is spelt tells more than which marks that takes.
+                found = [name for name in found if not name.startswith(("sep=", "plain", "long"))]
+                at_form = re.sub(r"\s+", " ", _AT.search(text).group().lower())
+                found += ["name at host", "at=" + at_form, "ending=" + host.rsplit(".", 1)[1].lower()]
+                if _GOES_ON.match(stretch.text, stretch.ends[j - 1]):
+                    found.append("host goes on")
+                if _LED_ON.search(stretch.text[max(0, stretch.starts[i] - 8) : stretch.starts[i]]):
+                    found.append("name begins earlier")
+            else:
+                found.append("name at other")
             found.append("at sign" if "@" in text else "at word")
         else:
             found.append("letters")
@@ -183,14 +199,17 @@ def features(stretch: Stretch, i: int, j: int) -> list[str]:
         if len(digits) in (10, 11, 12):
             found.append("phone groups " + "-".join(str(min(len(g), 5)) for g in groups[:5]))
         found.append("head=" + (text[0] if text[0] in "+(" else "d"))
-    found.append("before=" + stretch.before(i))
+    if "name at host" not in found:
+        found.append("before=" + stretch.before(i))
     return found
 
 
 def _stretches(text: str) -> list[tuple[int, int]]:
     """Bounds of the words near marks, neighbours joined."""
     words = [m.span() for m in re.finditer(r"[^\s]+", text)]
-    hot = [k for k, (s, e) in enumerate(words) if _is_hot(text[s:e])]
+    hot = [k for k, (s, e) in enumerate(words) if _HOT_WORD.search(text, s, e)]
+    if _BARE_AT.search(text):
+        hot = sorted({*hot, *_spelt_out([text[s:e] for s, e in words])})
     bounds: list[list[int]] = []
     for k in hot:
         low, high = max(0, k - CONTEXT), min(len(words), k + CONTEXT + 2)
@@ -201,11 +220,19 @@ def _stretches(text: str) -> list[tuple[int, int]]:
     return [(words[low][0], words[high - 1][1]) for low, high in bounds]
 
 
-_HOT_WORD = re.compile(r"[0-9@]|\A[\[({<](?:at|dot)[\])}>]\Z", re.I)
+_HOT_WORD = re.compile(r"[0-9@]|[\[({<](?:at|dot)[\])}>]", re.I)
+_BARE_AT = re.compile(r"(?<!\S)at(?!\S)", re.I)
 
 
-def _is_hot(word: str) -> bool:
-    return bool(_HOT_WORD.search(word))
+def _spelt_out(words: list[str]) -> Iterator[int]:
+    """Places of a bare "at" with a "dot" or a dotted host soon after it, and of the dots beside it."""
+    for k, word in enumerate(words):
+        if len(word) == 2 and word.lower() == "at":
+            after = range(k + 1, min(len(words), k + 1 + SPELT_REACH))
+            dots = [j for j in after if words[j].lower() == "dot"]
+            if dots or any(_HOST.match(words[j].strip("()[]{}<>\"',;:.!?")) for j in after):
+                before = range(max(0, k - SPELT_REACH), k)
+                yield from (k, *dots, *(j for j in before if words[j].lower() == "dot"))
 
 
 # ---------------------------------------------------------------- the field
@@ -298,12 +325,18 @@ def train(examples: list[tuple[str, list[tuple[str, int, int]]]]) -> Field:
     return field
 
 
-def _disguised(kind: str, text: str, dice: random.Random) -> str:
+#: Ways to write an address: for its at-sign, and for its dots.
+ADDRESS_FORMS = ((" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "."), (" @ ", "."), ("[at]", "[dot]"))
+#: Characters on either side that an address is shown with.
+BESIDE = 30
+
+
+def _disguised(kind: str, text: str, dice: random.Random, form: tuple | None = None) -> str:
     if kind == "email":
         if dice.random() < 0.5:
             text = re.sub(r"\.?[0-9]+", "", text)
         name, host = text.split("@")
-        at, dot = dice.choice(((" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "."), (" @ ", ".")))
+        at, dot = form or dice.choice(ADDRESS_FORMS)
         return (name.replace(".", dot) if dice.random() < 0.5 else name) + at + host.replace(".", dot)
     if kind == "ip":
         return text.replace(".", dice.choice((" . ", "[.]", ".")))
@@ -315,8 +348,11 @@ def _disguised(kind: str, text: str, dice: random.Random) -> str:
     return dice.choice(("({1}) {2}-{3}", "{1}-{2}-{3}", "00{0} {1} {2} {3}", "{1}.{2}.{3}")).format(*parts)
 
 
+_NOUNS = ("product", "matrix", "plot", "on", "of", "in", "and", "pattern", "size", "above", "there", "map")
+
+
 def _plain_numbers(dice: random.Random) -> str:
-    """Dates, times, amounts, book numbers and codes, none of them personal."""
+    """Dates, times, amounts, book numbers, codes and dots in words, none of them personal."""
     n = dice.randint
     kinds = (
         f"in {n(1000, 2100)} there were {n(10, 10**9):,} of no {n(1, 10**6)} and {dice.random():.4f} more",
@@ -324,13 +360,14 @@ def _plain_numbers(dice: random.Random) -> str:
         f"dated {n(1, 28):02}.{n(1, 12):02}.{n(1950, 2030)} {n(0, 23):02}:{n(0, 59):02} and so",
         f"book {n(978, 979)}-{n(0, 9)}-{n(10, 99)}-{n(100000, 999999)}-{n(0, 9)} by them",
         f"order {n(10**12, 10**14)} of {n(10, 99)} {n(100, 999)} {n(1000, 9999)} {n(10, 99)} parts",
+        f"look at {dice.choice(('the', 'this', 'a', 'each'))} dot {dice.choice(_NOUNS)} or stay at the dot",
         f"release {n(0, 20)}.{n(0, 20)}.{n(0, 900)} has {n(1, 99)} - {n(100, 999)} notes",
     )
     return dice.choice(kinds)
 
 
 def examples(texts: list[str]) -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """Pieces of texts with labelled spans: as they are, and with spans disguised."""
+    """Pieces of texts with labelled spans: as they are, and disguised, addresses in every form."""
     dice, out = random.Random(SEED), []
     for text in texts:
         taken, last = [], -1
@@ -349,6 +386,13 @@ def examples(texts: list[str]) -> list[tuple[str, list[tuple[str, int, int]]]]:
                 spans.append((kind, size, size + len(found.rstrip())))
                 size, at = size + len(found), end
             out.append(("".join([*parts, text[at:]]), spans))
+        # Addresses are rare: each is shown in all its forms, up to the spans beside it.
+        edges = [0, *(end for *_, end in taken)], [*(start for _, start, _ in taken[1:]), len(text)]
+        for (kind, start, end), low, high in zip(taken, *edges):
+            for form in ADDRESS_FORMS if kind == "email" else ():
+                lead, found = text[max(low, start - BESIDE) : start], _disguised(kind, text[start:end], dice, form)
+                spans = [(kind, len(lead), len(lead) + len(found.rstrip()))]
+                out.append((lead + found + text[end : min(high, end + BESIDE)], spans))
         out.append((_plain_numbers(dice), []))
     return out
 
@@ -386,7 +430,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 _NOTHING = hashlib.sha256(b"").hexdigest()
-_WORDS = re.compile(rb"[\[({<](?:at|dot)[\])}>]", re.I)
+_WORDS = re.compile(rb"[\[({<](?:at|dot)[\])}>]|(?<![A-Za-z0-9])at(?![A-Za-z0-9])", re.I)
 
 
 def _finder(field):

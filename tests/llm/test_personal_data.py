@@ -84,6 +84,31 @@ def test_disguised_data_is_added(field, text, kind, span):
     assert not base and (kind, text.index(span), text.index(span) + len(span)) in every
 
 
+@pytest.mark.parametrize("before", ["", "write to ", "see figures 1 2 3 and then some more words before you write to "])
+@pytest.mark.parametrize(
+    "span",
+    [
+        "john(at)example.com",
+        "john[at]example[dot]com",
+        "john [at] example [dot] com",
+        "john @ example.com",
+        "john at example dot com",
+        "john dot smith at mail dot example dot com",
+    ],
+)
+def test_disguised_addresses_without_digits(field, span, before):
+    text = f"{before}{span} today"
+    own = ("email", len(before), len(before) + len(span))
+    assert pd_.all_spans(text, field)[1] == [own]
+    found = pd_._finder(type("Held", (), {"value": field}))(pd_.pa.array([text]))
+    assert found["spans"] == ["%s:%d:%d" % own]
+
+
+def test_dots_in_words_stay_clean(field):
+    for text in ("they look at the dot product of both", "he is at home. The dot is red", "at the dot com boom"):
+        assert pd_.all_spans(text, field) == ([], [])
+
+
 def test_plain_text_stays_clean(field):
     for text in ("In 1999 there were 12,345,678 people.", "on 2024-01-15 12:30:45 it rained", "no numbers at all. dot"):
         assert pd_.all_spans(text, field) == ([], [])
