@@ -1,7 +1,8 @@
 """Benchmark passages in documents: SimHash of item-sized windows under a Hamming index.
 
 Words are runs of letters and digits, lower-cased; shingles are five words (a text of fewer words
-is one shingle). A window has as many words as an item. Windows and items have 64-bit SimHash
+is one shingle). A window has as many words as an item; a text of fewer words than an item is one
+window, compared directly with the items that share a shingle with it. Other windows and items have 64-bit SimHash
 fingerprints; an index over four 16-bit blocks finds every item within ``RADIUS`` bits of a
 window: if two fingerprints differ in at most 20 bits then, of blocks with allowances 5, 4, 4 and
 4, at least one is within its allowance. Candidates count only if the weighted Jaccard similarity
@@ -128,6 +129,14 @@ class Benchmark:
         for _, size, found in self.items:
             self.known.setdefault(min(size, SHINGLE), []).append(found)
         self.known = {k: np.unique(np.concatenate(v)) for k, v in self.known.items()}
+        #: Shingle length -> all shingles in order and, beside them, the items that hold them.
+        self.holders = {}
+        for k in self.known:
+            own = [at for at, (_, size, _) in enumerate(self.items) if min(size, SHINGLE) == k]
+            every = np.concatenate([self.items[at][2] for at in own])
+            order = np.argsort(every, kind="stable")
+            holder = np.repeat(own, [len(self.items[at][2]) for at in own])
+            self.holders[k] = every[order], holder[order]
         self.sieves = {}
         for k, known in self.known.items():
             sieve = np.zeros(1 << 20, bool)
@@ -163,6 +172,20 @@ class Benchmark:
                     bits = 2 * (sums[starts + count] - sums[starts]) > count
                     yield size, starts + low, packed_bits(bits)
 
+    def longer(self, hashes: np.ndarray, known: np.ndarray, k: int) -> Iterator[tuple[int, float]]:
+        """Items of more words than a whole text, and how similar it is to them."""
+        n_words = len(hashes) + k - 1
+        # The shared shingles are at most the known ones, and all are at least the item's.
+        most = np.count_nonzero(known) / SIMILARITY + k - 1 + 1e-9
+        if not len(hashes) or not any(n_words < size <= most for size in self.sizes[k]):
+            return
+        every, holder = self.holders[k]
+        asked = np.unique(hashes[known])
+        low, high = np.searchsorted(every, asked), np.searchsorted(every, asked, "right")
+        for at in np.unique(np.concatenate([holder[a:b] for a, b in zip(low, high, strict=True)])).tolist():
+            if n_words < self.items[at][1] <= most:
+                yield at, similarity(hashes, self.items[at][2])
+
     def matches(self, by_length: dict, marks: dict) -> dict[int, list]:
         """Item position -> [similarity, first word, words, windows] of its best window."""
         found: dict[int, list] = {}
@@ -179,6 +202,9 @@ class Benchmark:
                         best[3] += 1
                         if alike > best[0]:
                             best[:3] = alike, start, size
+            for at, alike in self.longer(hashes, marks[k], k):
+                if alike >= SIMILARITY:
+                    found[at] = [alike, 0, len(hashes) + k - 1, 1]
         return found
 
     def scan(self, texts: list[str]) -> Iterator[tuple[int, int, list]]:
@@ -209,7 +235,8 @@ def contaminated(
     """``doc_id``, ``item_id``, best ``similarity``, its ``first_word`` and ``n_words``, and
     ``n_windows``: a row for each document row and item that it repeats.
 
-    Null, empty and wordless texts repeat nothing, and such items are repeated by nothing. Null
+    A text of fewer words than an item is compared as a whole. Null, empty and wordless texts
+    repeat nothing, and such items are repeated by nothing. Null
     ids stay null. Equal items each have their row, and so have repeated document rows. The
     benchmark is read in passes of ``PASS_ITEMS`` items; each pass scans the documents once.
     """

@@ -74,6 +74,41 @@ def test_matches_equal_brute_force(tables):
     assert kept == {r["doc_id"] for r in docs.collect()} - {d for d, _ in want}
 
 
+def best_or_whole(text, item):
+    """As ``best``; a text of fewer words than the item is one window."""
+    words, own = words_of(text), words_of(item)
+    if not words or len(words) >= len(own):
+        return best(text, item)
+    return jaccard(bag(words), bag(own))
+
+
+def test_texts_shorter_than_an_item(spark, tables):
+    _, bench = tables
+    items = [(r["item_id"], r["text"]) for r in bench.collect()]
+    texts = []
+    for _, item in items:
+        words = words_of(item)
+        for cut in range(1, 14):
+            texts += [" ".join(words[:-cut]), " ".join(words[cut:]), " ".join(words[cut // 2 : -cut]).title()]
+            texts.append(" ".join([*words[:7], "other", *words[8:-cut]]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {}
+    for doc_id, text in enumerate(texts):
+        for item_id, item in items:
+            alike = best_or_whole(text, item)
+            if alike >= 0.8:
+                want[doc_id, item_id] = round(alike, 9)
+    rows = dc.contaminated(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in rows} == want and len(want) > 60
+    whole = {(d, i) for d, i in want if len(words_of(texts[d])) < len(words_of(dict(items)[i]))}
+    assert len(whole) > 60
+    for r in rows:
+        if (r["doc_id"], r["item_id"]) in whole:
+            assert (r["first_word"], r["n_words"], r["n_windows"]) == (0, len(words_of(texts[r["doc_id"]])), 1)
+    kept = {r["doc_id"] for r in dc.without_contaminated(docs, bench).collect()}
+    assert kept == set(range(len(texts))) - {d for d, _ in want}
+
+
 def test_several_passes_are_one(tables, monkeypatch):
     docs, bench = tables
     whole = sorted(map(str, dc.contaminated(docs, bench).collect()))
