@@ -1,6 +1,8 @@
 """Secrets in texts: three base patterns, and encoded keys and tokens confirmed by structure.
 
-A run of base64 or hexadecimal characters is decoded and reported only if what it holds parses:
+A run of base64 or hexadecimal characters is decoded and reported only if what it holds parses.
+Runs may be broken into lines, indented ones and ones with written breaks too. Where the whole run
+does not parse its parts are tried, after slashes and between dots, as in paths:
 
 - ``der``: nested tag-length-value structures whose lengths add up exactly, starting like a
   private or public key or a certificate (a sequence that holds an integer or a sequence);
@@ -13,9 +15,11 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +43,16 @@ KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 #: Shortest run that is decoded, and the runs: base64 of either alphabet, dots for tokens.
 MIN_ENCODED = 40
 ENCODED = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % MIN_ENCODED)
-#: Base64 text broken into lines of up to 76 characters, as in key files.
-BROKEN = re.compile(r"(?:[A-Za-z0-9+/]{64,76}\r?\n)+[A-Za-z0-9+/]*={0,2}")
+#: A line break, or one written with backslashes, and blanks around it.
+BREAK = re.compile(r"[\x20\t]*(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*")
+#: Base64 text broken into lines of up to 76 characters, as in key files; not from the letter of
+#: a written line break on.
+BROKEN = re.compile(r"(?<!\\)(?:[A-Za-z0-9+/]{64,76}(?:%s))+[A-Za-z0-9+/]*={0,2}" % BREAK.pattern)
+#: How the parts of a run begin that are worth a look, and where parts begin.
+PART = re.compile(r"(?:(?<=[/=.])|\A)(?:M|30|AAAA|b3Bl|e)")
 HEX_ANY = re.compile(r"[0-9A-Fa-f]+\Z")
+HEX_PART = re.compile(r"[0-9A-Fa-f]+")
+TOKEN_HEAD = re.compile(r"e[A-Za-z0-9+_-]*={0,2}\.")
 SSH_TYPES = re.compile(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+\Z")
 
 KINDS = ("assign", "access", "hex", "der", "jwt", "ssh")
@@ -99,6 +110,12 @@ def is_ssh(data: bytes) -> bool:
     return len(fields) > 1 and bool(SSH_TYPES.match(fields[0]))
 
 
+def is_ssh_head(data: bytes) -> bool:
+    """Whether keys may begin so: the container's name, or a key type as the first field."""
+    size = int.from_bytes(data[:4], "big")
+    return data.startswith(b"openssh-key-v1\0") or 4 < size < 64 and bool(SSH_TYPES.match(data[4 : 4 + size]))
+
+
 def _base64(text: str) -> bytes | None:
     text = text.rstrip("=").replace("-", "+").replace("_", "/")
     try:
@@ -156,27 +173,83 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def _der_chars(text: str, begin: int) -> int:
+    """Characters of the base64 structure that begins there by its own length, or zero."""
+    head = _base64(text[begin : begin + 8])
+    if not head or len(head) < 6 or head[0] != 0x30 or head[1] == 0x80 or head[1] > 0x84:
+        return 0
+    octets = head[1] & 0x7F if head[1] & 0x80 else 0
+    size = 2 + octets + (int.from_bytes(head[2 : 2 + octets], "big") if octets else head[1])
+    return -(-size * 4 // 3)
+
+
+def _parts(run: str) -> Iterator[tuple[int, int]]:
+    """Bounds of what may be a key or token inside a run: after slashes, between dots."""
+    dots = [m.start() for m in re.finditer(r"\.", run)] + [len(run)]
+    for m in PART.finditer(run):
+        begin = m.start()
+        at = bisect.bisect_left(dots, begin)
+        end = dots[at]
+        if run[begin] == "e":
+            if TOKEN_HEAD.match(run, begin) and at + 1 < len(dots):
+                # The third part ends at a dot, a slash or the end.
+                end = dots[min(at + 2, len(dots) - 1)]
+                slash = run.find("/", dots[at + 1], end)
+                yield begin, end if slash < 0 else slash
+        elif run[begin] == "M":
+            stop = begin + _der_chars(run, begin)
+            if begin < stop <= end and (stop == end or run[stop] in "=/"):
+                padding = run[stop : min(end, stop + 2)]
+                yield begin, stop + len(padding) - len(padding.lstrip("="))
+        elif run[begin] == "3":
+            stop = HEX_PART.match(run, begin).end()
+            if stop == end or run[stop] == "/":
+                yield begin, stop
+        elif is_ssh_head(_base64(run[begin : min(end, begin + 96)]) or b""):
+            yield begin, end
+
+
+def _in_run(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """Spans in a run: the whole, else what follows an equals sign, else parts of it."""
+    whole = text[start:end]
+    after = start + whole.rstrip("=").rfind("=") + 1
+    for begin in dict.fromkeys((start, after)):
+        kind = encoded_kind(text[begin:end]) if end - begin >= MIN_ENCODED else None
+        if kind:
+            yield begin, end, kind
+            return
+    done = 0
+    for low, high in _parts(whole):
+        if low >= done and high - low >= MIN_ENCODED:
+            kind = encoded_kind(whole[low:high])
+            if kind:
+                yield start + low, start + high, kind
+                done = high
+
+
 def structural_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     for m in BROKEN.finditer(text):
-        kind = encoded_kind(re.sub(r"\s", "", m.group()))
-        if kind:
-            found.append((m.start(), m.end(), kind))
+        # What follows the last break may be no part of it, and a last break is none.
+        *_, last = BREAK.finditer(text, *m.span())
+        for end in (last.start(),) if last.end() == m.end() else (m.end(), last.start()):
+            kind = encoded_kind(BREAK.sub("", text[m.start() : end]))
+            if kind:
+                found.append((m.start(), end, kind))
+                break
+    broken, at = list(found), 0
     for m in ENCODED.finditer(text):
         start, end = m.span()
+        # The letter of a written line break is not of the run.
+        if text[start - 1 : start] == "\\" and text[start] in "nrt":
+            start += 1
         # A sentence may end right after the token; dots and dashes may lead to it.
         while end > start and text[end - 1] in ".-":
             end -= 1
-        if any(s < end and start < e for s, e, _ in found):
-            continue
-        whole = text[start:end]
-        # Something like ``key=`` may come first: try what follows an equals sign, too.
-        after = start + whole.rstrip("=").rfind("=") + 1
-        for begin in dict.fromkeys((start, after)):
-            kind = encoded_kind(text[begin:end]) if end - begin >= MIN_ENCODED else None
-            if kind:
-                found.append((begin, end, kind))
-                break
+        while at < len(broken) and broken[at][1] <= start:
+            at += 1
+        if at == len(broken) or broken[at][0] >= end:
+            found += _in_run(text, start, end)
     return found
 
 
