@@ -170,7 +170,10 @@ def _bundled(counts: pa.Table) -> pa.Table:
 
 
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
-    """Profiles from all rows whose language is known; texts without letters teach nothing."""
+    """Profiles from all rows whose language is known; texts without letters teach nothing.
+
+    More than ``MAX_LANGUAGES`` languages are an error: profiles are held whole by every task.
+    """
     known = rows.where(quoted(lang).isNotNull()).select(
         quoted(lang).cast("string").alias("lang"), quoted(text).cast("string").alias("text")
     )
