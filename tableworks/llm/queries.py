@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, decontaminate, language
+from . import chats, decontaminate, fill_in_middle, language
 from . import near_copies as copies
 from . import personal_data, pieces, quality_model
 from . import quality_rules as rules
@@ -219,6 +219,52 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = fill_in_middle.fill_in_middle(texts)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), u AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS l,
+    [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN range(4)] AS d
+  FROM t
+), c AS (
+  SELECT *, least(d[1] % (len(l) + 1), d[2] % (len(l) + 1)) AS a,
+    greatest(d[1] % (len(l) + 1), d[2] % (len(l) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR d[3] % 100 >= 100 THEN 'plain' WHEN d[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT doc_id, len(l) AS n, form, text, array_to_string(l[1:a], '') AS prefix,
+    array_to_string(l[a + 1:b], '') AS middle, array_to_string(l[b + 1:], '') AS suffix
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_chats": op1_chats,
     "op2_language": op2_language,
@@ -230,6 +276,7 @@ QUERIES: dict[str, Query] = {
     "op8_pieces": op8_pieces,
     "op9_secrets": op9_secrets,
     "op10_near_copies": op10_near_copies,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 
@@ -238,4 +285,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chats": _op1_sql(), "op6_quality_rules": _op6_sql()}
+    return {
+        "op1_chats": _op1_sql(),
+        "op6_quality_rules": _op6_sql(),
+        "op11_fill_in_middle": OP11_SQL,
+    }
