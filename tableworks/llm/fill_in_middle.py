@@ -145,9 +145,9 @@ def _cuts_udf():
 
 def check_markers(markers: Sequence[str]) -> None:
     """Markers have to be told apart wherever they stand: none may begin where another ends."""
-    for a in markers:
-        for b in markers:
-            if not b or any(a.endswith(b[:k]) for k in range(1, len(b))) or (a is not b and b in a):
+    for i, a in enumerate(markers):
+        for k, b in enumerate(markers):
+            if not b or any(a.endswith(b[:size]) for size in range(1, len(b))) or (i != k and b in a):
                 raise ValueError(f"markers {a!r} and {b!r} overlap")
 
 

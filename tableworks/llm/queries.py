@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, decontaminate, fill_in_middle, language
+from . import chats, decontaminate, fill_in_middle, language, licenses
 from . import near_copies as copies
 from . import personal_data, pieces, quality_model
 from . import quality_rules as rules
@@ -265,6 +266,76 @@ FROM p
 """
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.find_licenses(texts)
+    first = F.transform("phrases", lambda place: place["first"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"),
+        F.array_max(first).alias("last_word"),
+        licenses.joined_labels(F.col("phrases")).alias("base_labels"),
+        licenses.joined_labels(F.col("phrases"), F.col("licenses")).alias("labels"),
+        "score",
+    )
+
+
+def _license_pattern(markup: str) -> str:
+    """A template as a pattern over words that each have one blank after them."""
+    pattern, at = "", 0
+    tags = re.compile(r"<<(beginOptional|endOptional|var;words=(\d+)-(\d+))>>")
+    for tag in [*tags.finditer(markup), None]:
+        words = re.findall("[a-z0-9]+", markup[at : tag.start() if tag else None].lower())
+        pattern += "".join(f"{word} " for word in words)
+        if tag:
+            at = tag.end()
+            plain = {"beginOptional": "(?:", "endOptional": ")?"}
+            pattern += plain.get(tag[1]) or f"(?:[^ ]+ ){{{tag[2]},{tag[3]}}}"
+    return pattern
+
+
+def _op13_sql() -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    places, found, sizes = [], [], []
+    for phrase in licenses.PHRASES:
+        words = phrase.markup.lower().split()
+        test = " AND ".join(f"w[x + {k}] = '{word}'" for k, word in enumerate(words))
+        here = f"[x - 1 FOR x IN range(1, len(w) - {len(words) - 2}) IF {test}]"
+        places.append(f"{here} AS p{len(places)}")
+        found.append(f"CASE WHEN len(p{len(found)}) > 0 THEN '{phrase.label}' END")
+        sizes.append(f"CASE WHEN len(p{len(sizes)}) > 0 THEN {len(words)} ELSE 0 END")
+    base = ", ".join(found)
+    for template in licenses.TEMPLATES:
+        test = f"regexp_matches(s, ' {_license_pattern(template.markup)}')"
+        outside = re.sub("<<beginOptional>>.*?<<endOptional>>|<<var[^>]*>>", " ", template.markup, flags=re.S)
+        found.append(f"CASE WHEN {test} THEN '{template.label}' END")
+        sizes.append(f"CASE WHEN {test} THEN {len(re.findall('[A-Za-z0-9]+', outside))} ELSE 0 END")
+    every = " || ".join(f"p{k}" for k in range(len(places)))
+
+    def joined(labels: str) -> str:
+        return f"array_to_string(list_sort(list_distinct([x FOR x IN [{labels}] IF x IS NOT NULL])), ',')"
+
+    return rf"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{letters}', '{letters.lower()}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), p AS (
+  SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS s, {", ".join(places)} FROM t
+), m AS (
+  SELECT doc_id, len(w) AS n, {every} AS places, {joined(base)} AS base_labels,
+    {joined(", ".join(found))} AS labels, greatest({", ".join(sizes)}) AS m
+  FROM p
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+  CAST(list_min(places) AS BIGINT) AS first_word, CAST(list_max(places) AS BIGINT) AS last_word,
+  base_labels, labels, CAST(m AS DOUBLE) / (m + {licenses.HALF}) AS score
+FROM m
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_chats": op1_chats,
     "op2_language": op2_language,
@@ -277,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "op9_secrets": op9_secrets,
     "op10_near_copies": op10_near_copies,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_licenses": op13_licenses,
 }
 
 
@@ -289,4 +361,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_chats": _op1_sql(),
         "op6_quality_rules": _op6_sql(),
         "op11_fill_in_middle": OP11_SQL,
+        "op13_licenses": _op13_sql(),
     }
