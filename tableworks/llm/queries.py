@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, decontaminate, fill_in_middle, language, licenses
+from . import chats, decontaminate, fill_in_middle, hard_negatives, language, licenses
 from . import near_copies as copies
 from . import personal_data, pieces, quality_model
 from . import quality_rules as rules
@@ -266,6 +266,46 @@ FROM p
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    rows = vectors.select(
+        "vec_id",
+        F.coalesce(moved, F.col("label")).alias("label"),
+        hard_negatives.quantized(vectors).alias("components"),
+    )
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(coalesce(list_sum([a.v[i] * b.v[i] FOR i IN range(1, least(len(a.v), len(b.v)) + 1)]), 0)
+      AS BIGINT) AS score
+  FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT r, anchor_id, other_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) AS k
+  FROM s WHERE same QUALIFY k <= 5
+), n AS (
+  SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY r, k ORDER BY score DESC, other_id) AS rank
+  FROM p JOIN s USING (r, anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+  negative_score
+FROM n WHERE rank <= 10
+"""
+
+
 def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = licenses.find_licenses(texts)
@@ -348,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "op9_secrets": op9_secrets,
     "op10_near_copies": op10_near_copies,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_licenses": op13_licenses,
 }
 
@@ -361,5 +402,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_chats": _op1_sql(),
         "op6_quality_rules": _op6_sql(),
         "op11_fill_in_middle": OP11_SQL,
+        "op12_hard_negatives": OP12_SQL,
         "op13_licenses": _op13_sql(),
     }

@@ -14,7 +14,7 @@ from .test_decontaminate import best
 
 def test_is_registered():
     assert contract.queries()["pipeline"] is corpus_pipeline.run
-    assert [name.split("_")[0] for name in contract.queries() if name.startswith("op")] == [f"op{k}" for k in range(1, 11)]
+    assert [name.split("_")[0] for name in contract.queries() if name.startswith("op")] == [f"op{k}" for k in range(1, 14)]
 
 
 def test_stages_as_brute_force(spark, tmp_path):
