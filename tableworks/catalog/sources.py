@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..plans import conversion
 from ..session import scratch_path, stored
-from ..sources import archives, delimited, events_json, fixed_width, tables
+from ..sources import archives, delimited, events_json, fixed_width, members, tables
 from . import views
 from .registry import query
 
@@ -354,6 +354,43 @@ def scan_nested_zip(spark, sf_dir):
     return parsed.select(*ARCHIVED, "table_name")
 
 
+MEMBERS = 8
+
+
+def _suppliers_by_member(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, bytes]]:
+    """Nested archives of several tables, and members that are none."""
+    for batch in batches:
+        rows = [line.split("|") for line in batch.column("line").to_pylist()]
+        packed = {"readme.txt": b"skipped", "sample region 1 file PPUF_2025Q1.zip": b"skipped"}
+        for number in range(MEMBERS):
+            own = [ARCHIVED, *(row for row in rows if int(row[0]) % MEMBERS == number)]
+            text = "\r\n".join("|".join(row) for row in own)
+            packed[f"region {number} file PPUF_2025Q1.zip"] = _zip({"data.txt": text.encode()})
+        yield packed
+
+
+@query(f"{ARCHIVED_SQL}, 'region_' || (s_suppkey % {MEMBERS}) AS table_name FROM supplier")
+def scan_zip_members(spark, sf_dir):
+    """Every member of nested archives is a partition of its own."""
+    path = _write_archives(_supplier_lines(spark, sf_dir), _suppliers_by_member, "members")
+    lines = members.scan_zip_members(spark, path, nested=True, tables=[])
+    routed = lines.withColumn("table_name", archives.member_table(F.col("member")))
+    parsed = delimited.parse_headed_lines(routed, ["|".join(ARCHIVED)], "|", keep=["table_name"])
+    return parsed.select(*ARCHIVED, "table_name")
+
+
+@query(NESTED_SQL)
+def convert_nested_members(spark, sf_dir):
+    """Nested archives to one table per route, each read member by member."""
+    source = _write_archives(_supplier_lines(spark, sf_dir), _nested_suppliers, "nested")
+    made = conversion.convert_nested_zip(spark, source, scratch_path(spark, "routes"), by_member=True)
+    found = [
+        tables.scan_table(spark, path).select(*ARCHIVED, F.lit(name).alias("table_name"))
+        for name, path in made.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(NESTED_SQL)
 def convert_nested_zip(spark, sf_dir):
     """Nested archives to one table per route."""

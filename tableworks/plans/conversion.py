@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import archives, delimited, fixed_width, tables
+from ..sources import archives, delimited, fixed_width, members, tables
 
 
 def convert_quotes_zip(
@@ -28,20 +28,26 @@ def convert_nested_zip(
     encoding: str = fixed_width.ENCODING,
     fmt: str = "parquet",
     mounted: bool = False,
+    by_member: bool = False,
 ) -> dict[str, str]:
     """One table per route of nested archives, by quarter; returns their paths by name.
 
     The quarter is the outer archive's name. Headers are read first: they tell the tables and
-    their columns. Each table then unpacks its own members alone.
+    their columns. Each table then unpacks its own members alone. ``by_member``, for archives that
+    executors reach by pyarrow, reads each member by a task of its own and only its bytes.
     """
-    options = {"nested": True, "encoding": encoding, "mounted": mounted}
-    found = archives.scan_zip_text(spark, source, tables=[], headers_only=True, **options)
+    if by_member:
+        scan, options = members.scan_zip_members, {"nested": True, "encoding": encoding}
+    else:
+        scan = archives.scan_zip_text
+        options = {"nested": True, "encoding": encoding, "mounted": mounted}
+    found = scan(spark, source, tables=[], headers_only=True, **options)
     routed = found.select(archives.member_table(F.col("member")).alias("table"), "header")
     headers: dict[str, list[str]] = {}
     for table, header in sorted(map(tuple, routed.distinct().collect())):
         headers.setdefault(table, []).append(header)
     for table, own in headers.items():
-        lines = archives.scan_zip_text(spark, source, tables=[table], **options)
+        lines = scan(spark, source, tables=[table], **options)
         quarter = F.regexp_extract("archive", r"([^/]+)\.zip$", 1)
         rows = delimited.parse_headed_lines(
             lines.withColumn("quarter", quarter), own, sep, keep=["quarter"]

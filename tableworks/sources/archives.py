@@ -66,7 +66,7 @@ class Reading:
         return not self.tables or found[1].strip().replace(" ", "_") in self.tables
 
 
-def _member_batches(
+def member_batches(
     archive: str, member: str, stream: BinaryIO, reading: Reading
 ) -> Iterator[pa.RecordBatch]:
     number, header = 0, None
@@ -99,7 +99,7 @@ def _archive_batches(
         if not reading.nested:
             first = bundle.namelist()[0]
             with bundle.open(first) as stream:
-                yield from _member_batches(path, first, stream, reading)
+                yield from member_batches(path, first, stream, reading)
             return
         for name in bundle.namelist():
             # What is not wanted stays packed.
@@ -109,7 +109,7 @@ def _archive_batches(
             with bundle.open(name) as packed, tempfile.TemporaryFile() as inner:
                 shutil.copyfileobj(packed, inner)
                 with zipfile.ZipFile(inner) as table, table.open(table.namelist()[0]) as stream:
-                    yield from _member_batches(path, name, stream, reading)
+                    yield from member_batches(path, name, stream, reading)
 
 
 def _read_contents(batches, reading: Reading) -> Iterator[pa.RecordBatch]:
