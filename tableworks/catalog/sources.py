@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..plans import conversion
 from ..session import scratch_path, stored
-from ..sources import archives, delimited, events_json, fixed_width, members, tables
+from ..sources import archives, delimited, events_json, fixed_width, members, tables, versions
 from . import views
 from .registry import query
 
@@ -80,6 +80,29 @@ def sink_overwrite(spark, sf_dir):
     return tables.scan_table(spark, path)
 
 
+@query(ORDERS_BY_YEAR)
+def sink_missing_partitions(spark, sf_dir):
+    """Three runs over a growing source: each writes the years that are new."""
+    path = scratch_path(spark, "orders-grown")
+    orders = _dated_orders(spark, sf_dir)
+    for last in (1996, 1999, 9999):
+        grown = orders.where(F.year("trade_date") <= last)
+        versions.sink_missing_partitions(grown, path, ["year"], tables.year_of("trade_date"))
+    return tables.scan_table(spark, path)
+
+
+@query(ORDERS_BY_YEAR)
+def sink_published(spark, sf_dir):
+    """A table replaced by what is read from itself, and queried by name."""
+    root = scratch_path(spark, "orders-published")
+    orders = _dated_orders(spark, sf_dir).withColumns(tables.year_of("trade_date"))
+    versions.publish(orders.where(F.col("year") < 1997), root, ["year"])
+    later = orders.where(F.col("year") >= 1997)
+    versions.publish(versions.published(spark, root).unionByName(later), root, ["year"])
+    versions.drop_versions(spark, root)
+    return versions.published(spark, root)
+
+
 # Table -> a number and a text of each row, in expressions that both engines read alike.
 COPIED = {
     "benchmark": ("item_id", "text"),
