@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..operators import events as ev
 from ..operators import indicators as ind
 from ..operators import quotes as q
 from ..operators.resample import resample_last as resample
+from ..plans import daily
 from ..plans.pipeline import Pipeline, Step
 from ..plans.stocks import adjusted_prices
 from ..plans.stocks import stock_features as features
@@ -513,6 +516,23 @@ def stock_features(spark, sf_dir):
     return snapped(features(quotes, events, min_trades=MIN_TRADES), FEATURES)
 
 
+@query(FEATURES_SQL)
+def stock_features_daily(spark, sf_dir):
+    """The same rows from three runs, each from the state of the one before and new sessions."""
+    root = scratch_path(spark, "daily-features")
+    quotes = stored(views.bars(spark, sf_dir), "quotes")
+    events = views.corp_events(spark, sf_dir)
+    newest = quotes.agg(F.max("trade_date")).first()[0]
+    ends = [newest - timedelta(days=days) for days in (60, 30, 0)]
+    before = None
+    for end in ends:
+        known = quotes.where(F.col("trade_date") <= F.lit(end))
+        fresh = known if before is None else known.where(F.col("trade_date") > F.lit(before))
+        daily.advance(spark, root, fresh, events, known, min_trades=MIN_TRADES)
+        before = end
+    return snapped(daily.features(spark, root), FEATURES)
+
+
 class _Apply(Step):
     def __init__(self, function):
         self.function = function

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators import events as ev
 from ..operators import indicators as ind
@@ -66,23 +66,45 @@ def stock_features(
     priced = normalize_price(filter_stocks(quotes))
     series = adjusted_prices(priced, events, **thresholds)
     if run_rows is not None:
-        lags = ind.trend_lags(range(2, 26, 2), range(2, 8, 2), week_rows=5, month_rows=21)
-        furthest = max(return_rows, volume_rows, average_rows, 20, *lags.values())
-        series = cut_series(series, lookback=furthest + 1, run_rows=run_rows)
-    shown = [name for name in series.columns if name not in (RUN, HALO)]
-    framed = ind.slow_stochastic(ind.log_return(series))
-    framed = ind.moving_average(framed, rows=average_rows).drop(f"sma_{average_rows}_distance")
-    framed = ind.obv(ind.trend_flags(framed))
+        lookback = sessions_behind(return_rows, volume_rows, average_rows)
+        series = cut_series(series, lookback=lookback, run_rows=run_rows)
     measured = rolling_medians(
-        framed,
-        [("log_return", return_rows, "_return"), ("total_volume", volume_rows, "_volume")],
+        frames(series, average_rows),
+        median_frames(return_rows, volume_rows),
         key=ind.KEY,
         order=ind.ORDER,
     )
+    shown = [name for name in series.columns if name not in (RUN, HALO)]
     if run_rows is not None:
         measured = settle(measured)
+    return measured.select(*feature_columns(shown, volume_rows, average_rows))
+
+
+def sessions_behind(
+    return_rows: int = RETURN_ROWS, volume_rows: int = VOLUME_ROWS, average_rows: int = AVERAGE_ROWS
+) -> int:
+    """Sessions before a row that its features look back on, running totals aside."""
+    lags = ind.trend_lags(range(2, 26, 2), range(2, 8, 2), week_rows=5, month_rows=21)
+    return max(return_rows, volume_rows, average_rows, 20, *lags.values()) + 1
+
+
+def frames(series: DataFrame, average_rows: int = AVERAGE_ROWS) -> DataFrame:
+    """The columns that need a window but no median, over one shuffle and one sort."""
+    framed = ind.slow_stochastic(ind.log_return(series))
+    framed = ind.moving_average(framed, rows=average_rows).drop(f"sma_{average_rows}_distance")
+    return ind.obv(ind.trend_flags(framed))
+
+
+def median_frames(return_rows: int, volume_rows: int) -> list[tuple[str, int, str]]:
+    return [("log_return", return_rows, "_return"), ("total_volume", volume_rows, "_volume")]
+
+
+def feature_columns(
+    shown: list[str], volume_rows: int = VOLUME_ROWS, average_rows: int = AVERAGE_ROWS
+) -> list[Column | str]:
+    """The features of a framed and measured series, those that need no window among them."""
     flags = ind.trend_lags(range(2, 26, 2), range(2, 8, 2), week_rows=5, month_rows=21)
-    return measured.select(
+    return [
         *shown,
         *[column.alias(name) for name, column in ind.log_columns().items()],
         "log_return",
@@ -95,7 +117,7 @@ def stock_features(
         *flags,
         *ind.volume_columns(volume_rows, "_volume"),
         "obv",
-    )
+    ]
 
 
 def run_stock_job(
