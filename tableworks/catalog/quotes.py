@@ -16,7 +16,8 @@ from ..plans import daily
 from ..plans.pipeline import Pipeline, Step
 from ..plans.stocks import adjusted_prices
 from ..plans.stocks import stock_features as features
-from ..session import stored
+from ..session import scratch_path, stored
+from ..sources import tables
 from . import views
 from .registry import query, snap, snap_sql, snapped, snapped_sql
 
@@ -516,6 +517,17 @@ def stock_features(spark, sf_dir):
     return snapped(features(quotes, events, min_trades=MIN_TRADES), FEATURES)
 
 
+@query(FEATURES_SQL)
+def stock_features_bucketed(spark, sf_dir):
+    """The same over quotes stored by ticker: no shuffle for its windows."""
+    path = scratch_path(spark, "quotes-by-ticker")
+    table = "quotes_" + path.rsplit("-", 1)[-1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bars = views.bars(spark, sf_dir)
+    quotes = tables.sink_bucketed(bars, table, path, "ticker", "trade_date", buckets)
+    return snapped(features(quotes, views.corp_events(spark, sf_dir), min_trades=MIN_TRADES), FEATURES)
+
+
 @query(FEATURES_SQL)
 def stock_features_daily(spark, sf_dir):
     """The same rows from three runs, each from the state of the one before and new sessions."""

@@ -68,6 +68,22 @@ def sink_overwrite(
     return df
 
 
+def sink_bucketed(
+    df: DataFrame, table: str, path: str, key: str, order: str, buckets: int
+) -> DataFrame:
+    """Store a series table in buckets of ``key``, each one file sorted by (key, order).
+
+    Windows and joins over ``key`` then need no shuffle, however often the table is read: the one
+    made here is the last. ``table`` names it in the session's catalog; an old one of that name is
+    replaced. Give as many buckets as later jobs shall have tasks. Returns the stored table.
+    """
+    spark = df.sparkSession
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key, order)
+    writer = dealt.write.bucketBy(buckets, key).sortBy(key, order).option("path", path)
+    writer.mode("overwrite").saveAsTable(table)
+    return spark.table(table)
+
+
 def list_tables(spark: SparkSession, folder: str, suffix: str = ".parquet") -> list[str]:
     """Sorted paths of the tables in a folder; names only, no data is read."""
     root = _hadoop_path(spark, folder)

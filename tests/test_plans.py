@@ -14,7 +14,7 @@ from tableworks.operators import indicators as ind
 from tableworks.operators.quotes import filter_stocks, normalize_price
 from tableworks.operators.series import rolling_medians
 from tableworks.plans.pipeline import Pipeline, Step
-from tableworks.plans.stocks import run_stock_job
+from tableworks.plans.stocks import run_stock_job, stock_features
 from tableworks.sources import tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -134,3 +134,21 @@ def test_stock_job_end_to_end(spark, tmp_path):
     assert result.count() == filter_stocks(quotes).count()
     last = result.groupBy("isin_code").agg(F.max_by("adjustment", "trade_date").alias("a"))
     assert last.where("a <= 0").count() == 0
+
+
+def test_features_of_bucketed_quotes_need_no_shuffle_on_ticker(spark, stored_quotes, tmp_path):
+    path = str(tmp_path / "quotes")
+    quotes = tables.sink_bucketed(stored_quotes, "bucketed_quotes", path, "ticker", "trade_date", 4)
+    try:
+        names = [name for name in os.listdir(path) if name.endswith(".parquet")]
+        assert 1 <= len(names) <= 4
+        assert quotes.count() == stored_quotes.count()
+        events = views.corp_events(spark, SMALL)
+        for table, shuffles in ((quotes, 0), (stored_quotes, 1)):
+            plan = stock_features(table, events, min_trades=1)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("hashpartitioning(ticker") == shuffles
+        # Rows of one ticker stand in one file, by date.
+        places = quotes.select(F.input_file_name().alias("file"), "ticker").distinct()
+        assert places.count() == places.select("ticker").distinct().count()
+    finally:
+        spark.sql("DROP TABLE bucketed_quotes")
