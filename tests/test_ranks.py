@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tableworks.operators import audits, ranks, reshape
+from tableworks.session import stored
 
 
 def values(spark):
@@ -58,6 +59,39 @@ def test_ties_are_spread(spark):
     assert placed.groupBy(F.spark_partition_id()).count().count() == 8
 
 
+def test_equal_rows_are_spread(spark, monkeypatch):
+    """Four rows of five are the same row."""
+    df = spark.range(40_000).select(F.when(F.col("id") % 5 < 4, 7.0).otherwise(F.col("id") * 1.0).alias("v"))
+    kept = {}
+    monkeypatch.setattr(ranks, "stored", lambda table, name: kept.setdefault(name, stored(table, name)))
+    ranked = ranks.rank_by_value(df, "v", "place", tasks=8)
+    sizes = [r["count"] for r in kept["ranges"].groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+    want = df.withColumn("place", F.rank().over(Window.orderBy("v")))
+    assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_parts_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "PART_ROWS", 500)
+    kept = {}
+    monkeypatch.setattr(ranks, "stored", lambda table, name: kept.setdefault(name, stored(table, name)))
+    ranks.rank_by_value(values(spark), "value", "place")
+    assert kept["ranges"].select("_part").distinct().count() == 7
+
+
+def test_spearman_of_features_with_gaps(spark):
+    """Against ranks of each feature's own rows."""
+    rng = random.Random(3)
+    rows = [(f"p{rng.randrange(40)}", rng.random(), rng.choice([None, 1.0, 2.0]) if rng.random() < 0.2 else None) for _ in range(400)]
+    df = spark.createDataFrame(rows, "p string, x double, y double")
+    long = reshape.unpivot(reshape.average_all(df, "p", [], "purchases").drop("p"), ["purchases"])
+    for name, by in (("a", "feature_value"), ("b", "purchases")):
+        long = long.withColumn(name, F.rank().over(Window.partitionBy("feature").orderBy(by)))
+    want = {r[0]: r[1] for r in long.groupBy("feature").agg(F.round(F.corr("a", "b"), 4)).collect()}
+    found = {r["feature"]: r["spearman_correlation"] for r in ranks.spearman_all(df, "p", []).collect()}
+    assert found == want and len(found) == 2
+
+
 def test_rank_of_one_value(spark):
     df = spark.createDataFrame([(1, 4.0), (2, 4.0)], "id long, value double")
     assert pairs(ranks.rank_by_value(df, "value", "place")) == {1: 1, 2: 1}
