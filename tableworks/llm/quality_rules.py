@@ -2,9 +2,11 @@
 
 A sketch counts the values of one metric in integer buckets of a relative width of 1/32: two
 sketches merge by adding counts, in any order and with the same result, so Spark combines them
-before the shuffle and again by language and over all. Fences come from the quartiles of the
-document's own language and source, or of its language, or of all rows where those hold too few
-documents; documents then meet their fences in a join.
+before the shuffle and again by language and over all. The sketch of a language and source is
+merged with that of its language, weighted as ``PRIOR`` documents, and that one likewise with the
+sketch of all documents: a large group speaks for itself, a small one leans on what is known around
+it, by the same rule at every size. Fences come from the quartiles of the merged sketches; documents
+then meet the fences of their own language and source in a join.
 """
 
 import numpy as np
@@ -32,8 +34,8 @@ WINDOW = 8
 
 #: Base rules: too few words, and the highest share of repeated words in percent.
 MIN_WORDS, MAX_REPEATED = 20, 30
-#: Documents a group needs for fences of its own.
-MIN_GROUP = 200
+#: Weight, in documents, of the language in a group's sketch and of all documents in a language's.
+PRIOR = 50
 #: Quartile distances from the quartile to its fence.
 REACH = 4
 #: Metrics, in thousandths: (name, narrowest quartile distance, fenced below, fenced above).
@@ -135,19 +137,70 @@ def sketches(counted: DataFrame, lang: str, source: str) -> DataFrame:
     )
 
 
+def merged(found: DataFrame) -> DataFrame:
+    """The sketch of every language and source with its priors merged in, as whole numbers.
+
+    Counts are scaled up to a common denominator rather than divided: nothing is rounded, and the
+    result is exact for up to 10^12 documents.
+    """
+
+    def level(number: int, name: str, *keys: str) -> DataFrame:
+        own = found.where(F.col("level") == number)
+        return own.select(
+            *[F.col(key).alias(f"{key}_{number}") for key in keys],
+            F.col("metric").alias(f"metric_{number}"),
+            F.col("bucket").alias(f"bucket_{number}"),
+            F.col("n").cast("decimal(38,0)").alias(name),
+        )
+
+    def same(number: int, *keys: str) -> Column:
+        every = F.lit(True)
+        for key in (*keys, "metric", "bucket"):
+            every = every & F.col(key).eqNullSafe(F.col(f"{key}_{number}"))
+        return every
+
+    def totals(df: DataFrame, name: str, *keys: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.sum(name).alias(f"{name}_total"))
+
+    # Buckets have six leading digits, so there are 32 to each power of two: some thousand rows.
+    every = F.broadcast(level(2, "all_n"))
+    whole = F.broadcast(totals(level(2, "all_n"), "all_n", "metric_2"))
+    languages = totals(level(1, "lang_n", "lang"), "lang_n", "lang_1", "metric_1")
+    grid = languages.select(F.col("lang_1").alias("lang"), F.col("metric_1").alias("metric"), "lang_n_total")
+    grid = grid.join(every, F.col("metric") == F.col("metric_2")).withColumnRenamed("bucket_2", "bucket").drop("metric_2")
+    grid = grid.join(whole, F.col("metric") == F.col("metric_2")).drop("metric_2")
+    grid = grid.join(level(1, "lang_n", "lang"), same(1, "lang"), "left")
+    own = F.coalesce("lang_n", F.lit(0)).cast("decimal(38,0)")
+    lang = grid.select(
+        F.col("lang").alias("lang_3"),
+        F.col("metric").alias("metric_3"),
+        "bucket",
+        (own * F.col("all_n_total") + PRIOR * F.col("all_n")).cast("decimal(38,0)").alias("lang_c"),
+        ((F.col("lang_n_total") + PRIOR) * F.col("all_n_total")).cast("decimal(38,0)").alias("lang_c_total"),
+    )
+    groups = level(0, "n", "lang", "source").select(
+        F.col("lang_0").alias("lang"), F.col("source_0").alias("source"), F.col("metric_0").alias("metric")
+    )
+    grid = groups.distinct().join(
+        lang, F.col("lang").eqNullSafe(F.col("lang_3")) & (F.col("metric") == F.col("metric_3"))
+    )
+    grid = grid.join(level(0, "n", "lang", "source"), same(0, "lang", "source"), "left")
+    own = F.coalesce("n", F.lit(0)).cast("decimal(38,0)")
+    count = (own * F.col("lang_c_total") + PRIOR * F.col("lang_c")).cast("decimal(38,0)")
+    return grid.select("lang", "source", "metric", "bucket", count.alias("n"))
+
+
 def fences(found: DataFrame) -> DataFrame:
-    """One row per group: ``n_docs`` and a low and a high fence for every metric."""
-    group = ["level", "lang", "source", "metric"]
+    """One row per language and source: a low and a high fence for every metric."""
+    group = ["lang", "source", "metric"]
     whole = Window.partitionBy(*group)
     up = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = found.withColumns({"upto": F.sum("n").over(up), "total": F.sum("n").over(whole)})
+    ranked = merged(found).withColumns({"upto": F.sum("n").over(up), "total": F.sum("n").over(whole)})
 
     def quartile(k: int) -> Column:
         return F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bucket")))
 
-    by_metric = ranked.groupBy(*group).agg(
-        F.first("total").alias("total"), quartile(1).alias("q1"), quartile(3).alias("q3")
-    )
+    by_metric = ranked.groupBy(*group).agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
     ends = []
     for name, width, below, above in METRICS:
         step = REACH * F.greatest(F.col("q3") - F.col("q1"), F.lit(width))
@@ -156,16 +209,7 @@ def fences(found: DataFrame) -> DataFrame:
         high = F.col("q3") + step if above else F.lit(None).cast("long")
         ends += [F.max(F.when(here, low)).alias(f"{name}_low")]
         ends += [F.max(F.when(here, high)).alias(f"{name}_high")]
-    return by_metric.groupBy("level", "lang", "source").agg(F.max("total").alias("n_docs"), *ends)
-
-
-def _bound(found: DataFrame, level: int, keys: list[str]) -> DataFrame:
-    ends = [f"{name}_{end}" for name, *_ in METRICS for end in ("low", "high")]
-    kept = found.where((F.col("level") == level) & (F.col("n_docs") >= (MIN_GROUP if keys else 0)))
-    return kept.select(
-        *[F.col(key).alias(f"_{key}_{level}") for key in keys],
-        F.struct(*ends).alias(f"_fence_{level}"),
-    )
+    return by_metric.groupBy("lang", "source").agg(*ends)
 
 
 def quality_rules(
@@ -182,20 +226,23 @@ def quality_rules(
     size, broadcasts them only below the session's threshold and merges otherwise.
     """
     counted = with_text_columns(docs, text, text_counts, COUNTS)
-    found = stored(fences(sketches(counted, lang, source)), "fences")
-    joined = counted
-    own, by_lang = _bound(found, 0, ["lang", "source"]), _bound(found, 1, ["lang"])
-    key_lang, key_source = quoted(lang).cast("string"), quoted(source).cast("string")
-    joined = joined.join(
-        own, key_lang.eqNullSafe(F.col("_lang_0")) & key_source.eqNullSafe(F.col("_source_0")), "left"
+    # The sketches are stored, too: merging reads them several times.
+    found = stored(fences(stored(sketches(counted, lang, source), "sketches")), "fences")
+    ends = [f"{name}_{end}" for name, *_ in METRICS for end in ("low", "high")]
+    taken = {name.lower() for name in counted.columns}
+    lang_key, source_key, fence = "_lang", "_source", "_fence"
+    while taken & {lang_key, source_key, fence}:
+        lang_key, source_key, fence = f"{lang_key}_", f"{source_key}_", f"{fence}_"
+    own = found.select(
+        F.col("lang").alias(lang_key), F.col("source").alias(source_key), F.struct(*ends).alias(fence)
     )
-    joined = joined.join(by_lang, key_lang.eqNullSafe(F.col("_lang_1")), "left")
-    # One row: the fences over all documents.
-    joined = joined.join(F.broadcast(_bound(found, 2, [])), F.lit(True), "left")
-    fence = F.coalesce("_fence_0", "_fence_1", "_fence_2")
+    met = quoted(lang).cast("string").eqNullSafe(F.col(lang_key))
+    met &= quoted(source).cast("string").eqNullSafe(F.col(source_key))
     outside = F.lit(False)
     for name, value in _metrics().items():
-        for end, beyond in (("low", value < fence[f"{name}_low"]), ("high", value > fence[f"{name}_high"])):
+        for end, beyond in (("low", value < F.col(fence)[f"{name}_low"]), ("high", value > F.col(fence)[f"{name}_high"])):
             outside = outside | F.coalesce(beyond, F.lit(False))
     kept = [quoted(name) for name in counted.columns if name.lower() not in ("base_failed", "kept")]
-    return joined.select(*kept, base_failed().alias("base_failed"), (~base_failed() & ~outside).alias("kept"))
+    return counted.join(own, met, "left").select(
+        *kept, base_failed().alias("base_failed"), (~base_failed() & ~outside).alias("kept")
+    )

@@ -120,8 +120,7 @@ def _op6_sql() -> str:
                 ends.append(
                     f"max(CASE WHEN metric = '{name}' THEN {edge} {reach} END) AS {name}_{end}"
                 )
-                fence = ", ".join(f"f{level}.{name}_{end}" for level in range(3))
-                tests.append(f"coalesce({name} {sign} coalesce({fence}), false)")
+                tests.append(f"coalesce({name} {sign} f.{name}_{end}, false)")
     return rf"""
 WITH t AS (
   SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text
@@ -161,26 +160,35 @@ WITH t AS (
   SELECT 0 AS level, lang, source, metric, bucket, count(*) AS n FROM b GROUP BY ALL
   UNION ALL SELECT 1, lang, NULL, metric, bucket, count(*) FROM b GROUP BY ALL
   UNION ALL SELECT 2, NULL, NULL, metric, bucket, count(*) FROM b GROUP BY ALL
+), t2 AS (SELECT metric, CAST(sum(n) AS HUGEINT) AS total FROM s WHERE level = 2 GROUP BY ALL
+), t1 AS (SELECT lang, metric, CAST(sum(n) AS HUGEINT) AS total FROM s WHERE level = 1 GROUP BY ALL
+), l AS (
+  SELECT t1.lang, t1.metric, a.bucket,
+    coalesce(o.n, 0) * t2.total + {rules.PRIOR} * CAST(a.n AS HUGEINT) AS c,
+    (t1.total + {rules.PRIOR}) * t2.total AS total
+  FROM t1 JOIN t2 ON t1.metric = t2.metric JOIN s a ON a.level = 2 AND a.metric = t1.metric
+  LEFT JOIN s o ON o.level = 1 AND o.metric = t1.metric AND o.bucket = a.bucket
+    AND o.lang IS NOT DISTINCT FROM t1.lang
+), mixed AS (
+  SELECT g.lang, g.source, g.metric, l.bucket, coalesce(o.n, 0) * l.total + {rules.PRIOR} * l.c AS n
+  FROM (SELECT DISTINCT lang, source, metric FROM s WHERE level = 0) g
+  JOIN l ON l.metric = g.metric AND l.lang IS NOT DISTINCT FROM g.lang
+  LEFT JOIN s o ON o.level = 0 AND o.metric = g.metric AND o.bucket = l.bucket
+    AND o.lang IS NOT DISTINCT FROM g.lang AND o.source IS NOT DISTINCT FROM g.source
 ), p AS (
-  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY bucket) AS upto,
-    sum(n) OVER (PARTITION BY level, lang, source, metric) AS total
-  FROM s
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, metric ORDER BY bucket) AS upto,
+    sum(n) OVER (PARTITION BY lang, source, metric) AS total
+  FROM mixed
 ), q AS (
-  SELECT level, lang, source, metric, max(total) AS total,
+  SELECT lang, source, metric,
     min(bucket) FILTER (WHERE 4 * upto >= total) AS q1,
     min(bucket) FILTER (WHERE 4 * upto >= 3 * total) AS q3
   FROM p GROUP BY ALL
-), f AS (
-  SELECT level, lang, source, max(total) AS n_docs, {", ".join(ends)} FROM q GROUP BY ALL
-), f0 AS (SELECT * FROM f WHERE level = 0 AND n_docs >= {rules.MIN_GROUP}
-), f1 AS (SELECT * FROM f WHERE level = 1 AND n_docs >= {rules.MIN_GROUP}
-), f2 AS (SELECT * FROM f WHERE level = 2)
+), f AS (SELECT lang, source, {", ".join(ends)} FROM q GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT ({" OR ".join(tests)}) AS kept
 FROM m
-LEFT JOIN f0 ON m.lang IS NOT DISTINCT FROM f0.lang AND m.source IS NOT DISTINCT FROM f0.source
-LEFT JOIN f1 ON m.lang IS NOT DISTINCT FROM f1.lang
-LEFT JOIN f2 ON true
+LEFT JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
 """
 
 
