@@ -17,14 +17,17 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .segment_scores import SegmentScorer, Tokens
 from .shared import hashed_sample
 from .texts import as_bytes, byte_set, quoted, with_text_columns
 
@@ -53,6 +56,11 @@ RARE = 25
 #: A segment found must beat staying outside by this much to be reported.
 MARGIN = 2.0
 
+#: Characters looked back on for the word before a token; of a longer word, its end.
+NEAR = 200
+#: Characters of a stretch worked on together.
+WINDOW = 1 << 16
+
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
 _MARKS = byte_set(b"0123456789@+")
 
@@ -104,19 +112,26 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 class Stretch:
     """Tokens around marks; blanks are tokens too, but no segment begins or ends with one."""
 
-    def __init__(self, text: str, start: int, end: int):
-        self.text = text
+    def __init__(self, text: str, start: int, end: int, first: int | None = None):
+        self.text, self.first = text, start if first is None else first
         spans = [m.span() for m in TOKEN.finditer(text, start, end)]
         self.starts, self.ends = [s for s, _ in spans], [e for _, e in spans]
 
-    def segments(self):
-        """``(first token, last token + 1)`` of every candidate."""
+    def segments(self, marked: np.ndarray | None = None):
+        """``(first token, last token + 1)`` of every candidate.
+
+        Given the tokens that are marks, only of candidates that hold letters: they hold a mark, too.
+        """
         text, count = self.text, len(self.starts)
-        for i in range(count):
+        places = range(count)
+        if marked is not None:
+            ahead = np.convolve(marked, np.ones(MAX_TOKENS, int))[MAX_TOKENS - 1 :] if count else marked
+            places = np.flatnonzero(ahead).tolist()
+        for i in places:
             head = text[self.starts[i]]
             if not (head.isascii() and head.isalnum() or head in "+("):
                 continue
-            if i and text[self.starts[i] - 1].isalnum():
+            if self.starts[i] and text[self.starts[i] - 1].isalnum():
                 continue
             digits = letters = marks = 0
             for j in range(i, min(count, i + MAX_TOKENS)):
@@ -136,18 +151,17 @@ class Stretch:
                 if self.ends[j] < len(text) and text[self.ends[j]].isalnum():
                     continue
                 if digits >= 4 or marks:
-                    if letters == 0 or marks:
+                    if marks if letters else marked is None:
                         yield i, j + 1
 
     def candidates(self) -> list[tuple[int, int, list[str]]]:
         return [(i, j, features(self, i, j)) for i, j in self.segments()]
 
     def before(self, i: int) -> str:
-        for k in range(i - 1, max(-1, i - 6), -1):
-            token = self.text[self.starts[k] : self.ends[k]]
-            if token[0].isalpha():
-                return token.lower()
-        return ""
+        """The word among the five tokens before a token, back to the beginning of the stretch."""
+        end = self.starts[i]
+        tokens = TOKEN.findall(self.text, max(self.first, end - NEAR), end)
+        return next((t.lower() for t in reversed(tokens[-5:]) if t[0].isalpha()), "")
 
 
 _AT = re.compile(r"\s*[\[({<]?\s*(?:@|\bat\b)\s*[\])}>]?\s*", re.I)
@@ -158,6 +172,10 @@ _NAME = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\Z")
 
 
+def _plain(separators: str) -> bool:
+    return len(separators) < 2 or separators in (" +", " -", "-.", " .")
+
+
 def features(stretch: Stretch, i: int, j: int) -> list[str]:
     """What a whole segment looks like."""
     text = stretch.text[stretch.starts[i] : stretch.ends[j - 1]]
@@ -166,7 +184,7 @@ def features(stretch: Stretch, i: int, j: int) -> list[str]:
     found = ["bias", "n=%d" % min(len(digits), 20), "groups=%d" % min(len(groups), 8)]
     separators = "".join(sorted(set(re.sub(r"[A-Za-z0-9]", "", text))))
     found.append("sep=" + separators[:6])
-    if separators == "" or len(separators) == 1 or separators in (" +", " -", "-.", " ."):
+    if _plain(separators):
         found.append("plain separators")
     if re.search(r"[^A-Za-z0-9]{3,}", text):
         found.append("long gap")
@@ -206,10 +224,11 @@ def features(stretch: Stretch, i: int, j: int) -> list[str]:
 
 def _stretches(text: str) -> list[tuple[int, int]]:
     """Bounds of the words near marks, neighbours joined."""
-    words = [m.span() for m in re.finditer(r"[^\s]+", text)]
-    hot = [k for k, (s, e) in enumerate(words) if _HOT_WORD.search(text, s, e)]
+    edges = (edge for m in re.finditer(r"[^\s]+", text) for edge in m.span())
+    words = np.fromiter(edges, np.int64).reshape(-1, 2)
+    hot = [k for k, (s, e) in enumerate(zip(*words.T.tolist())) if _HOT_WORD.search(text, s, e)]
     if _BARE_AT.search(text):
-        hot = sorted({*hot, *_spelt_out([text[s:e] for s, e in words])})
+        hot = sorted({*hot, *_spelt_out([text[s:e] for s, e in words.tolist()])})
     bounds: list[list[int]] = []
     for k in hot:
         low, high = max(0, k - CONTEXT), min(len(words), k + CONTEXT + 2)
@@ -217,7 +236,7 @@ def _stretches(text: str) -> list[tuple[int, int]]:
             bounds[-1][1] = high
         else:
             bounds.append([low, high])
-    return [(words[low][0], words[high - 1][1]) for low, high in bounds]
+    return [(int(words[low, 0]), int(words[high - 1, 1])) for low, high in bounds]
 
 
 _HOT_WORD = re.compile(r"[0-9@]|[\[({<](?:at|dot)[\])}>]", re.I)
@@ -255,22 +274,71 @@ class Field:
 
     def best(self, stretch: Stretch) -> list[tuple[str, int, int, float]]:
         """The best segmentation's entities: kind, first token, last token + 1, score."""
-        by_end, count = self.scores(stretch.candidates()), len(stretch.starts)
-        best, back = [0.0] * (count + 1), [None] * (count + 1)
-        for j in range(1, count + 1):
-            best[j] = best[j - 1]
-            for i, kind, score, _ in by_end.get(j, ()):
-                if score > 0 and best[i] + score > best[j]:
-                    best[j], back[j] = best[i] + score, (i, kind, score)
-        found, j = [], count
-        while j > 0:
-            if back[j]:
-                i, kind, score = back[j]
-                found.append((kind, i, j, score))
-                j = i
-            else:
-                j -= 1
-        return found[::-1]
+        by_end = self.scores(stretch.candidates())
+        chosen = {
+            j: [(i, kind, score) for i, kind, score, _ in ending if score > 0]
+            for j, ending in by_end.items()
+        }
+        return _decode(chosen, len(stretch.starts))
+
+    def entities(self, text: str, start: int, end: int) -> Iterator[tuple[str, int, int, float]]:
+        """The same entities for a stretch of any length, as (kind, start, end, score).
+
+        The stretch is cut where no segment that scores above zero crosses, at line ends above all,
+        so the best segmentations of the pieces are together the best one. Memory goes with the
+        window; it grows only where such segments overlap without a break.
+        """
+        scorer = SegmentScorer(self.weights, KINDS, _plain)
+        at, window = start, WINDOW
+        while at < end:
+            stop = min(end, at + window)
+            if stop < end:
+                line = text.rfind("\n", at, stop)
+                stop = line + 1 if line >= at else stop
+            stretch = Stretch(text, at, stop, start)
+            cut_off = stop < end and text[stop - 1] != "\n"
+            if cut_off and stretch.starts:
+                # The last token may go on behind the window.
+                del stretch.starts[-1], stretch.ends[-1]
+            count = len(stretch.starts)
+            chosen, reach = self._positive(scorer, stretch)
+            size = count
+            if cut_off:
+                crossed = np.cumsum(reach)[:count]
+                free = np.flatnonzero(crossed[: max(0, count - MAX_TOKENS)] == 0)
+                size = int(free[-1]) if len(free) else 0
+                if not size:
+                    window *= 2
+                    continue
+            inside = {j: own for j, own in chosen.items() if j <= size}
+            for kind, i, j, score in _decode(inside, size):
+                yield kind, stretch.starts[i], stretch.ends[j - 1], score
+            at, window = (stretch.starts[size] if size < count else stop), WINDOW
+
+    def _positive(self, scorer: "SegmentScorer", stretch: Stretch):
+        """Segments above zero by their end, and how many begin to cross or end before each token."""
+        tokens = Tokens(stretch.text, stretch.starts, stretch.ends)
+        chosen: dict[int, list] = defaultdict(list)
+        reach = np.zeros(len(stretch.starts) + 1, np.int64)
+        if len(tokens.separators) > 62:
+            for j, ending in self.scores(stretch.candidates()).items():
+                chosen[j] = [(i, kind, score) for i, kind, score, _ in ending if score > 0]
+        else:
+            found = scorer.positive(
+                stretch.text, stretch.starts, stretch.ends, tokens, stretch.before, MAX_TOKENS, 0
+            )
+            for i, j, kind, score in zip(*(x.tolist() for x in found), strict=True):
+                chosen[j].append((i, KINDS[kind], score))
+            spelt = [(i, j, features(stretch, i, j)) for i, j in stretch.segments(tokens.mark)]
+            for j, ending in self.scores(spelt).items():
+                chosen[j] += [(i, kind, score) for i, kind, score, _ in ending if score > 0]
+        for j, ending in chosen.items():
+            ending.sort(key=lambda own: own[0])
+            for i, *_ in ending:
+                if j > i + 1:
+                    reach[i + 1] += 1
+                    reach[j] -= 1
+        return chosen, reach
 
     def gradient(self, candidates: list, count: int, gold: set[tuple[str, int, int]]) -> dict:
         """Observed minus expected feature counts, by the forward and backward recursions."""
@@ -296,6 +364,24 @@ class Field:
         return change
 
 
+def _decode(chosen: dict[int, list[tuple]], count: int) -> list[tuple[str, int, int, float]]:
+    best, back = [0.0] * (count + 1), [None] * (count + 1)
+    for j in range(1, count + 1):
+        best[j] = best[j - 1]
+        for i, kind, score in chosen.get(j, ()):
+            if best[i] + score > best[j]:
+                best[j], back[j] = best[i] + score, (i, kind, score)
+    found, j = [], count
+    while j > 0:
+        if back[j]:
+            i, kind, score = back[j]
+            found.append((kind, i, j, score))
+            j = i
+        else:
+            j -= 1
+    return found[::-1]
+
+
 def train(examples: list[tuple[str, list[tuple[str, int, int]]]]) -> Field:
     """Maximum likelihood with a small penalty, by adaptive gradient steps."""
     field, seen = Field(), defaultdict(float)
@@ -400,12 +486,14 @@ def examples(texts: list[str]) -> list[tuple[str, list[tuple[str, int, int]]]]:
 # ---------------------------------------------------------------- over tables
 
 
-def fit(docs: DataFrame, text: str = "text") -> Field:
-    """A field trained on at most ``SAMPLE_TEXTS`` of ``SEARCHED_TEXTS`` or so sampled texts:
-    those that hold a base span's characters."""
-    texts = hashed_sample(docs.select(quoted(text).cast("string").alias("text")), SEARCHED_TEXTS)
+def fit(
+    docs: DataFrame, text: str = "text", sample: int = SAMPLE_TEXTS, searched: int = SEARCHED_TEXTS
+) -> Field:
+    """A field trained on at most ``sample`` of ``searched`` or so sampled texts: those that hold a
+    base span's characters."""
+    texts = hashed_sample(docs.select(quoted(text).cast("string").alias("text")), searched)
     likely = texts.where(F.col("text").rlike("@[A-Za-z0-9]|[0-9]{2}"))
-    drawn = likely.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS)
+    drawn = likely.orderBy(F.xxhash64("text"), "text").limit(sample)
     pieces = [row[0] for row in drawn.collect()]
     return train(examples(pieces))
 
@@ -414,12 +502,14 @@ def all_spans(text: str, field: Field) -> tuple[list, list]:
     """Base spans, and these with the field's spans that touch none of them."""
     base = base_spans(text)
     taken = sorted((s, e) for _, s, e in base)
+    # Spans of different kinds can overlap: the farthest end of those up to each start counts.
+    starts = [s for s, _ in taken]
+    reached = list(accumulate((e for _, e in taken), max))
     added = []
     for start, end in _stretches(text):
-        stretch = Stretch(text, start, end)
-        for kind, i, j, score in field.best(stretch):
-            s, e = stretch.starts[i], stretch.ends[j - 1]
-            if score >= MARGIN and not any(a < e and s < b for a, b in taken):
+        for kind, s, e, score in field.entities(text, start, end):
+            before = bisect_left(starts, e)
+            if score >= MARGIN and not (before and reached[before - 1] > s):
                 added.append((kind, s, e))
     order = {kind: k for k, kind in enumerate(KINDS)}
     return base, sorted(base + added, key=lambda x: (order[x[0]], x[1]))

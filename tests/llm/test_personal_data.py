@@ -104,6 +104,75 @@ def test_disguised_addresses_without_digits(field, span, before):
     assert found["spans"] == ["%s:%d:%d" % own]
 
 
+def plainly(field, text):
+    """Every stretch as a whole, every candidate's features spelt out."""
+    found = []
+    for start, end in pd_._stretches(text):
+        stretch = pd_.Stretch(text, start, end)
+        found += [(k, stretch.starts[i], stretch.ends[j - 1], s) for k, i, j, s in field.best(stretch)]
+    return found
+
+
+def in_windows(field, text):
+    return [x for start, end in pd_._stretches(text) for x in field.entities(text, start, end)]
+
+
+def same(one, other):
+    assert [x[:3] for x in one] == [x[:3] for x in other]
+    assert [x[3] for x in one] == pytest.approx([x[3] for x in other])
+
+
+PARTS = [
+    "10.2.3.7", "12:30:45", "555-123-4567", "+1 (555) 123-4567", "4111 1111 1111 1111", "4111-1111-1111-1111", "(212)",
+    "1234", "0", "2024-01-15", "10 . 20 . 30 . 40", "1,234,567.89", "a@b.c", "x at y dot com", "j.doe [at] host [dot] org",
+    "é", "²³", "٣٤٥", "v1.2.3.4", "1.2.3.4.5", "word", "\n", "\t", "+", "@", "12345678901234567890123", "call", "#",
+    "999.1.2.3", "1.2.3.04", "+44 20 7946 0958", "001 555 123 4567", "{dot}", "1.2;3.4",
+]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=40), st.sampled_from([" ", "", " and then ", "-"]), st.sampled_from([40, 97, 1 << 16]))
+def test_windows_equal_whole_stretches(field, parts, between, window):
+    text, old = between.join(parts), pd_.WINDOW
+    pd_.WINDOW = window
+    try:
+        same(in_windows(field, text), plainly(field, text))
+    finally:
+        pd_.WINDOW = old
+
+
+def test_windows_of_documents(documents, field):
+    for row in documents.collect():
+        same(in_windows(field, row["text"] or ""), plainly(field, row["text"] or ""))
+
+
+def log_text(size, lines, seed=2):
+    import random
+
+    dice, parts, length = random.Random(seed), [], 0
+    while length < size:
+        n = dice.randint
+        part = f"{n(1, 255)}.{n(0, 255)}.{n(0, 255)}.{n(0, 255)} {n(0, 23)}:{n(10, 59)}:{n(10, 59)} {n(200, 999)}-{n(100, 999)}-{n(1000, 9999)}"
+        parts.append(part)
+        length += len(part) + 1
+    return ("\n" if lines else " ").join(parts)
+
+
+@pytest.mark.parametrize("lines", [True, False])
+def test_long_texts_of_numbers_take_little(field, lines):
+    """A megabyte of addresses, times and numbers: time in proportion, memory by the window."""
+    import resource
+    import time
+
+    text = log_text(1_000_000, lines)
+    same(in_windows(field, text[:20_000]), plainly(field, text[:20_000]))
+    before, started = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    base, every = pd_.all_spans(text, field)
+    assert len(base) >= 25_000 and len(every) >= len(base)
+    assert time.time() - started < 30
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
+
+
 def test_dots_in_words_stay_clean(field):
     for text in ("they look at the dot product of both", "he is at home. The dot is red", "at the dot com boom"):
         assert pd_.all_spans(text, field) == ([], [])
