@@ -10,6 +10,7 @@ from tableworks.llm.queries import MODEL_PATH
 from . import brute
 from .conftest import SF
 from .test_decontaminate import best
+from .test_similar_texts import similar_groups
 
 
 def test_is_registered():
@@ -37,7 +38,7 @@ def test_stages_as_brute_force(spark, tmp_path):
             assert set(kept) == {r["doc_id"] for r in judged.where("kept").collect()}
         elif name == "near_copies":
             ids = sorted(before)
-            groups = brute.groups([brute.fingerprint(before[k]) for k in ids])
+            groups = similar_groups([before[k] for k in ids])
             assert set(kept) == {ids[g] for g in groups}
         elif name == "decontaminate":
             assert set(kept) == {k for k, t in before.items() if max(best(t, i) for i in items) < 0.8}
@@ -54,6 +55,21 @@ def test_stages_as_brute_force(spark, tmp_path):
     assert before
 
 
+CLASHING = "kept string, n_words long, base_failed string, _rank string, _root long, _bits int, fingerprint_bits long, row string, node string"
+
+
+def test_columns_of_any_name_keep_their_values(spark, odd):
+    values = ("old", 5, "x", "r", 7, 8, 9, "row", "n")
+    names = [part.split()[0] for part in CLASHING.split(", ")]
+    extra = spark.createDataFrame([values], CLASHING)
+    docs = odd.drop("kept").crossJoin(F.broadcast(extra))
+    types = dict(docs.dtypes)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert dict(docs.dtypes) == types
+        assert {tuple(r) for r in docs.select(*names).collect()} == {values}
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_odd_rows_pass_through_every_stage(spark, odd, empty):
     docs = odd.where(F.lit(False)) if empty else odd
