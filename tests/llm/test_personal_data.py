@@ -133,12 +133,12 @@ PARTS = [
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from(PARTS), max_size=40), st.sampled_from([" ", "", " and then ", "-"]), st.sampled_from([40, 97, 1 << 16]))
 def test_windows_equal_whole_stretches(field, parts, between, window):
-    text, old = between.join(parts), pd_.WINDOW
-    pd_.WINDOW = window
+    text, old = between.join(parts), (pd_.WINDOW, pd_.FEW_NUMBERS)
+    pd_.WINDOW, pd_.FEW_NUMBERS = window, -1
     try:
         same(in_windows(field, text), plainly(field, text))
     finally:
-        pd_.WINDOW = old
+        pd_.WINDOW, pd_.FEW_NUMBERS = old
 
 
 def test_windows_of_documents(documents, field):
