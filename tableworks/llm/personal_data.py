@@ -59,7 +59,7 @@ MARGIN = 2.0
 #: Characters looked back on for the word before a token; of a longer word, its end.
 NEAR = 200
 #: Characters of a stretch worked on together, and numbers of stretches that need no window.
-WINDOW, FEW_NUMBERS = 1 << 16, 6
+WINDOW, FEW_NUMBERS = 1 << 16, 12
 
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
 _NUMBER = re.compile(r"[0-9]+")
