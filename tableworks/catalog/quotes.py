@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import audits
+from ..operators import asof, audits
 from ..operators import events as ev
 from ..operators import indicators as ind
 from ..operators import quotes as q
@@ -469,6 +469,32 @@ def back_adjust(spark, sf_dir):
     return snapped(ev.back_adjust(priced(spark, sf_dir), events), ADJUSTED)
 
 
+@query(f"{ADJUSTED_SQL} SELECT * REPLACE ({snapped_sql(ADJUSTED)}) FROM adjusted")
+def back_adjust_asof(spark, sf_dir):
+    events = stored(events_in_force(spark, sf_dir, MIN_TRADES), "events-in-force")
+    return snapped(ev.back_adjust_asof(priced(spark, sf_dir), events), ADJUSTED)
+
+
+LISTED_ON_SQL = "SELECT isin_code, last_date_prior, max(multiplier) AS multiplier FROM listed GROUP BY ALL"
+
+
+@query(
+    f"""{PRICED_SQL} SELECT p.ticker, p.trade_date, p.close_price, e.last_date_prior,
+      {snap_sql('e.multiplier')} AS multiplier
+    FROM priced p ASOF LEFT JOIN ({LISTED_ON_SQL}) e
+      ON p.isin_code = e.isin_code AND p.trade_date > e.last_date_prior"""
+)
+def asof_join(spark, sf_dir):
+    """Each session with the last published event before it."""
+    listed = ev.listed_events(views.corp_events(spark, sf_dir)).withColumn("day", F.col("last_date_prior"))
+    found = asof.asof_join(
+        priced(spark, sf_dir), listed, by=["isin_code"], on=("trade_date", "day"),
+        values=["last_date_prior", "multiplier"], strict=True,
+    )
+    shown = found.select("ticker", "trade_date", "close_price", "last_date_prior", "multiplier")
+    return snapped(shown, {"multiplier": 6})
+
+
 # The same result through stored steps, whose true size decides between broadcast and merge.
 @query(f"{ADJUSTED_SQL} SELECT * REPLACE ({snapped_sql(ADJUSTED)}) FROM adjusted")
 def join_broadcast_left(spark, sf_dir):

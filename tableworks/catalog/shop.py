@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from ..operators import audits, ranks, reshape
+from ..operators import audits, bitmaps, ranks, reshape
+from ..session import stored
 from . import views
 from .registry import query, snap, snap_sql, snapped, snapped_sql
 
@@ -32,6 +35,46 @@ def count_distinct_many(spark, sf_dir):
     return audits.count_distinct_many(views.shopping(spark, sf_dir), COUNTED)
 
 
+@query(
+    f"""{SHOP} SELECT count(*) AS total,
+    {", ".join(f"count(DISTINCT {c}) AS {c}" for c in COUNTED)} FROM shopping"""
+)
+def count_distinct_merged(spark, sf_dir):
+    """The counts over all days from bitmaps that are stored by day."""
+    shopping = views.shopping(spark, sf_dir)
+    counts = shopping.agg(F.count("*").alias("total"))
+    for column in COUNTED:
+        # One row each.
+        counts = counts.crossJoin(bitmaps.count_bits(daily_bitmaps(shopping, column), name=column))
+    return counts
+
+
+def daily_bitmaps(shopping, column: str):
+    dated = shopping.select(F.col("order_purchase_timestamp").cast("date").alias("day"), column)
+    values = bitmaps.number_values(dated, column)
+    return stored(bitmaps.bitmaps_by(dated, ["day"], column, values), "bitmaps")
+
+
+@query(
+    f"""{SHOP} SELECT CAST(year(order_purchase_timestamp) AS INTEGER) AS year,
+      CAST(month(order_purchase_timestamp) AS INTEGER) AS month,
+      count(DISTINCT customer_unique_id) AS customers
+    FROM shopping GROUP BY ROLLUP (1, 2)"""
+)
+def count_distinct_rollup(spark, sf_dir):
+    """Customers by month, by year and in all, each merged from the blocks of the level below."""
+    days = daily_bitmaps(views.shopping(spark, sf_dir), "customer_unique_id")
+    dated = days.withColumns({"year": F.year("day"), "month": F.month("day")})
+    months = bitmaps.merged(dated, ["year", "month"])
+    years = bitmaps.merged(months, ["year"])
+    levels = [
+        bitmaps.count_bits(months, ["year", "month"], "customers"),
+        bitmaps.count_bits(years, ["year"], "customers"),
+        bitmaps.count_bits(years, [], "customers"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), levels)
+
+
 AVERAGES_SQL = ", ".join(f"avg({c}) AS {c}" for c in views.SHOP_MEASURES)
 MEASURES = {c: 4 for c in views.SHOP_MEASURES}
 FEATURES_SQL = f"""{SHOP}, product_features AS (
