@@ -13,7 +13,7 @@ from ..operators import indicators as ind
 from ..operators import quotes as q
 from ..operators.resample import resample_last as resample
 from ..plans import daily
-from ..plans.pipeline import Pipeline, Step
+from ..plans.pipeline import Pipeline, Step, StoredPipeline
 from ..plans.stocks import adjusted_prices
 from ..plans.stocks import stock_features as features
 from ..session import scratch_path, stored
@@ -578,17 +578,30 @@ class _Apply(Step):
     def run(self, df):
         return self.function(df)
 
+    def settings(self):
+        return {"function": f"{self.function.__module__}.{self.function.__qualname__}"}
 
-@query(
-    f"""{PRICED_SQL}, returns AS (
+
+CHAIN_SQL = f"""{PRICED_SQL}, returns AS (
     SELECT *, {RETURN_SQL} AS log_return FROM priced WINDOW w AS ({BY_TICKER})),
     {averages_sql("returns")}
     SELECT * REPLACE ({snapped_sql({"log_return": 6, "day_trade": 4} | AVERAGES)})
     FROM distances"""
-)
+CHAIN = [_Apply(step) for step in (q.filter_stocks, q.normalize_price, ind.log_return, ind.moving_average)]
+
+
+@query(CHAIN_SQL)
 def pipeline_chain(spark, sf_dir):
-    steps = [q.filter_stocks, q.normalize_price, ind.log_return, ind.moving_average]
-    chained = Pipeline([_Apply(step) for step in steps]).run(views.bars(spark, sf_dir))
+    chained = Pipeline(CHAIN).run(views.bars(spark, sf_dir))
+    return snapped(chained, {"log_return": 6, "day_trade": 4} | AVERAGES)
+
+
+@query(CHAIN_SQL)
+def pipeline_stored(spark, sf_dir):
+    """A run of two steps, and one of all four that goes on where it ended."""
+    root, quotes = scratch_path(spark, "steps"), views.bars(spark, sf_dir)
+    StoredPipeline(CHAIN[:2], root, sf_dir).run(quotes)
+    chained = StoredPipeline(CHAIN, root, sf_dir).run(quotes)
     return snapped(chained, {"log_return": 6, "day_trade": 4} | AVERAGES)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..plans import conversion
 from ..session import scratch_path, stored
-from ..sources import archives, delimited, events_json, fixed_width, members, tables, versions
+from ..sources import archives, delimited, events_json, fixed_width, members, rejects, tables, versions
 from . import views
 from .registry import query
 
@@ -234,6 +234,30 @@ def parse_fixed_width(spark, sf_dir):
     )
 
 
+@query(
+    f"""WITH {views.BARS_SQL} SELECT {QUOTE_FIELDS_SQL}, CAST(NULL AS VARCHAR) AS reason
+    FROM bars WHERE total_quantity % 7 NOT IN (3, 4)
+    UNION ALL BY NAME SELECT ticker, CASE WHEN total_quantity % 7 = 3
+      THEN 'unreadable: open_price, total_trades' ELSE 'line too short' END AS reason
+    FROM bars WHERE total_quantity % 7 IN (3, 4)"""
+)
+def reject_fixed_width(spark, sf_dir):
+    """Some records have letters among the digits, and some are cut short."""
+    line = F.col("value")
+    planted = F.substring(line, 153, 18).cast("string").try_cast("long") % 7
+    lettered = F.overlay(F.overlay(line, F.lit(b"X"), 57), F.lit(b" "), 148)
+    broken = F.when(planted == 3, lettered).when(planted == 4, F.substring(line, 1, 200))
+    lines = quote_lines(spark, sf_dir).select(broken.otherwise(line).alias("value"))
+    checked = rejects.fixed_width_lines(stored(lines, "quote-lines"), max_share=0.5)
+    good = checked.good.drop(
+        "forward_term", "best_bid_price", "best_ask_price", "strike_price",
+        "correction_indicator", "strike_points",
+    )
+    ticker = F.trim(F.decode(F.substring("value", 13, 12), "ISO-8859-1"))
+    bad = checked.rejects.select(ticker.alias("ticker"), "reason")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 # --- delimited text ---------------------------------------------------------------------
 
 TITLE_TEXT_SQL = f"""WITH {views.TITLES_SQL}
@@ -281,6 +305,30 @@ def parse_delimited_quoted(spark, sf_dir):
     return delimited.parse_delimited_strings(spark, path, ";", '"')
 
 
+@query(
+    """SELECT doc_id, lang, text, line, reason FROM (
+      SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(lang, '') AS lang,
+        translate(coalesce(text, ''), chr(10) || chr(13) || '|', '   ') AS text,
+        doc_id % 10 AS digit, NULL AS line, NULL AS reason FROM documents)
+    WHERE digit <> 3
+    UNION ALL SELECT NULL, NULL, NULL, doc_id || '|' || coalesce(lang, ''), 'not 3 fields'
+    FROM documents WHERE doc_id % 10 = 3"""
+)
+def reject_delimited(spark, sf_dir):
+    """Every tenth line lacks its last field."""
+    path = scratch_path(spark, "ragged-text")
+    key, text = F.col("doc_id").cast("string"), F.translate("text", "\n\r|", "   ")
+    ragged = F.when(F.col("doc_id") % 10 != 3, F.coalesce(text, F.lit("")))
+    line = F.concat_ws("|", key, F.coalesce("lang", F.lit("")), ragged)
+    # A table of one column whose name is the header.
+    views.table(spark, sf_dir, "documents").select(line.alias("doc_id|lang|text")).write.csv(
+        path, header=True, sep="\x01", quote="", escape="\0", emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    checked = rejects.delimited_strings(spark, path, "|", max_share=0.2)
+    return checked.good.unionByName(checked.rejects.drop(*rejects.ORIGIN), allowMissingColumns=True)
+
+
 # --- archives ---------------------------------------------------------------------------
 
 ARCHIVED = ["s_suppkey", "s_name", "s_nationkey"]
@@ -507,7 +555,7 @@ def company_documents(spark, sf_dir) -> DataFrame:
         .otherwise(F.lit('{"code":3}'))
     )
     return views.table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").cast("string").alias("company"), shape.alias("document")
+        "o_orderkey", F.col("o_custkey").cast("string").alias("company"), shape.alias("document")
     )
 
 
@@ -522,6 +570,28 @@ def flatten_event_json(spark, sf_dir):
     return events_json.flatten_event_json(company_documents(spark, sf_dir), "document", "company")
 
 
+@query(
+    """SELECT CAST(o_custkey AS VARCHAR) AS issuing_company, 'I' || o_orderkey AS isin_code,
+      o_orderstatus AS label, CAST(round(o_totalprice * 100) AS BIGINT) / 100.0 AS factor,
+      CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS last_date_prior,
+      CAST(o_orderdate AS DATE) AS approved_on, CAST(NULL AS VARCHAR) AS reason
+    FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderkey % 11 > 1
+    UNION ALL BY NAME SELECT CAST(o_custkey AS VARCHAR) AS issuing_company,
+      CASE WHEN o_orderkey % 11 = 0 THEN 'not JSON' ELSE 'an event without factor' END AS reason
+    FROM orders WHERE o_orderkey % 11 = 0
+      OR o_orderkey % 11 = 1 AND o_orderpriority IN ('1-URGENT', '2-HIGH')"""
+)
+def reject_companies(spark, sf_dir):
+    """Some documents are cut short, and some events lack a field."""
+    documents = company_documents(spark, sf_dir)
+    document, planted = F.col("document"), F.col("o_orderkey") % 11
+    cut = F.when(planted == 0, F.substring(document, F.lit(1), F.length(document) - 1))
+    renamed = F.replace(document, F.lit('"factor"'), F.lit('"other"'))
+    broken = documents.withColumn("document", cut.when(planted == 1, renamed).otherwise(document))
+    checked = rejects.company_documents(broken, "document", "company", max_share=0.2)
+    return checked.good.unionByName(checked.rejects.drop("document"), allowMissingColumns=True)
+
+
 COMPANIES_SQL = """SELECT c_custkey,
       CASE c_mktsegment WHEN 'BUILDING' THEN 'DR2' WHEN 'MACHINERY' THEN '' END AS "typeBDR",
       CASE WHEN c_acctbal < 0 THEN '31/12/9999' WHEN c_acctbal < 5000 THEN '02/01/1998' END

@@ -119,3 +119,44 @@ def parse_fixed_width(
             ]
         )
     )
+
+
+def read_fixed_width(
+    lines: DataFrame,
+    layout: Iterable[tuple[str, int, int, Field]] = QUOTE_LAYOUT,
+    record_type: str = QUOTE_RECORD,
+    price_scale: float = PRICE_SCALE,
+) -> DataFrame:
+    """Every record with its typed fields, the columns of ``lines`` and a ``reason``.
+
+    The reason is null where all fields read; elsewhere fields that do not are null.
+    """
+    layout = tuple(layout)
+    reader = _Reader(False, price_scale)
+    line = F.col("value")
+    if dict(lines.dtypes)["value"] == "string":
+        line = F.encode(line, ENCODING)
+    wrong = []
+    for name, start, end, kind in layout:
+        raw = F.substring("_line", start, end - start + 1)
+        if kind is Field.DATE:
+            wrong.append(F.when(reader.read(raw, kind).isNull(), name))
+        elif kind is not Field.TEXT:
+            # A cast would forgive blanks and control bytes around the digits.
+            right = F.rlike(raw.cast("string"), F.lit("^-?[0-9]+$")) & reader.whole(raw).isNotNull()
+            wrong.append(F.when(~right, name))
+    short = F.length("_line") < max(end for _, _, end, _ in layout)
+    unread = F.concat_ws(", ", *wrong)
+    reason = F.when(short, "line too short").when(unread != "", F.concat(F.lit("unreadable: "), unread))
+    return (
+        lines.withColumn("_line", line)
+        .where(F.substring("_line", 1, 2) == F.lit(record_type.encode()))
+        .select(
+            *lines.columns,
+            *[
+                reader.read(F.substring("_line", start, end - start + 1), kind).alias(name)
+                for name, start, end, kind in layout
+            ],
+            reason.alias("reason"),
+        )
+    )

@@ -91,7 +91,8 @@ def _files(spark: SparkSession, path: str):
     return target.getFileSystem(conf), target
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None where there is no file."""
     files, target = _files(spark, path)
     if not files.exists(target):
         return None
@@ -102,7 +103,7 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _replace_text(spark: SparkSession, path: str, text: str) -> None:
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Write beside the file and rename over it: readers see the old text or the new one."""
     files, fresh = _files(spark, f"{path}.{uuid.uuid4().hex}")
     stream = files.create(fresh)
@@ -121,7 +122,7 @@ def _replace_text(spark: SparkSession, path: str, text: str) -> None:
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     """Path of the published version; None before the first."""
-    name = _read_text(spark, f"{root}/{POINTER}")
+    name = read_text(spark, f"{root}/{POINTER}")
     return f"{root}/{name}" if name else None
 
 
@@ -132,7 +133,7 @@ def new_version(root: str) -> str:
 
 def point_to(spark: SparkSession, root: str, version: str) -> None:
     """Make a version that is written the current one."""
-    _replace_text(spark, f"{root}/{POINTER}", version.rsplit("/", 1)[-1])
+    replace_text(spark, f"{root}/{POINTER}", version.rsplit("/", 1)[-1])
 
 
 def publish(
