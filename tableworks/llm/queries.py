@@ -46,7 +46,7 @@ WITH said AS (
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), marked AS (
-  SELECT *, length(text) + length(text) - length(replace(text, '', ''))
+  SELECT *, length(text) + length(text) - length(replace(text, chr(92), ''))
     + len(regexp_extract_all(text, '{chats.PATTERN}')) AS escaped
   FROM said
 ), whole AS (

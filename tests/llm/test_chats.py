@@ -1,11 +1,12 @@
 import hashlib
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tableworks.llm import chats
+from tableworks.llm import chats, queries
 
 SCHEMA = f"conv_id long, turn long, role string, parts array<{chats.PART}>, segment string"
 
@@ -86,3 +87,17 @@ def test_empty_and_long_conversations(spark, n):
     found = chats.read_back(chats.format_turns(turns)).collect()
     want = "".join(map(str, range(n)))
     assert [(r["n_turns"], r["loss_sha256"]) for r in found] == ([(n, hashlib.sha256(want.encode()).hexdigest())] if n else [])
+
+
+def test_sql_counts_backslashes(spark, tmp_path):
+    """Texts with backslashes, written control strings, nulls and repeated rows."""
+    texts = ["a\\b", "\\", "\\\\[/TURN]", "[TURN]\\[TEXT]", None, "", "plain", "plain", "</s>"]
+    rows = [(n // 3, n % 3, "user" if n % 2 else "assistant", text) for n, text in enumerate(texts)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = queries.op1_chats(spark, str(tmp_path))
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = connection.sql(queries.oracle_sql()["op1_chats"])
+    places = [found.columns.index(name) for name in want.columns]
+    assert sorted(tuple(row[k] for k in places) for row in found.collect()) == sorted(want.fetchall())
