@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .texts import as_strings, blocks, quoted, with_text_columns
 
-#: Components of a vector; letters, with 0 for all that are none; most languages learned.
-DIMENSIONS, LETTERS, MAX_LANGUAGES = 1024, 96, 1000
+#: Components of a vector; letters, with 0 for all that are none; languages of a page.
+DIMENSIONS, LETTERS, PAGE = 1024, 96, 1000
 #: Texts bundled together, and code points of a text counted together.
 TOGETHER, STRETCH = 96, 1 << 20
 UNKNOWN = "und"
@@ -119,6 +120,9 @@ class Profiles:
         rows = [bundles[name] / max(np.linalg.norm(bundles[name]), 1e-12) for name in self.names]
         self.prototypes = np.array(rows, np.float32).reshape(len(rows), DIMENSIONS)
 
+    def pages(self) -> Iterator[Profiles]:
+        yield self
+
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         names, scores = [], []
         for group in _groups(texts):
@@ -169,10 +173,27 @@ def _bundled(counts: pa.Table) -> pa.Table:
     return pa.table({"lang": counts.column("lang").slice(0, 1), "vector": [vector.tolist()]})
 
 
-def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
+class PagedProfiles:
+    """Prototypes of more languages than a task should hold, as a stored table read page by page."""
+
+    def __init__(self, bundles: DataFrame, count: int):
+        self.bundles, self.count = bundles, count
+
+    def pages(self) -> Iterator[Profiles]:
+        """About ``PAGE`` languages each."""
+        page = F.pmod(F.xxhash64("lang"), F.lit(self.count))
+        for number in range(self.count):
+            yield _collected(self.bundles.where(page == number))
+
+
+def _collected(bundles: DataFrame) -> Profiles:
+    return Profiles({row["lang"]: np.array(row["vector"]) for row in bundles.collect()})
+
+
+def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles | PagedProfiles:
     """Profiles from all rows whose language is known; texts without letters teach nothing.
 
-    More than ``MAX_LANGUAGES`` languages are an error: profiles are held whole by every task.
+    With more than ``PAGE`` languages they stay in the shared folder and are read page by page.
     """
     known = rows.where(quoted(lang).isNotNull()).select(
         quoted(lang).cast("string").alias("lang"), quoted(text).cast("string").alias("text")
@@ -180,24 +201,53 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     summed = (
         known.mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     )
-    names = summed.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
-    if names > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    rows = summed.groupBy("lang").applyInArrow(_bundled, "lang string, vector array<double>")
-    return Profiles({row["lang"]: np.array(row["vector"]) for row in rows.collect()})
+    bundles = stored(summed.groupBy("lang").applyInArrow(_bundled, "lang string, vector array<double>"), "bundles")
+    pages = -(-bundles.count() // PAGE)
+    return PagedProfiles(bundles, pages) if pages > 1 else _collected(bundles)
 
 
-def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, profiles: Profiles | PagedProfiles, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the cosine between 0 and 1.
 
     Null texts and texts without a letter are ``und`` with score 0, and so is every text if
-    nothing was learned. Of equal cosines the first name wins. Columns of these names give way.
+    nothing was learned. Of equal cosines the first name wins, and of scores on different pages
+    that equal to six digits. Columns of these names give way. The texts are read once, however
+    many pages there are; each page's profiles are a broadcast of 4 MB or so.
     """
-    held = docs.sparkSession.sparkContext.broadcast(profiles)
-
+    spark, found = docs.sparkSession, None
+    for page in profiles.pages():
+        held = spark.sparkContext.broadcast(page)
+        if found is None:
+            found = with_text_columns(docs, text, _predictor(held, "lang_pred", "score"), PREDICTED)
+            continue
+        name, score = (unused(found, own) for own in ("lang_pred", "score"))
+        work = _predictor(held, name, score)
+        found = with_text_columns(found, text, work, f"{name} string, {score} double")
+        first = (F.col(score) == F.col("score")) & (F.col(name) < F.col("lang_pred"))
+        better = (F.col("lang_pred") == UNKNOWN) | (F.col(score) > F.col("score")) | first
+        # A page may be empty.
+        better = better & (F.col(name) != UNKNOWN)
+        found = found.withColumns(
+            {
+                "lang_pred": F.when(better, F.col(name)).otherwise(F.col("lang_pred")),
+                "score": F.when(better, F.col(score)).otherwise(F.col("score")),
+            }
+        ).drop(name, score)
+    return found
+
+
+def _predictor(held, name: str, score: str):
     def work(texts: pa.Array) -> dict[str, list]:
         names, scores = held.value.predict(as_strings(texts))
         # Sums depend on how rows were batched, in the last digits.
-        return {"lang_pred": names, "score": np.round(scores, 6)}
+        return {name: names, score: np.round(scores, 6)}
+
+    return work
+
 
-    return with_text_columns(docs, text, work, PREDICTED)
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name

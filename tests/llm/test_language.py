@@ -61,3 +61,22 @@ def test_odd_rows(spark, odd, none):
     assert lg.identify(none, profiles).count() == 0
     nothing = spark.createDataFrame([(None, None)], "text string, lang string")
     assert lg.learn(nothing).names == []
+
+
+def test_pages_of_languages(spark, odd, monkeypatch):
+    """Seven languages, two to a page or so, against all of them at once."""
+    words = ["der hund", "the cat", "le chien", "el gato", "il cane", "o cachorro", "hunden er", ""]
+    rows = [(f"l{n % 7}", f"{words[n % 8]} {words[n % 7]} {'xyz'[n % 3] * n}") for n in range(40)]
+    docs = spark.createDataFrame([*rows, (None, None)], "lang string, text string")
+    odd = odd.withColumnsRenamed({name: "_Score" for name in odd.columns if name == "source"})
+    whole = lg.learn(docs)
+    monkeypatch.setattr(lg, "PAGE", 2)
+    paged = lg.learn(docs)
+    names = [name for page in paged.pages() for name in page.names]
+    assert isinstance(paged, lg.PagedProfiles) and sorted(names) == whole.names
+    for table in (docs, odd):
+        want, found = lg.identify(table, whole), lg.identify(table, paged)
+        assert found.columns == want.columns
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, want.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") <= 1
