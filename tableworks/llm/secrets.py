@@ -4,11 +4,16 @@ A run of base64 or hexadecimal characters is decoded and reported only if what i
 Runs may be broken into lines, indented ones and ones with written breaks too. Where the whole run
 does not parse its parts are tried, after slashes and between dots, as in paths:
 
-- ``der``: nested tag-length-value structures whose lengths add up exactly, starting like a
-  private or public key or a certificate (a sequence that holds an integer or a sequence);
-- ``ssh``: length-prefixed fields, the first a key type, or the container of private keys;
+- ``der``: nested tag-length-value structures whose lengths add up exactly and whose fields are
+  those of a private key: a version and big integers (RSA, DSA), a version and a secret (elliptic
+  curves), an algorithm and what holds the key, encrypted or not, or a store of keys;
+- ``der-public``: likewise a public key or a certificate. Signatures are neither;
+- ``ssh-private``: the container of private keys, all its fields in place;
+- ``ssh``: length-prefixed fields of a public key, the first its type;
 - ``jwt``: three dot-separated parts, the first a JSON object that names an algorithm and the
-  second a JSON object.
+  second a JSON object, however short.
+
+All are reported; public ones are masked on request only.
 """
 
 from __future__ import annotations
@@ -55,7 +60,14 @@ HEX_PART = re.compile(r"[0-9A-Fa-f]+")
 TOKEN_HEAD = re.compile(r"e[A-Za-z0-9+_-]*={0,2}\.")
 SSH_TYPES = re.compile(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+\Z")
 
-KINDS = ("assign", "access", "hex", "der", "jwt", "ssh")
+#: A token too short to be a run.
+SHORT_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=.-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: What a run may go on with; the empty text after the last character is not of these.
+_MORE = tuple("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-")
+SSH_CONTAINER = b"openssh-key-v1\0"
+
+KINDS = ("assign", "access", "hex", "der", "jwt", "ssh", "der-public", "ssh-private")
+PUBLIC = {"ssh", "der-public"}
 _IN_HEX = byte_set(b"0123456789abcdef")
 _IN_CODE = byte_set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-")
 
@@ -90,30 +102,108 @@ def _der_end(data: bytes, at: int, limit: int, depth: int = 0) -> int:
     return end
 
 
-def is_der(data: bytes) -> bool:
-    if len(data) < 24 or data[0] != 0x30 or _der_end(data, 0, len(data)) != len(data):
-        return False
-    body = 2 + (data[1] & 0x7F if data[1] & 0x80 else 0)
-    return data[body] in (0x02, 0x30)
+#: Tags of the structures that keys are made of. Fixed values.
+INT, BITS, OCTETS, OID, SEQ = 0x02, 0x03, 0x04, 0x06, 0x30
+#: Least bytes of a number or a secret that is a key, and most bytes of a public exponent.
+LEAST_KEY, MOST_EXPONENT = 16, 8
 
 
-def is_ssh(data: bytes) -> bool:
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
-    at, fields = 0, []
+def _fields(data: bytes) -> list[tuple[int, bytes]]:
+    """Tags and contents of structures side by side; their lengths are known to fit."""
+    found, at = [], 0
     while at < len(data):
+        size, body = data[at + 1], at + 2
+        if size & 0x80:
+            octets = size & 0x7F
+            size = int.from_bytes(data[body : body + octets], "big")
+            body += octets
+        found.append((data[at], data[body : body + size]))
+        at = body + size
+    return found
+
+
+def _is_algorithm(field: tuple[int, bytes]) -> bool:
+    return field[0] == SEQ and field[1][:1] == bytes([OID])
+
+
+def _holds_key(secret: bytes) -> bool:
+    """Whether the octets of an unencrypted key are one structure: numbers, a secret, or a number."""
+    return len(secret) > 2 and secret[0] in (SEQ, OCTETS, INT) and _der_end(secret, 0, len(secret)) == len(secret)
+
+
+def der_kind(data: bytes) -> str | None:
+    """``der`` for a private key, ``der-public`` for a public one or a certificate."""
+    if len(data) < 24 or data[0] != SEQ or _der_end(data, 0, len(data)) != len(data):
+        return None
+    fields = _fields(_fields(data)[0][1])
+    tags, bodies = [tag for tag, _ in fields], [body for _, body in fields]
+    if len(fields) < 2:
+        return None
+    if tags[0] == INT:
+        version = int.from_bytes(bodies[0], "big") if len(bodies[0]) == 1 else None
+        if set(tags) == {INT} or tags[-1] == SEQ and set(tags[:-1]) == {INT} and version == 1:
+            if version in (0, 1) and len(fields) > 2:
+                return "der" if max(map(len, bodies[1:])) >= LEAST_KEY else None
+            # A modulus and an exponent; the two numbers of a signature are of one size.
+            short = len(fields) == 2 and len(bodies[1]) <= MOST_EXPONENT < LEAST_KEY <= len(bodies[0])
+            return "der-public" if short else None
+        if version in (0, 1) and _is_algorithm(fields[1]) and tags[2:3] == [OCTETS]:
+            return "der" if _holds_key(bodies[2]) and set(tags[3:]) <= {0xA0, 0xA1, 0x81} else None
+        if version == 1 and tags[1] == OCTETS and len(bodies[1]) >= LEAST_KEY:
+            return "der" if set(tags[2:]) <= {0xA0, 0xA1} else None
+        return "der" if version == 3 and _is_algorithm(fields[1]) else None
+    if _is_algorithm(fields[0]) and len(fields) == 2:
+        return {OCTETS: "der", BITS: "der-public"}.get(tags[1])
+    signed = len(fields) == 3 and tags[0] == SEQ and _is_algorithm(fields[1]) and tags[2] == BITS
+    return "der-public" if signed else None
+
+
+def _ssh_fields(data: bytes, at: int = 0, count: int | None = None) -> tuple[list[bytes], int]:
+    """Length-prefixed fields, ``count`` or up to the end, and where they end; -1 if one does not fit."""
+    fields = []
+    while at < len(data) if count is None else len(fields) < count:
         size = int.from_bytes(data[at : at + 4], "big")
         if at + 4 + size > len(data):
-            return False
+            return fields, -1
         fields.append(data[at + 4 : at + 4 + size])
         at += 4 + size
-    return len(fields) > 1 and bool(SSH_TYPES.match(fields[0]))
+    return fields, at
+
+
+def _is_ssh_public(data: bytes) -> bool:
+    fields, end = _ssh_fields(data)
+    return end >= 0 and len(fields) > 1 and bool(SSH_TYPES.match(fields[0]))
+
+
+def _is_ssh_container(data: bytes) -> bool:
+    """Cipher, key derivation and its options, a count, so many public keys, and the private part.
+
+    An unencrypted private part begins with one number twice.
+    """
+    head, at = _ssh_fields(data, len(SSH_CONTAINER), 3)
+    if at < 0 or at + 4 > len(data):
+        return False
+    keys = int.from_bytes(data[at : at + 4], "big")
+    if not 1 <= keys <= len(data):
+        return False
+    fields, end = _ssh_fields(data, at + 4, keys + 1)
+    if end != len(data) or not all(_is_ssh_public(key) for key in fields[:-1]):
+        return False
+    secret = fields[-1]
+    return len(secret) > 8 and (head[0] != b"none" or secret[:4] == secret[4:8])
+
+
+def ssh_kind(data: bytes) -> str | None:
+    """``ssh-private`` for a container of private keys, ``ssh`` for a public key."""
+    if data.startswith(SSH_CONTAINER):
+        return "ssh-private" if _is_ssh_container(data) else None
+    return "ssh" if _is_ssh_public(data) else None
 
 
 def is_ssh_head(data: bytes) -> bool:
     """Whether keys may begin so: the container's name, or a key type as the first field."""
     size = int.from_bytes(data[:4], "big")
-    return data.startswith(b"openssh-key-v1\0") or 4 < size < 64 and bool(SSH_TYPES.match(data[4 : 4 + size]))
+    return data.startswith(SSH_CONTAINER) or 4 < size < 64 and bool(SSH_TYPES.match(data[4 : 4 + size]))
 
 
 def _base64(text: str) -> bytes | None:
@@ -141,7 +231,7 @@ def is_jwt(text: str) -> bool:
 
 
 def encoded_kind(text: str) -> str | None:
-    """``der``, ``ssh`` or ``jwt`` if the characters decode to such a structure."""
+    """The kind of structure that the characters decode to, if to any."""
     if "." in text:
         return "jwt" if is_jwt(text) else None
     decoded = []
@@ -149,10 +239,9 @@ def encoded_kind(text: str) -> str | None:
         decoded.append(bytes.fromhex(text))
     decoded.append(_base64(text))
     for data in decoded:
-        if data and is_der(data):
-            return "der"
-        if data and is_ssh(data):
-            return "ssh"
+        kind = data and (der_kind(data) or ssh_kind(data))
+        if kind:
+            return kind
     return None
 
 
@@ -250,6 +339,10 @@ def structural_spans(text: str) -> list[tuple[int, int, str]]:
             at += 1
         if at == len(broken) or broken[at][0] >= end:
             found += _in_run(text, start, end)
+    if "eyJ" in text:
+        for m in SHORT_TOKEN.finditer(text):
+            if m.end() - m.start() < MIN_ENCODED and text[m.end() : m.end() + 1] not in _MORE and is_jwt(m[0]):
+                found.append((m.start(), m.end(), "jwt"))
     return found
 
 
@@ -267,7 +360,7 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
 def _hot(data: bytes) -> bool:
     """Whether a text can hold any secret, decided by plain searches."""
     low = data.lower()
-    if b"AKIA" in data or any(word.encode() in low for word in KEYWORDS):
+    if b"AKIA" in data or b"eyJ" in data or any(word.encode() in low for word in KEYWORDS):
         return True
     codes = np.frombuffer(data, np.uint8)
     for members, least in ((_IN_CODE, MIN_ENCODED), (_IN_HEX, MIN_HEX)):
@@ -308,9 +401,12 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     return with_text_columns(docs, text, find, SPANS)
 
 
-def redacted(text: str, mask: str = "[SECRET]") -> str:
-    """The text with every stretch of secrets replaced; overlapping spans are one stretch."""
-    _, spans = all_spans(text)
+def redacted(text: str, mask: str = "[SECRET]", public: bool = False) -> str:
+    """The text with every stretch of secrets replaced; overlapping spans are one stretch.
+
+    Public keys and certificates are no secrets and stay unless ``public`` is set.
+    """
+    spans = [span for span in all_spans(text)[1] if public or span[2] not in PUBLIC]
     out, at = [], 0
     for start, end, _ in spans:
         if start >= at:
@@ -319,15 +415,18 @@ def redacted(text: str, mask: str = "[SECRET]") -> str:
     return "".join([*out, text[at:]]) if spans else text
 
 
-def _redact(texts: pa.Array) -> dict[str, list]:
-    out = []
-    for text, data in zip(texts.to_pylist(), as_bytes(texts), strict=True):
-        out.append(redacted(text) if text and _hot(data) else text)
-    return {"_redacted": out}
+def redact_secrets(docs: DataFrame, text: str = "text", public: bool = False) -> DataFrame:
+    """``docs`` with ``[SECRET]`` for every secret in ``text``; null texts stay null.
+
+    Public keys and certificates are masked, too, if ``public`` is set.
+    """
 
+    def redact(texts: pa.Array) -> dict[str, list]:
+        out = []
+        for text, data in zip(texts.to_pylist(), as_bytes(texts), strict=True):
+            out.append(redacted(text, public=public) if text and _hot(data) else text)
+        return {"_redacted": out}
 
-def redact_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``[SECRET]`` for every secret in ``text``; null texts stay null."""
-    marked = with_text_columns(docs, text, _redact, "_redacted string")
+    marked = with_text_columns(docs, text, redact, "_redacted string")
     kept = [F.col("_redacted").alias(c) if c == text else quoted(c) for c in docs.columns]
     return marked.select(*kept)

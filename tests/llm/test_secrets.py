@@ -126,3 +126,97 @@ def test_odd_rows(odd, none):
         assert row["base_sha256"] == brute.digest(brute.secrets(row["text"]))
     assert secrets.redact_secrets(odd).columns == odd.columns
     assert secrets.find_secrets(none).count() == 0
+
+
+BIG, SECRET = bytes(range(1, 129)), bytes(range(1, 33))
+ALGORITHM = der(0x30, der(6, b"\x2a\x86\x48") + der(5, b""))
+RSA = der(0x30, der(2, b"\0") + b"".join(der(2, BIG) for _ in range(8)))
+CURVE = der(0x30, der(2, b"\1") + der(4, SECRET) + der(0xA0, der(6, b"\x2a\x86")))
+SIGNED = ALGORITHM + der(3, b"\0" + BIG)
+
+
+def field(*values):
+    return b"".join(len(v).to_bytes(4, "big") + v for v in values)
+
+
+def container(cipher=b"none", keys=1, check=b"abcdabcd", more=b""):
+    head = b"openssh-key-v1\0" + field(cipher, b"none", b"") + (1).to_bytes(4, "big")
+    return head + field(*[SSH] * keys, check + bytes(60)) + more
+
+
+@pytest.mark.parametrize(
+    ("data", "kind"),
+    [
+        (RSA, "der"),
+        (CURVE, "der"),
+        (der(0x30, der(2, b"\0") + ALGORITHM + der(4, RSA)), "der"),
+        (der(0x30, der(2, b"\0") + ALGORITHM + der(4, CURVE)), "der"),
+        (der(0x30, der(2, b"\1") + ALGORITHM + der(4, der(4, SECRET)) + der(0x81, SECRET)), "der"),
+        # Encrypted, and a store of keys.
+        (der(0x30, ALGORITHM + der(4, BIG)), "der"),
+        (der(0x30, der(2, b"\3") + der(0x30, der(6, b"\x2a\x86") + der(0xA0, der(4, BIG)))), "der"),
+        # Public keys and a certificate.
+        (der(0x30, der(2, BIG) + der(2, b"\1\0\1")), "der-public"),
+        (der(0x30, ALGORITHM + der(3, b"\0" + BIG)), "der-public"),
+        (der(0x30, der(0x30, der(2, b"\5") + ALGORITHM) + SIGNED), "der-public"),
+        (container(), "ssh-private"),
+        (container(b"aes256-ctr", check=b"abcdefgh"), "ssh-private"),
+        # Near misses: a signature, small numbers, octets that hold no key, other nestings.
+        (der(0x30, der(2, SECRET) + der(2, SECRET)), None),
+        (der(0x30, b"".join(der(2, bytes([k])) for k in range(12))), None),
+        (der(0x30, der(2, b"\0") + ALGORITHM + der(4, BIG)), None),
+        (der(0x30, der(2, b"\7") + ALGORITHM + der(4, RSA)), None),
+        (der(0x30, der(2, b"\1") + der(4, b"short") + der(12, b"some more text")), None),
+        (der(0x30, der(0x30, der(2, BIG)) + der(0x30, der(2, BIG))), None),
+        (der(0x30, der(12, b"a name of twenty letters and more")), None),
+        # Containers that are cut, go on, miss a key, or whose check numbers differ.
+        (b"openssh-key-v1\0" + b"\xff" * 40, None),
+        (container(more=b"x"), None),
+        (container()[:-1], None),
+        (container(keys=0), None),
+        (container(keys=2), None),
+        (container(check=b"abcdefgh"), None),
+    ],
+)
+def test_shapes_of_keys(data, kind):
+    assert (secrets.der_kind(data) or secrets.ssh_kind(data)) == kind
+    text = f"see {base64.b64encode(data).decode()} here"
+    found = [(k, text[s:e]) for s, e, k in secrets.structural_spans(text)]
+    assert found == ([(kind, text[4:-5])] if kind else [])
+    masked = kind in ("der", "ssh-private")
+    assert secrets.redacted(text) == ("see [SECRET] here" if masked else text)
+    assert secrets.redacted(text, public=True) == ("see [SECRET] here" if kind else text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, len(RSA) - 1), st.integers(0, 255))
+def test_damaged_keys_never_fail(place, byte):
+    for data in (RSA, CURVE, container()):
+        at = place % len(data)
+        broken = data[:at] + bytes([byte]) + data[at + 1 :]
+        secrets.encoded_kind(base64.b64encode(broken).decode())
+        assert secrets.der_kind(data[: at or 1]) is None
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("none: eyJhbGciOiJub25lIn0.e30. end", ["eyJhbGciOiJub25lIn0.e30."]),
+        ("eyJhbGciOiJub25lIn0.e30.", ["eyJhbGciOiJub25lIn0.e30."]),
+        ("(eyJhbGciOiJ4In0.e30.c2ln) twice eyJhbGciOiJ4In0.e30.c2ln", ["eyJhbGciOiJ4In0.e30.c2ln"] * 2),
+        ("eyJhbGciOiJ4In0.W10.c2ln", []),
+        ("eyJ4IjoieSJ9.e30.c2ln", []),
+        ("eyJhbGciOiJ4In0.e30.c2ln.more", []),
+    ],
+)
+def test_short_tokens(text, found):
+    assert [text[s:e] for s, e, k in secrets.structural_spans(text) if k == "jwt"] == found
+    assert secrets._hot(text.encode()) and secrets.redacted(text).count("[SECRET]") == len(found)
+
+
+def test_long_text_of_broken_lines():
+    """Ten thousand broken blocks that are no keys, and one that is."""
+    block = "\n".join(["QUJD" * 16] * 4)
+    text = "\n\n".join([block] * 10_000) + "\n\nkey:\n" + "\n".join(LINES) + "\nend"
+    spans = [span for span in secrets.structural_spans(text) if span[2] == "der"]
+    assert [text[s:e].strip() for s, e, _ in spans] == ["\n".join(LINES)]
