@@ -334,6 +334,19 @@ def rolling_median_mad(spark, sf_dir):
     return snapped(measured, {"volume_median": 2, "volume_mad": 2})
 
 
+@query(
+    f"""{RETURNS_SQL}, {samples_sql("total_volume", 500, "returns")}
+    SELECT ticker, trade_date, {snap_sql("median", 2)} AS volume_median,
+           {snap_sql("mad", 2)} AS volume_mad FROM d"""
+)
+def rolling_median_wide(spark, sf_dir):
+    """Frames of 500 sessions, searched by ranks."""
+    measured = ind.rolling_median_mad(
+        sessions(spark, sf_dir), value="total_volume", rows=500, prefix="volume"
+    ).select("ticker", "trade_date", "volume_median", "volume_mad")
+    return snapped(measured, {"volume_median": 2, "volume_mad": 2})
+
+
 VOLUME = {
     "log_volume": 6,
     "volume_median_20": 2,
