@@ -16,6 +16,7 @@ with a deviation of 2.9, so the radius is 3.6 deviations out; closer texts diffe
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -28,8 +29,11 @@ from .texts import Packed, as_strings, blocks, quoted, window_hashes, with_text_
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, ALLOWED = 20, (5, 4, 4, 4)
-#: Items held by one task at a time, about 100 kB each; more take further passes.
-PASS_ITEMS = 1024
+#: Items looked up in one scan of the documents, by the bytes of their texts and ``ITEM_BYTES`` for
+#: each; a lookup takes some five times as much memory. More items take further scans.
+PASS_BYTES, ITEM_BYTES = 1 << 24, 64
+#: Block values and fingerprints compared at once.
+PROBES = 1 << 21
 #: Positions of a document that are fingerprinted together.
 STRETCH = 1 << 14
 
@@ -71,35 +75,53 @@ def similarity(left: np.ndarray, right: np.ndarray) -> float:
 
 
 class HammingIndex:
-    """Finds the fingerprints within ``RADIUS`` bits of each query, all of them."""
+    """Finds the fingerprints within ``RADIUS`` bits of each query, all of them.
+
+    Each block holds its different values in order and their owners, a few bytes a fingerprint. The
+    values within a block's allowance of a query's are found by flipping bits of the query or, where
+    there are fewer values than flips, by comparing it with every value.
+    """
 
     def __init__(self, prints: np.ndarray):
         self.prints, self.tables = prints, []
-        for block, allowed in enumerate(ALLOWED):
-            flips = _flips(allowed)
-            near = (self._block(prints, block)[:, None] ^ flips[None, :]).ravel()
-            order = np.argsort(near, kind="stable")
-            self.tables.append((near[order], (order // len(flips)).astype(np.int32)))
+        for block in range(len(ALLOWED)):
+            own = self._block(prints, block)
+            order = np.argsort(own, kind="stable")
+            values, first = np.unique(own[order], return_index=True)
+            self.tables.append((values, np.append(first, len(own)), order.astype(np.int32)))
 
     @staticmethod
     def _block(prints: np.ndarray, block: int) -> np.ndarray:
         return ((prints >> np.uint64(16 * block)) & np.uint64(0xFFFF)).astype(np.uint16)
 
+    @staticmethod
+    def _values(asked: np.ndarray, values: np.ndarray, allowed: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``asked`` and, beside them, in ``values`` that differ in few enough bits."""
+        flips = _flips(allowed)
+        if len(values) <= len(flips):
+            return np.nonzero(np.bitwise_count(asked[:, None] ^ values[None, :]) <= allowed)
+        probes = asked[:, None] ^ flips[None, :]
+        at = np.minimum(np.searchsorted(values, probes), len(values) - 1)
+        query, column = np.nonzero(values[at] == probes)
+        return query, at[query, column]
+
     def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in ``queries`` and, beside them, in the fingerprints."""
-        pairs = []
-        for block, (values, owners) in enumerate(self.tables):
-            asked = self._block(queries, block)
-            low = np.searchsorted(values, asked)
-            counts = np.searchsorted(values, asked, "right") - low
-            query = np.repeat(np.arange(len(queries)), counts)
-            place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - low, counts)
-            pairs.append(query * len(self.prints) + owners[place])
-        query, owner = np.divmod(np.unique(np.concatenate(pairs)), len(self.prints))
-        close = np.bitwise_count(queries[query] ^ self.prints[owner]) <= RADIUS
-        return query[close], owner[close]
-
-
+        step = max(1, PROBES // max(len(_flips(max(ALLOWED))), len(self.prints) // 4))
+        pairs = [np.zeros(0, np.int64)]
+        for begin in range(0, len(queries), step):
+            some = queries[begin : begin + step]
+            for block, (values, first, owners) in enumerate(self.tables):
+                query, value = self._values(self._block(some, block), values, ALLOWED[block])
+                low, counts = first[value], first[value + 1] - first[value]
+                place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - low, counts)
+                query, owner = np.repeat(query, counts), owners[place]
+                close = np.bitwise_count(some[query] ^ self.prints[owner]) <= RADIUS
+                pairs.append((query[close] + begin) * len(self.prints) + owner[close])
+        return np.divmod(np.unique(np.concatenate(pairs)), max(1, len(self.prints)))
+
+
+@functools.cache
 def _flips(bits: int) -> np.ndarray:
     """All 16-bit masks of up to ``bits`` bits."""
     chosen = (c for n in range(bits + 1) for c in itertools.combinations(range(16), n))
@@ -112,41 +134,44 @@ class Benchmark:
     def __init__(self, item_ids: list[int], texts: list[str]):
         packed = pack(texts)
         words = packed.word_hashes()
-        self.items = []
-        for i, item_id in enumerate(item_ids):
-            own = words[packed.first[i] : packed.first[i + 1]]
-            if len(own):
-                self.items.append((item_id, len(own), shingles(own)))
+        found = [words[packed.first[i] : packed.first[i + 1]] for i in range(len(texts))]
+        held = [(item_id, len(own), shingles(own)) for item_id, own in zip(item_ids, found, strict=True) if len(own)]
+        #: Of each item its id and words; the shingles of all lie one after the other.
+        self.ids, self.words = [item[0] for item in held], np.array([item[1] for item in held], np.int64)
+        self.first = np.cumsum([0, *(len(item[2]) for item in held)])
+        self.flat = np.concatenate([np.zeros(0, np.uint64), *(item[2] for item in held)])
+        lengths = np.minimum(self.words, SHINGLE)
         #: Words of a window -> its items and their index; shingle length -> these sizes.
         self.by_size, self.sizes = {}, {}
-        for size in sorted({size for _, size, _ in self.items}):
-            own = [at for at, item in enumerate(self.items) if item[1] == size]
-            prints = np.array([simhash(self.items[at][2]) for at in own], np.uint64)
+        for size in np.unique(self.words).tolist():
+            own = np.flatnonzero(self.words == size)
+            prints = np.array([simhash(self.shingles_of(at)) for at in own], np.uint64)
             self.by_size[size] = own, HammingIndex(prints)
             self.sizes.setdefault(min(size, SHINGLE), []).append(size)
-        #: Shingle length -> sorted shingles of the items that have it, and a sieve for them.
-        self.known = {}
-        for _, size, found in self.items:
-            self.known.setdefault(min(size, SHINGLE), []).append(found)
-        self.known = {k: np.unique(np.concatenate(v)) for k, v in self.known.items()}
         #: Shingle length -> all shingles in order and, beside them, the items that hold them.
         self.holders = {}
-        for k in self.known:
-            own = [at for at, (_, size, _) in enumerate(self.items) if min(size, SHINGLE) == k]
-            every = np.concatenate([self.items[at][2] for at in own])
-            order = np.argsort(every, kind="stable")
-            holder = np.repeat(own, [len(self.items[at][2]) for at in own])
-            self.holders[k] = every[order], holder[order]
+        #: Shingle length -> a sieve for them, by their leading bits.
         self.sieves = {}
-        for k, known in self.known.items():
-            sieve = np.zeros(1 << 20, bool)
-            sieve[(known >> np.uint64(44)).astype(np.int64)] = True
-            self.sieves[k] = sieve
+        holder = np.repeat(np.arange(len(held), dtype=np.int32), np.diff(self.first))
+        for k in self.sizes:
+            own = np.flatnonzero(lengths[holder] == k)
+            own = own[np.argsort(self.flat[own], kind="stable")]
+            every = self.flat[own]
+            self.holders[k] = every, holder[own]
+            bits = min(24, 4 + len(every).bit_length())
+            sieve = np.zeros(1 << bits, bool)
+            sieve[(every >> np.uint64(64 - bits)).astype(np.int64)] = True
+            self.sieves[k] = np.uint64(64 - bits), sieve
+
+    def shingles_of(self, at: int) -> np.ndarray:
+        return self.flat[self.first[at] : self.first[at + 1]]
 
     def is_known(self, hashes: np.ndarray, k: int) -> np.ndarray:
-        found = self.sieves[k][(hashes >> np.uint64(44)).astype(np.int64)]
+        (shift, sieve), every = self.sieves[k], self.holders[k][0]
+        found = sieve[(hashes >> shift).astype(np.int64)]
         at = np.flatnonzero(found)
-        found[at] = np.isin(hashes[at], self.known[k])
+        place = np.minimum(np.searchsorted(every, hashes[at]), len(every) - 1)
+        found[at] = every[place] == hashes[at]
         return found
 
     def windows(self, hashes: np.ndarray, known: np.ndarray, k: int) -> Iterator[tuple]:
@@ -182,9 +207,9 @@ class Benchmark:
         every, holder = self.holders[k]
         asked = np.unique(hashes[known])
         low, high = np.searchsorted(every, asked), np.searchsorted(every, asked, "right")
-        for at in np.unique(np.concatenate([holder[a:b] for a, b in zip(low, high, strict=True)])).tolist():
-            if n_words < self.items[at][1] <= most:
-                yield at, similarity(hashes, self.items[at][2])
+        held = np.unique(np.concatenate([holder[a:b] for a, b in zip(low, high, strict=True)]))
+        for at in held[(self.words[held] > n_words) & (self.words[held] <= most)].tolist():
+            yield at, similarity(hashes, self.shingles_of(at))
 
     def matches(self, by_length: dict, marks: dict) -> dict[int, list]:
         """Item position -> [similarity, first word, words, windows] of its best window."""
@@ -195,10 +220,10 @@ class Benchmark:
             for size, starts, prints in self.windows(hashes, marks[k], k):
                 own, index = self.by_size[size]
                 for query, near in zip(*index.near(prints), strict=True):
-                    start = int(starts[query])
-                    alike = similarity(hashes[start : start + size - k + 1], self.items[own[near]][2])
+                    start, at = int(starts[query]), int(own[near])
+                    alike = similarity(hashes[start : start + size - k + 1], self.shingles_of(at))
                     if alike >= SIMILARITY:
-                        best = found.setdefault(own[near], [alike, start, size, 0])
+                        best = found.setdefault(at, [alike, start, size, 0])
                         best[3] += 1
                         if alike > best[0]:
                             best[:3] = alike, start, size
@@ -211,8 +236,8 @@ class Benchmark:
         """``(text, item id, match)`` over a block of texts."""
         packed = pack(texts)
         words = packed.word_hashes()
-        by_length = {k: window_hashes(words, k) for k in self.known}
-        marks = {k: self.is_known(by_length[k], k) for k in self.known}
+        by_length = {k: window_hashes(words, k) for k in self.sizes}
+        marks = {k: self.is_known(by_length[k], k) for k in self.sizes}
         hits = set()
         for mark in marks.values():
             hits |= set((np.searchsorted(packed.first, np.flatnonzero(mark), "right") - 1).tolist())
@@ -221,7 +246,7 @@ class Benchmark:
             lengths = {k: v[low : max(low, high - k + 1)] for k, v in by_length.items()}
             marked = {k: v[low : max(low, high - k + 1)] for k, v in marks.items()}
             for at, match in sorted(self.matches(lengths, marked).items()):
-                yield i, self.items[at][0], match
+                yield i, self.ids[at], match
 
 
 def contaminated(
@@ -238,7 +263,8 @@ def contaminated(
     A text of fewer words than an item is compared as a whole. Null, empty and wordless texts
     repeat nothing, and such items are repeated by nothing. Null
     ids stay null. Equal items each have their row, and so have repeated document rows. The
-    benchmark is read in passes of ``PASS_ITEMS`` items; each pass scans the documents once.
+    benchmark is read in passes of ``PASS_BYTES``, some 60,000 items of 200 bytes; each pass scans
+    the documents once.
     """
     slim = docs.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text"))
     found = None
@@ -249,10 +275,11 @@ def contaminated(
 
 
 def _passes(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator:
-    """Broadcast lookups of ``PASS_ITEMS`` items or so each; one, without items, of nothing."""
+    """Broadcast lookups of ``PASS_BYTES`` or so each; one, without items, of nothing."""
     text = F.coalesce(quoted(item_text).cast("string"), F.lit(""))
     items = benchmark.select(quoted(item_id).cast("long").alias("item_id"), text.alias("text"))
-    passes = max(1, -(-items.count() // PASS_ITEMS))
+    size = items.agg(F.sum(F.octet_length("text") + ITEM_BYTES)).first()[0] or 0
+    passes = max(1, -(-size // PASS_BYTES))
     for k in range(passes):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k).collect()
         held = Benchmark([row[0] for row in rows], [row[1] for row in rows])

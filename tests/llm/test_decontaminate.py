@@ -112,15 +112,48 @@ def test_texts_shorter_than_an_item(spark, tables):
 def test_several_passes_are_one(tables, monkeypatch):
     docs, bench = tables
     whole = sorted(map(str, dc.contaminated(docs, bench).collect()))
-    monkeypatch.setattr(dc, "PASS_ITEMS", 3)
+    monkeypatch.setattr(dc, "PASS_BYTES", 400)
+    assert len(list(dc._passes(bench, "item_id", "text"))) > 3
     assert sorted(map(str, dc.contaminated(docs, bench).collect())) == whole
     kept = dc.without_contaminated(docs, bench)
     assert kept.columns == docs.columns
 
 
-def test_index_finds_all_within_radius():
+def test_fifty_thousand_items_take_one_scan(spark):
+    draw = np.random.default_rng(6)
+    words = np.array([f"{a}{b}" for a in WORDS for b in WORDS])
+    items = [" ".join(draw.choice(words, 12 + k % 25)) for k in range(50_000)]
+    planted, texts = {}, []
+    for k in range(300):
+        at = int(draw.integers(len(items)))
+        own = items[at].split()
+        if k % 2:
+            own[0] = "other"
+        texts.append(" ".join([*draw.choice(words, 40), *own, *draw.choice(words, 40)]))
+        planted[k] = at
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert len(list(dc._passes(bench, "item_id", "text"))) == 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in dc.contaminated(docs, bench).collect()}
+    asked = set(planted.values())
+    holds = {}
+    for at in asked:
+        for shingle in bag(items[at].split()):
+            holds.setdefault(shingle, set()).add(at)
+    want = {}
+    for doc_id, text in enumerate(texts):
+        for at in set().union(*(holds.get(s, ()) for s in bag(text.split()))):
+            alike = best(text, items[at])
+            if alike >= 0.8:
+                want[doc_id, at] = round(alike, 9)
+    assert {pair: s for pair, s in found.items() if pair[1] in asked} == want
+    assert set(want) >= {(k, at) for k, at in planted.items() if len(items[at].split()) >= 14 or not k % 2}
+
+
+@pytest.mark.parametrize("count", [300, 20_000])
+def test_index_finds_all_within_radius(count):
     draw = np.random.default_rng(1)
-    prints = draw.integers(0, 2**64, 300, np.uint64)
+    prints = draw.integers(0, 2**64, count, np.uint64)
     queries = []
     for k in range(200):
         flips = draw.choice(64, k % 24, replace=False)
