@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import audits
+from ..operators import audits, repeats
 from ..operators import reviews as rev
 from ..operators import titles as tit
 from ..plans.reviews import reviews_clean as clean
@@ -81,20 +81,35 @@ def mean_column(spark, sf_dir):
     return views.reviews(spark, sf_dir).agg(snap(F.avg("rating")).alias("rating"))
 
 
-@query(
-    f"""WITH {views.REVIEWS_SQL}
+REVIEW_KEYS = ["user_id", "timestamp"]
+EXCESS_SQL = f"""WITH {views.REVIEWS_SQL}
     SELECT count(*) - count(DISTINCT concat(user_id, timestamp)) AS duplicate_excess FROM reviews"""
-)
+DUPS_SQL = f"""WITH {views.REVIEWS_SQL} SELECT user_id, timestamp, count(*) AS rows
+    FROM reviews GROUP BY user_id, timestamp HAVING count(*) > 1"""
+
+
+@query(EXCESS_SQL)
 def duplicate_excess(spark, sf_dir):
-    return audits.duplicate_excess(views.reviews(spark, sf_dir), ["user_id", "timestamp"])
+    return audits.duplicate_excess(views.reviews(spark, sf_dir), REVIEW_KEYS)
 
 
-@query(
-    f"""WITH {views.REVIEWS_SQL} SELECT user_id, timestamp, count(*) AS rows
-    FROM reviews GROUP BY user_id, timestamp HAVING count(*) > 1"""
-)
+@query(EXCESS_SQL)
+def duplicate_excess_filtered(spark, sf_dir):
+    """The same from rows that Bloom filters leave."""
+    left = repeats.possible_repeats(views.reviews(spark, sf_dir), [audits.joined_key(REVIEW_KEYS)])
+    return audits.duplicate_excess(left, REVIEW_KEYS)
+
+
+@query(DUPS_SQL)
 def having_dups(spark, sf_dir):
-    return audits.having_dups(views.reviews(spark, sf_dir), ["user_id", "timestamp"])
+    return audits.having_dups(views.reviews(spark, sf_dir), REVIEW_KEYS)
+
+
+@query(DUPS_SQL)
+def having_dups_filtered(spark, sf_dir):
+    """The same from rows that Bloom filters leave."""
+    left = repeats.possible_repeats(views.reviews(spark, sf_dir), REVIEW_KEYS)
+    return audits.having_dups(left, REVIEW_KEYS)
 
 
 AUDIT_COLUMNS = ["rating", "title", "text", "asin", "user_id", "timestamp"]
@@ -105,17 +120,20 @@ FROM reviews s JOIN base b ON s.user_id = b.user_id AND s.timestamp = b.timestam
 ORDER BY glued_key, rating, s.text, asin, title NULLS FIRST LIMIT 1000"""
 
 
-def _audit(spark, sf_dir):
-    return audits.dup_audit(
-        views.reviews(spark, sf_dir).select(*AUDIT_COLUMNS),
-        ["user_id", "timestamp"],
-        tie_break=["rating", "text", "asin", "title"],
-    )
+def _audit(rows):
+    return audits.dup_audit(rows, REVIEW_KEYS, tie_break=["rating", "text", "asin", "title"])
 
 
 @query(AUDIT_SQL)
 def dup_audit_join(spark, sf_dir):
-    return _audit(spark, sf_dir)
+    return _audit(views.reviews(spark, sf_dir).select(*AUDIT_COLUMNS))
+
+
+@query(AUDIT_SQL)
+def dup_audit_filtered(spark, sf_dir):
+    """The same from rows that Bloom filters leave."""
+    rows = views.reviews(spark, sf_dir).select(*AUDIT_COLUMNS)
+    return _audit(repeats.possible_repeats(rows, REVIEW_KEYS))
 
 
 @query(

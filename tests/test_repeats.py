@@ -1,0 +1,91 @@
+"""Duplicate audits over the rows that Bloom filters leave."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tableworks.operators import audits, repeats
+
+KEYS = ["user", "at"]
+
+
+def written(spark, action):
+    """Bytes that ``action`` writes to shuffles."""
+    context = spark.sparkContext._jsc.sc()
+
+    def total():
+        context.listenerBus().waitUntilEmpty()
+        held = context.statusStore().executorList(True)
+        return sum(held.apply(k).totalShuffleWrite() for k in range(held.size()))
+
+    before = total()
+    action()
+    return total() - before
+
+
+def sorted_rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    """Unique keys, repeated ones in one and in several tasks, a hot one, nulls on either side."""
+    rows = [(f"u{k}", k, float(k)) for k in range(3000)]
+    rows += [(f"u{k}", k, -1.0) for k in range(0, 3000, 70)]
+    rows += [("hot", 1, float(k)) for k in range(1500)]
+    rows += [(None, 5, 1.0), (None, 5, 2.0), (None, None, 3.0), (None, None, 3.0), ("n", None, 1.0), (None, 6, 0.0)]
+    return spark.createDataFrame(rows, "user string, at long, value double").repartition(7)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 16, 1 << 27])
+def test_audits_are_the_same_over_what_stays(mixed, bits):
+    left = repeats.possible_repeats(mixed, KEYS, bits)
+    assert sorted_rows(audits.having_dups(left, KEYS)) == sorted_rows(audits.having_dups(mixed, KEYS))
+    every = audits.dup_audit(mixed, KEYS, tie_break=["value"], limit=10_000)
+    assert audits.dup_audit(left, KEYS, tie_break=["value"], limit=10_000).collect() == every.collect()
+    glued = repeats.possible_repeats(mixed, [audits.joined_key(KEYS)], bits)
+    assert audits.duplicate_excess(glued, KEYS).collect() == audits.duplicate_excess(mixed, KEYS).collect()
+
+
+def test_few_other_rows_stay(mixed):
+    repeated = audits.having_dups(mixed, KEYS).agg(F.sum("rows")).first()[0]
+    assert repeats.possible_repeats(mixed, KEYS).count() == repeated
+    # About ten bits a key: 3 % of the unique ones.
+    assert repeats.possible_repeats(mixed, KEYS, 1 << 15).count() < repeated + 0.06 * 3000
+
+
+def test_a_crowded_filter_is_not_asked(mixed):
+    assert repeats.possible_repeats(mixed, KEYS, 64).count() == mixed.count()
+    assert "ArrowEvalPython" not in repeats.possible_repeats(mixed, KEYS, 64)._jdf.queryExecution().toString()
+
+
+def test_no_rows_and_no_repeats(spark, mixed):
+    assert repeats.possible_repeats(mixed.where("false"), KEYS).count() == 0
+    assert repeats.possible_repeats(spark.range(500), ["id"]).count() == 0
+
+
+def test_bits_are_a_power_of_two(mixed):
+    with pytest.raises(ValueError, match="power of two"):
+        repeats.repeat_filter(mixed, KEYS, 1000)
+
+
+def test_bits_set_twice_whatever_the_tasks(spark):
+    def bits(parts):
+        df = spark.range(0, 2000, 1, parts).select((F.col("id") % 1500).alias("key"))
+        return repeats.repeat_filter(df, ["key"], 1 << 16)
+
+    assert np.array_equal(bits(1), bits(9)) and bits(4).any()
+
+
+def test_fewer_bytes_are_shuffled(spark):
+    """A table of which 1 % of the rows repeat: both shuffles of the filter included."""
+    ids = spark.range(0, 400_000, 1, 8).withColumn("n", F.col("id") - F.when(F.col("id") % 200 == 100, 100).otherwise(0))
+    table = ids.select(F.sha2(F.col("n").cast("string"), 256).alias("key"))
+    found = {}
+    plain = written(spark, lambda: found.update(plain=audits.having_dups(table, ["key"]).count()))
+    slim = written(
+        spark, lambda: found.update(slim=audits.having_dups(repeats.possible_repeats(table, ["key"]), ["key"]).count())
+    )
+    assert found == {"plain": 2000, "slim": 2000}
+    print(f"{plain} bytes shuffled without the filter, {slim} with it")
+    assert slim < plain / 5
