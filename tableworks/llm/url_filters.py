@@ -2,9 +2,12 @@
 
 Everything here is DataFrame functions and Spark's own tree learner. Features of a URL are its
 lengths, depth, digit ratio, character entropy, parameter counts, and statistics of its host's
-suffix: how many URLs share it and how many labelled ones are blocked. The suffix statistics come
-from one half of the labelled URLs and the trees from the other half, so that no label leaks into
-its own features.
+suffix: how many URLs share it and how many labelled ones are blocked.
+
+No label gets into its own features. Where a label column is given, the suffix statistics come from
+the sites of one half and the trees from the other half. Where the rules are the labels, a domain's
+URLs say nothing of the domain but what its rules say anyway, so the blocked shares leave the URL's
+own domain out: what the trees learn has to hold beyond it.
 """
 
 from __future__ import annotations
@@ -130,18 +133,35 @@ def suffix(host: Column, labels: int) -> Column:
     return F.array_join(F.slice(parts, first, labels), ".")
 
 
-def _suffix_table(pages: DataFrame, key: str) -> DataFrame:
-    """URLs of each suffix, and the blocked share of its labelled ones in the first half."""
-    taught = F.col("_label").isNotNull() & ~F.col("_second")
-    counts = pages.groupBy(key).agg(
+def suffix_statistics(pages: DataFrame, own_left_out: bool) -> DataFrame:
+    """``_domain`` (the last two labels of a host) and ``SUFFIX``, a stored row per domain.
+
+    Counts are of all URLs; blocked shares are of the labelled ones in the first half, or, with
+    ``own_left_out``, of all labelled ones outside the domain: none for the domain itself. A suffix
+    is added up from its domains, so that no row of ``pages`` is shuffled by it.
+    """
+    taught = F.col("_label").isNotNull() & (F.lit(own_left_out) | ~F.col("_second"))
+    counts = pages.groupBy("_domain").agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(taught, 1)).alias("known"),
         F.count(F.when(taught & (F.col("_label") == 1.0), 1)).alias("blocked"),
     )
-    name = key.strip("_")
-    rate = (F.col("blocked") + PRIOR / 2) / (F.col("known") + PRIOR)
-    return counts.select(
-        F.col(key), F.log1p("n").alias(f"{name}_count"), rate.alias(f"{name}_blocked")
+    domains = stored(counts.withColumn("_suffix", F.substring_index("_domain", ".", -1)), "domains")
+    sums = [F.sum(name).alias(f"all_{name}") for name in ("n", "known", "blocked")]
+    suffixes = stored(domains.groupBy("_suffix").agg(*sums), "suffixes")
+
+    def share(blocked: Column, known: Column) -> Column:
+        return (blocked + PRIOR / 2) / (known + PRIOR)
+
+    if own_left_out:
+        above = share(F.col("all_blocked") - F.col("blocked"), F.col("all_known") - F.col("known"))
+        own = share(F.lit(0), F.lit(0))
+    else:
+        above, own = share(F.col("all_blocked"), F.col("all_known")), share(F.col("blocked"), F.col("known"))
+    values = (F.log1p("all_n"), above, F.log1p("n"), own)
+    return stored(
+        domains.join(suffixes, "_suffix").select("_domain", *[v.alias(k) for k, v in zip(SUFFIX, values, strict=True)]),
+        "suffix-statistics",
     )
 
 
@@ -186,15 +206,13 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", label: str
             "_label": known,
             # Halves by site, so that one site's pages are all in the same.
             "_second": F.pmod(F.xxhash64("_host"), F.lit(2)) == 1,
-            "_suffix": suffix(F.col("_host"), 1),
             "_domain": suffix(F.col("_host"), 2),
             **lexical(F.col("_url"), F.col("_host"), F.col("_path")),
         }
     )
-    full = marked
-    for key in ("_suffix", "_domain"):
-        full = full.join(_suffix_table(marked, key), key)
-    model = train(full.where(F.col("_label").isNotNull() & F.col("_second")))
+    own_left_out = label is None
+    full = marked.join(suffix_statistics(marked, own_left_out), "_domain")
+    model = train(full.where(F.col("_label").isNotNull() & (F.lit(own_left_out) | F.col("_second"))))
     if isinstance(model, float):
         scored = full.withColumn("_score", F.lit(model))
     else:

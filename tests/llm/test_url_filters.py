@@ -61,6 +61,39 @@ def test_lexical_features(pages):
         assert row["depth"] == len([p for p in parts(url)[1].split("/") if p])
 
 
+@pytest.mark.parametrize("own_left_out", [False, True])
+def test_suffix_statistics(spark, own_left_out):
+    hosts = [f"h{k % 5}.site{k % 7}.{('com', 'net')[k % 2]}" for k in range(90)] + ["localhost", "", "a.", "www.site1.net"]
+    rows = [(h, [None, 0.0, 1.0][k % 3], k % 4 < 2) for k, h in enumerate(hosts)]
+    pages = spark.createDataFrame(rows, "_host string, _label double, _second boolean")
+    found = uf.suffix_statistics(pages.withColumn("_domain", uf.suffix(F.col("_host"), 2)), own_left_out)
+    held = {r["_domain"]: r for r in found.collect()}
+
+    def domain(host):
+        return ".".join(host.split(".")[-2:])
+
+    assert set(held) == set(map(domain, hosts))
+    for name, got in held.items():
+        same = [r for r in rows if r[0].split(".")[-1] == name.split(".")[-1]]
+        own = [r for r in rows if domain(r[0]) == name]
+        if own_left_out:
+            taught = [[r for r in same if domain(r[0]) != name], []]
+        else:
+            taught = [[r for r in part if not r[2]] for part in (same, own)]
+        shares = [
+            (sum(r[1] == 1 for r in part) + uf.PRIOR / 2) / (sum(r[1] is not None for r in part) + uf.PRIOR)
+            for part in taught
+        ]
+        want = [math.log1p(len(same)), shares[0], math.log1p(len(own)), shares[1]]
+        assert [got[k] for k in uf.SUFFIX] == pytest.approx(want)
+
+
+def test_rows_are_joined_by_domain_alone(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    plan = uf.judge_urls(pages, RULES)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
 def test_learns_from_labels(spark):
     good = [f"https://site{k % 40}.example.com/page/{k}" for k in range(400)]
     bad = [f"http://x{k % 40}-win-{k}999.example.com/a/b/c/d/{k}?id={k}&s={k}&t=1" for k in range(400)]
