@@ -29,8 +29,11 @@ SHINGLE, SEED = 3, 42
 #: Fingerprints link up to this many differing bits.
 RADIUS = 3
 
-#: Fingerprints aimed at in a shard, most shards, and most sampled fingerprints per shard.
+#: Fingerprints aimed at in a shard, most shards of the first tree, and most sampled fingerprints per
+#: shard. With more fingerprints every shard of the first tree is split again by a tree of its own.
 SHARD_SIZE, MAX_SHARDS, SAMPLE_PER_SHARD = 8192, 1 << 14, 64
+#: Most partitions of the second shards.
+MAX_PARTS = 1 << 16
 #: Below this a leaf is compared directly; vantage points tried at each split.
 LEAF_SIZE, VANTAGES = 512, 6
 #: Leaves that no vantage point splits and that hold more than this probe by flipped bits.
@@ -233,14 +236,15 @@ def star_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     ``prints`` has distinct, non-null ``fingerprint_bits`` and is read twice: store it first.
     """
     spark = prints.sparkSession
+    size, sampled = SHARD_SIZE, SAMPLE_PER_SHARD
     total = prints.count()
-    shards = min(MAX_SHARDS, max(1, total // SHARD_SIZE))
-    wanted = shards * SAMPLE_PER_SHARD if shards > 1 else 0
+    shards = min(MAX_SHARDS, max(1, total // size))
+    wanted = shards * sampled if shards > 1 else 0
     share = F.pmod(F.xxhash64("fingerprint_bits", F.lit(7)), F.lit(max(total, 1))) < wanted
     # About MAX_SHARDS * SAMPLE_PER_SHARD fingerprints at most, 8 MB.
     sample = prints.where(share).select("fingerprint_bits").toArrow().column(0)
     bits = sample.to_numpy().astype(np.int64).view(np.uint64)
-    tree = spark.sparkContext.broadcast(VantageTree(bits, SAMPLE_PER_SHARD, radius))
+    tree = spark.sparkContext.broadcast(VantageTree(bits, sampled, radius))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,6 +254,14 @@ def star_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
                 [pa.array(shard), pa.array(point.view(np.int64))], ["shard", "point"]
             )
 
+    def deal_again(shard: pa.Table) -> pa.Table:
+        points = np.unique(shard.column("point").to_numpy().view(np.uint64))
+        # Sorted points at even steps are as good as drawn ones: distances look at all bits.
+        some = points[:: max(1, size // sampled)]
+        part, point = VantageTree(some, sampled, radius).deal(points)
+        first = np.full(len(part), shard.column("shard")[0].as_py())
+        return pa.table({"shard": first, "part": part, "point": point.view(np.int64)})
+
     def link(shard: pa.Table) -> pa.Table:
         points = shard.column("point").to_numpy().view(np.uint64)
         a, b = local_stars(points, radius)
@@ -258,7 +270,12 @@ def star_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     dealt = prints.select("fingerprint_bits").mapInArrow(deal, "shard long, point long")
     # The rows are few bytes and much work: a number given here is not coalesced.
     dealt = dealt.repartition(tree.value.shards, "shard")
-    return dealt.groupBy("shard").applyInArrow(link, "a long, b long").distinct()
+    keys = ["shard"]
+    if total > size * MAX_SHARDS:
+        keys.append("part")
+        dealt = dealt.groupBy("shard").applyInArrow(deal_again, "shard long, part long, point long")
+        dealt = dealt.repartition(min(MAX_PARTS, total // size), *keys)
+    return dealt.groupBy(*keys).applyInArrow(link, "a long, b long").distinct()
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:

@@ -84,9 +84,22 @@ def test_no_links(spark):
     assert nc.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("shard", [8192, 40])
-def test_near_copies_as_brute_force(documents, monkeypatch, shard):
+def test_shards_that_are_split_again(spark, monkeypatch):
+    for name, value in (("SHARD_SIZE", 50), ("MAX_SHARDS", 3), ("SAMPLE_PER_SHARD", 8), ("LEAF_SIZE", 16)):
+        monkeypatch.setattr(nc, name, value)
+    points = clustered(900, 5)
+    signed = [(p - 2**64 if p >= 2**63 else p,) for p in points]
+    links = nc.star_links(spark.createDataFrame(signed, "fingerprint_bits long"))
+    assert "part" in links._jdf.queryExecution().toString()
+    found = [(r["a"] % 2**64, r["b"] % 2**64) for r in links.collect()]
+    assert roots(points, found) == [points[k] for k in brute.groups(points)]
+    assert len(found) > 100
+
+
+@pytest.mark.parametrize("shard,most", [(8192, 1 << 14), (40, 1 << 14), (40, 2)])
+def test_near_copies_as_brute_force(documents, monkeypatch, shard, most):
     monkeypatch.setattr(nc, "SHARD_SIZE", shard)
+    monkeypatch.setattr(nc, "MAX_SHARDS", most)
     monkeypatch.setattr(nc, "SAMPLE_PER_SHARD", 8 if shard == 40 else 64)
     rows = documents.orderBy("doc_id").collect()
     groups = brute.groups([brute.fingerprint(row["text"]) for row in rows])
