@@ -269,7 +269,7 @@ def slow_stochastic(spark, sf_dir):
     return snapped(positions.select("ticker", "trade_date", *STOCHASTIC), STOCHASTIC)
 
 
-AVERAGES = {"sma_90": 3, "sma_90_distance": 6}
+AVERAGES = {"sma_90": 6, "sma_90_distance": 6}
 
 
 def averages_sql(source: str) -> str:
@@ -324,34 +324,34 @@ def rolling_collect(spark, sf_dir):
 
 @query(
     f"""{RETURNS_SQL}, {samples_sql("total_volume", 20, "returns")}
-    SELECT ticker, trade_date, {snap_sql("median", 2)} AS volume_median,
-           {snap_sql("mad", 2)} AS volume_mad FROM d"""
+    SELECT ticker, trade_date, {snap_sql("median", 4)} AS volume_median,
+           {snap_sql("mad", 4)} AS volume_mad FROM d"""
 )
 def rolling_median_mad(spark, sf_dir):
     measured = ind.rolling_median_mad(
         sessions(spark, sf_dir), value="total_volume", rows=20, prefix="volume"
     ).select("ticker", "trade_date", "volume_median", "volume_mad")
-    return snapped(measured, {"volume_median": 2, "volume_mad": 2})
+    return snapped(measured, {"volume_median": 4, "volume_mad": 4})
 
 
 @query(
     f"""{RETURNS_SQL}, {samples_sql("total_volume", 500, "returns")}
-    SELECT ticker, trade_date, {snap_sql("median", 2)} AS volume_median,
-           {snap_sql("mad", 2)} AS volume_mad FROM d"""
+    SELECT ticker, trade_date, {snap_sql("median", 4)} AS volume_median,
+           {snap_sql("mad", 4)} AS volume_mad FROM d"""
 )
 def rolling_median_wide(spark, sf_dir):
     """Frames of 500 sessions, searched by ranks."""
     measured = ind.rolling_median_mad(
         sessions(spark, sf_dir), value="total_volume", rows=500, prefix="volume"
     ).select("ticker", "trade_date", "volume_median", "volume_mad")
-    return snapped(measured, {"volume_median": 2, "volume_mad": 2})
+    return snapped(measured, {"volume_median": 4, "volume_mad": 4})
 
 
 VOLUME = {
     "log_volume": 6,
-    "volume_median_20": 2,
+    "volume_median_20": 4,
     "volume_ratio": 6,
-    "volume_mad_20": 2,
+    "volume_mad_20": 4,
     "volume_zscore_20": 5,
 }
 
