@@ -171,12 +171,24 @@ _GOES_ON = re.compile(r"(?:%s)[A-Za-z0-9]" % _DOT.pattern, re.I)
 _LED_ON = re.compile(r"[A-Za-z0-9](?:%s)\Z" % _DOT.pattern, re.I)
 _NAME = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\Z")
+_SPELT_DOT = re.compile(r"[\[({<]\s*dot\s*[\])}>]|\sdot\s", re.I)
+# Endings of hosts that are hardly ever words of a text.
+ENDINGS = frozenset(
+    "com org net edu gov mil int info biz de fr es uk eu ch nl se dk fi pl cz hu pt gr ru ua cn jp kr tw au nz ca br mx ar cl"
+    .split()
+)
 
 
 def _plain(separators: str) -> bool:
     return len(separators) < 2 or separators in (" +", " -", "-.", " .")
 
 
+def _ending(host: str) -> str:
+    """A kind of ending, not the ending itself: training texts may know only one."""
+    last = host.rsplit(".", 1)[1].lower()
+    return "listed" if last in ENDINGS else "two letters" if len(last) == 2 else "other"
+
+
 def features(stretch: Stretch, i: int, j: int) -> list[str]:
     """What a whole segment looks like."""
     text = stretch.text[stretch.starts[i] : stretch.ends[j - 1]]
@@ -197,7 +209,9 @@ def features(stretch: Stretch, i: int, j: int) -> list[str]:
                 # How the whole is spelt tells more than which marks that takes.
                 found = [name for name in found if not name.startswith(("sep=", "plain", "long"))]
                 at_form = re.sub(r"\s+", " ", _AT.search(text).group().lower())
-                found += ["name at host", "at=" + at_form, "ending=" + host.rsplit(".", 1)[1].lower()]
+                found += ["name at host", "at=" + at_form, "ending=" + _ending(host)]
+                if _SPELT_DOT.search(parts[1]):
+                    found.append("dot spelt")
                 if _GOES_ON.match(stretch.text, stretch.ends[j - 1]):
                     found.append("host goes on")
                 if _LED_ON.search(stretch.text[max(0, stretch.starts[i] - 8) : stretch.starts[i]]):
