@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tableworks.llm import near_copies as nc
 from tableworks.llm import similar_texts as st
 
 from . import brute
@@ -95,3 +96,32 @@ def test_a_large_group_of_near_copies(spark):
         F.col("id").alias("doc_id"), F.concat(F.lit(" ".join(words) + " "), F.col("id").cast("string")).alias("text")
     )
     assert [r["doc_id"] for r in st.one_of_similar(docs).collect()] == [0]
+
+
+def test_texts_meet_in_the_trees_of_near_copies(spark, monkeypatch):
+    """The operator's own fingerprints make candidates, without any sample; similarity decides."""
+    called = []
+    monkeypatch.setattr(st, "near_copies", lambda *a: called.append(a) or nc.near_copies(*a))
+    begun = [" ".join(f"w{k}" for k in range(size)) for size in range(200, 300)]
+    bits = [nc.fingerprint(text.encode()) for text in begun]
+    base, near = next(
+        begun[k : k + 2] for k in range(99) if 0 < (bits[k] ^ bits[k + 1]).bit_count() <= nc.RADIUS
+    )
+    other = " ".join(f"v{k}" for k in range(400))
+    texts = [base, near, other, other.upper(), None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    marked = st.with_text_columns(docs.select(st._key("text"), "text"), "text", st._marks, "node long, prints array<bigint>")
+    marked = marked.withColumn("prints", F.slice("prints", 1, 0)).cache()
+    node = {r["text"]: r["node"] for r in marked.collect()}
+    found = st.similar_links(docs, marked, "text").collect()
+    assert [(r["a"], r["b"]) for r in found] == [tuple(sorted((node[base], node[near]), reverse=True))]
+    assert len(called) == 1
+
+
+def test_samples_meet_in_trees(spark):
+    far = [1 << 60, 2**40 - 1, -1]
+    rows = [(n, n, [p]) for n, p in enumerate([5, 5, 4, *far])]
+    met = st.met_sampled(spark.createDataFrame(rows, "key long, node long, prints array<bigint>"))
+    pairs = sorted(tuple(r) for r in st.candidate_pairs(met).collect())
+    # Equal ones, and those that differ in one bit.
+    assert pairs == [(1, 0), (2, 0), (2, 1)]
