@@ -41,7 +41,9 @@ def count_distinct_many(spark, sf_dir):
 )
 def count_distinct_merged(spark, sf_dir):
     """The counts over all days from bitmaps that are stored by day."""
-    shopping = views.shopping(spark, sf_dir)
+    # Stored, so that the tables are joined once and not for every column.
+    shopping = views.shopping(spark, sf_dir).select("order_purchase_timestamp", *COUNTED)
+    shopping = stored(shopping, "shopping")
     counts = shopping.agg(F.count("*").alias("total"))
     for column in COUNTED:
         # One row each.
@@ -51,7 +53,7 @@ def count_distinct_merged(spark, sf_dir):
 
 def daily_bitmaps(shopping, column: str):
     dated = shopping.select(F.col("order_purchase_timestamp").cast("date").alias("day"), column)
-    values = bitmaps.number_values(dated, column)
+    values = bitmaps.number_values(dated, column, along="day")
     return stored(bitmaps.bitmaps_by(dated, ["day"], column, values), "bitmaps")
 
 

@@ -17,14 +17,22 @@ from ..session import stored
 _TASK_NUMBERS = 1 << 33
 
 
-def number_values(df: DataFrame, column: str, known: DataFrame | None = None) -> DataFrame:
+def number_values(
+    df: DataFrame, column: str, known: DataFrame | None = None, *, along: str | None = None
+) -> DataFrame:
     """The dictionary of ``column``: (value, number), stored. Nulls have no number.
 
     Each task numbers its own values without gaps, so bitmaps stay dense. With ``known``, an earlier
     dictionary, its numbers stay and only values that it lacks are numbered, above all of its own:
-    bitmaps made with it remain valid.
+    bitmaps made with it remain valid. Unless some are
+    known, a task numbers its values in the order of their least ``along``, the period: values that begin
+    together share blocks, and a period has fewer of them.
     """
-    values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
+    held = df.where(F.col(column).isNotNull())
+    values = held.select(F.col(column).alias("value")).distinct()
+    if along is not None:
+        firsts = held.groupBy(F.col(column).alias("value")).agg(F.min(along).alias("_first"))
+        values = firsts.sortWithinPartitions("_first").select("value")
     if known is None:
         return stored(values.withColumn("number", F.monotonically_increasing_id()), "dictionary")
     last = known.agg(F.max("number")).first()[0]
@@ -50,6 +58,8 @@ def bitmaps_by(df: DataFrame, keys: Sequence[str], column: str, dictionary: Data
             F.bitmap_bucket_number(number).alias("block"),
             F.bitmap_bit_position(number).alias("bit"),
         )
+        # Places of bits travel, not blocks: a task has few bits of most blocks.
+        .repartition(*keys, "block")
         .groupBy(*keys, "block")
         .agg(F.bitmap_construct_agg("bit").alias("bits"))
     )

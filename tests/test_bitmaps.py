@@ -75,3 +75,26 @@ def test_empty_tables_and_unknown_values(spark, rows):
     some = bitmaps.number_values(rows.where("day < 1"), "v")
     with pytest.raises(Exception, match="lacks a value"):
         bitmaps.bitmaps_by(rows, ["day"], "v", some).collect()
+
+
+def test_bits_travel_instead_of_blocks(spark):
+    """A block of a period is made where its bits meet: no partial block is shuffled."""
+    df = spark.range(0, 100, 1, 4).select((F.col("id") % 50).alias("day"), F.col("id").alias("v"))
+    days = bitmaps.bitmaps_by(df, ["day"], "v", bitmaps.number_values(df, "v"))
+    last = days._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+    assert "partial_bitmap_construct_agg" in last
+    assert found(bitmaps.count_bits(days)) == [(100,)]
+
+
+def test_values_of_a_period_share_blocks(spark):
+    """Every value has one day: a day has few blocks, not a bit in each of them."""
+    df = spark.range(0, 400_000, 1, 4).select(F.expr("CAST(xxhash64(id) % 40 AS INT)").alias("day"), F.col("id").alias("v"))
+    numbered = bitmaps.number_values(df, "v", along="day")
+    parts = numbered.select(F.shiftright("number", 33)).distinct().count()
+    days = bitmaps.bitmaps_by(df, ["day"], "v", numbered).cache()
+    every = df.select("day").distinct().count()
+    blocks = days.select("block").distinct().count()
+    assert days.count() <= parts * every + blocks
+    assert found(bitmaps.count_bits(days, ["day"])) == counts(df, "day")
+    plain = bitmaps.bitmaps_by(df, ["day"], "v", bitmaps.number_values(df, "v"))
+    assert days.count() < plain.count()
