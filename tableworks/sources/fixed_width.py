@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from enum import Enum
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,27 +138,23 @@ def read_fixed_width(
     line = F.col("value")
     if dict(lines.dtypes)["value"] == "string":
         line = F.encode(line, ENCODING)
-    wrong = []
+    fields = []
     for name, start, end, kind in layout:
         raw = F.substring("_line", start, end - start + 1)
-        if kind is Field.DATE:
-            wrong.append(F.when(reader.read(raw, kind).isNull(), name))
-        elif kind is not Field.TEXT:
-            # A cast would forgive blanks and control bytes around the digits.
-            right = F.rlike(raw.cast("string"), F.lit("^-?[0-9]+$")) & reader.whole(raw).isNotNull()
-            wrong.append(F.when(~right, name))
+        if kind in (Field.INT, Field.PRICE):
+            # A cast alone would forgive blanks and control bytes around the digits.
+            right = F.rlike(raw.cast("string"), F.lit("^-?[0-9]+$"))
+            raw = F.when(right, raw)
+        fields.append(reader.read(raw, kind).alias(name))
+    # Each field is read once: the reason looks at what was read, not at the bytes again.
+    wrong = [F.when(F.col(name).isNull(), name) for name, _, _, kind in layout if kind is not Field.TEXT]
     short = F.length("_line") < max(end for _, _, end, _ in layout)
-    unread = F.concat_ws(", ", *wrong)
-    reason = F.when(short, "line too short").when(unread != "", F.concat(F.lit("unreadable: "), unread))
-    return (
+    unread = reduce(or_, (mark.isNotNull() for mark in wrong), F.lit(False))
+    named = F.concat(F.lit("unreadable: "), F.concat_ws(", ", *wrong))
+    reason = F.when(short, "line too short").when(unread, named)
+    parsed = (
         lines.withColumn("_line", line)
         .where(F.substring("_line", 1, 2) == F.lit(record_type.encode()))
-        .select(
-            *lines.columns,
-            *[
-                reader.read(F.substring("_line", start, end - start + 1), kind).alias(name)
-                for name, start, end, kind in layout
-            ],
-            reason.alias("reason"),
-        )
+        .select(*lines.columns, "_line", *fields)
     )
+    return parsed.select(*lines.columns, *[name for name, *_ in layout], reason.alias("reason"))

@@ -140,3 +140,12 @@ def test_input_is_read_once(spark):
     checked = rejects.company_documents(df.mapInArrow(seen, df.schema), "d", "c", max_share=0.7)
     checked.good.collect(), checked.rejects.collect()
     assert read.value == len(DOCUMENTS)
+
+
+def test_every_field_is_read_once(spark):
+    """The reason looks at what was read: no date is parsed a second time for it."""
+    lines = spark.range(3).select(F.concat(F.lit("0120010203"), F.col("id").cast("string")).alias("value"))
+    layout = [("day", 3, 10, fixed_width.Field.DATE), ("number", 11, 11, fixed_width.Field.INT)]
+    read = fixed_width.read_fixed_width(lines, layout)
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("yyyyMMdd") == 1
+    assert [(r["day"], r["number"], r["reason"]) for r in read.collect()] == [(dt.date(2001, 2, 3), n, None) for n in range(3)]
