@@ -187,7 +187,8 @@ def _number(column: Column | str, width: int) -> Column:
 
 
 def _price(column: str, width: int = 13) -> Column:
-    return _number(F.round(F.col(column) * 100).cast("long"), width)
+    # Bars have whole cents. Spark's round goes through decimal text for each value.
+    return _number(F.floor(F.col(column) * 100 + 0.5), width)
 
 
 def _text(column: Column | str, width: int) -> Column:

@@ -81,7 +81,8 @@ class _Reader:
         match kind:
             case Field.TEXT:
                 text = F.replace(F.decode(raw, ENCODING), F.lit("\x01"), F.lit(" "))
-                return F.btrim(text, F.lit(_BLANKS))
+                # The padding goes first: trimming a set of characters walks all that is left.
+                return F.btrim(F.rtrim(text), F.lit(_BLANKS))
             case Field.INT:
                 return self.whole(raw)
             case Field.PRICE:
@@ -91,6 +92,17 @@ class _Reader:
         raise ValueError(f"unknown field kind {kind!r}")
 
 
+def _line_bytes(lines: DataFrame) -> Column:
+    """The bytes of ``value``; text is encoded once for each line.
+
+    Merged into the projection of the fields, it would be encoded once for each field. Spark
+    merges nothing over a generator.
+    """
+    if dict(lines.dtypes)["value"] == "string":
+        return F.explode(F.array(F.encode("value", ENCODING)))
+    return F.col("value")
+
+
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files as raw bytes; files are split across tasks."""
     return spark.read.text(path).select(F.col("value").cast("binary").alias("value"))
@@ -108,11 +120,8 @@ def parse_fixed_width(
     Header and trailer lines have another record type in their first two characters.
     """
     reader = _Reader(strict, price_scale)
-    line = F.col("value")
-    if dict(lines.dtypes)["value"] == "string":
-        line = F.encode(line, ENCODING)
     return (
-        lines.select(line.alias("line"))
+        lines.select(_line_bytes(lines).alias("line"))
         .where(F.substring("line", 1, 2) == F.lit(record_type.encode()))
         .select(
             *[
@@ -135,9 +144,6 @@ def read_fixed_width(
     """
     layout = tuple(layout)
     reader = _Reader(False, price_scale)
-    line = F.col("value")
-    if dict(lines.dtypes)["value"] == "string":
-        line = F.encode(line, ENCODING)
     fields = []
     for name, start, end, kind in layout:
         raw = F.substring("_line", start, end - start + 1)
@@ -153,7 +159,7 @@ def read_fixed_width(
     named = F.concat(F.lit("unreadable: "), F.concat_ws(", ", *wrong))
     reason = F.when(short, "line too short").when(unread, named)
     parsed = (
-        lines.withColumn("_line", line)
+        lines.withColumn("_line", _line_bytes(lines))
         .where(F.substring("_line", 1, 2) == F.lit(record_type.encode()))
         .select(*lines.columns, "_line", *fields)
     )

@@ -187,6 +187,25 @@ def test_digits_are_digits_when_strict(spark):
     assert fixed_width.parse_fixed_width(line, layout, strict=False).first()[0] == 12
 
 
+@pytest.mark.parametrize("read", [fixed_width.parse_fixed_width, fixed_width.read_fixed_width])
+def test_text_lines_are_encoded_once(spark, read):
+    """Not once for each field; and text reads as its bytes do, blanks of every kind trimmed."""
+    company = "\t\xa0A\x01\xe7\xa0 \x85  "
+    lines = [(f"01{company:12s}{n:05d}{7 * n:05d}",) for n in range(50)] + [("99",), (None,)]
+    text = spark.createDataFrame(lines, "value string")
+    layout = [
+        ("company", 3, 14, fixed_width.Field.TEXT), ("n", 15, 19, fixed_width.Field.INT),
+        ("m", 20, 24, fixed_width.Field.PRICE),
+    ]
+    parsed = read(text, layout)
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("encode(") == 1
+    names = [name for name, *_ in layout]
+    found = rows(parsed.select(*names))
+    assert found == [("A \xe7", n, 7 * n / 100) for n in range(50)]
+    binary = text.select(F.encode("value", fixed_width.ENCODING).alias("value"))
+    assert rows(read(binary, layout).select(*names)) == found
+
+
 def test_routes(spark):
     cases = {
         "pricing file PPUF_2025Q1.zip": "pricing/Q.parquet",
