@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import asof, audits
+from ..operators import asof, audits, ranks
 from ..operators import events as ev
 from ..operators import indicators as ind
 from ..operators import quotes as q
@@ -484,8 +484,11 @@ def back_adjust(spark, sf_dir):
 
 @query(f"{ADJUSTED_SQL} SELECT * REPLACE ({snapped_sql(ADJUSTED)}) FROM adjusted")
 def back_adjust_asof(spark, sf_dir):
-    events = stored(events_in_force(spark, sf_dir, MIN_TRADES), "events-in-force")
-    return snapped(ev.back_adjust_asof(priced(spark, sf_dir), events), ADJUSTED)
+    # Quotes are read for the events, too, and listed events twice: each is made once.
+    quotes = ranks.numbered_rows(priced(spark, sf_dir), "_number")
+    listed = stored(ev.listed_events(views.corp_events(spark, sf_dir)), "listed")
+    events = ev.all_events(listed, ev.inferred_events(quotes, min_trades=MIN_TRADES))
+    return snapped(ev.back_adjust_asof(quotes, events, number="_number"), ADJUSTED)
 
 
 LISTED_ON_SQL = "SELECT isin_code, last_date_prior, max(multiplier) AS multiplier FROM listed GROUP BY ALL"

@@ -4,7 +4,8 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tableworks.operators import asof
+from tableworks import session
+from tableworks.operators import asof, ranks
 from tableworks.operators import events as ev
 
 
@@ -92,6 +93,53 @@ def test_a_hot_point_is_spread(spark, monkeypatch):
     assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
 
 
+def test_only_large_keys_are_cut(spark, monkeypatch):
+    """Rows of other keys are shuffled once and stored once, rows without a key not shuffled."""
+    kept = {}
+
+    def written(df, name):
+        kept.setdefault(name, []).append(df)
+        return session.stored(df, name)
+
+    for module in (asof, ranks):
+        monkeypatch.setattr(module, "stored", written)
+    left, right, typed = sides(spark, "date")
+    schema = f"k string, s int, p {typed}, n int"
+    own = spark.createDataFrame(left, schema).repartition(3)
+    other = spark.createDataFrame(right, f"k string, s int, q {typed}, v int")
+    options = {"by": ["k", "s"], "on": ("p", "q"), "values": ["v"]}
+    want = nearest(left, right, False, False)
+    got = asof.asof_join(own, other, **options)
+    assert sorted(kept) == ["large-keys", "numbered", "steps"]
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+
+    # Rows that are stored with numbers already are not stored again, and one key is cut.
+    kept.clear()
+    monkeypatch.setattr(ranks, "PART_ROWS", 150)
+    numbered = session.stored(own.withColumn("id", F.monotonically_increasing_id()), "own")
+    got = asof.asof_join(numbered, other, number="id", **options)
+    assert sorted(kept) == ["asof", "large-keys", "steps"]
+    assert got.columns == ["k", "s", "p", "n", "v"]
+    assert sorted(map(tuple, got.collect()), key=repr) == want
+    assert {row["_by_0"] for row in kept["asof"][0].select("_by_0").distinct().collect()} == {"hot"}
+
+
+def test_points_and_keys_of_two_types(spark):
+    """What the left has keeps its type and its value; a key and a point may be all there is."""
+    own = spark.createDataFrame([(2**53 + 1, 5), (7, None), (None, 1)], "k long, p int")
+    other = spark.createDataFrame([(7, 3.0, "x"), (2**53 + 1, 4.5, "y")], "k long, q double, v string")
+    got = asof.asof_join(own, other, by=["k"], on=("p", "q"), values=["v"])
+    assert dict(got.dtypes) == {"k": "bigint", "p": "int", "v": "string"}
+    assert sorted(map(tuple, got.collect()), key=repr) == [
+        (7, None, None), (2**53 + 1, 5, "y"), (None, 1, None),
+    ]
+    same = asof.asof_join(own, other.withColumn("q", F.col("q").cast("int")), by=["k"], on=("p", "q"), values=["v"])
+    assert sorted(map(tuple, same.collect()), key=repr) == [
+        (7, None, None), (2**53 + 1, 5, "y"), (None, 1, None),
+    ]
+
+
 def test_adjustment_with_thousands_of_events(spark):
     """Equal to the join by years; no row is multiplied."""
     rng = random.Random(2)
