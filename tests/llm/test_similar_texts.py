@@ -125,3 +125,40 @@ def test_samples_meet_in_trees(spark):
     pairs = sorted(tuple(r) for r in st.candidate_pairs(met).collect())
     # Equal ones, and those that differ in one bit.
     assert pairs == [(1, 0), (2, 0), (2, 1)]
+
+
+@pytest.mark.parametrize("pivots", [(), (16,)])
+def test_all_pairs_of_a_place_are_compared(spark, monkeypatch, pivots):
+    """Similar texts of one place whose first and last texts are like none of them."""
+    monkeypatch.setattr(st, "PIVOTS", pivots, raising=False)
+    line = [f"c{k}" for k in range(30)]
+    texts = []
+    for group in range(12):
+        own = [f"g{group}w{k}" for k in range(100)]
+        texts += [" ".join([*own, *line]), " ".join([*own, *line, "more"]), " ".join([*own[:80], *line])]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    marked = st.with_text_columns(docs.select(st._key("text"), "text"), "text", st._marks, "node long, prints array<bigint>")
+    marked = marked.withColumn("prints", F.array(F.lit(7).cast("long"))).cache()
+    node = {r["text"]: r["node"] for r in marked.collect()}
+    groups = {r["node"]: r["root"] for r in nc.components(st.similar_links(docs, marked, "text")).collect()}
+    found = [groups.get(node[t], node[t]) for t in texts]
+    wanted = similar_groups(texts)
+    assert len(set(wanted)) == 24
+    assert [found.index(f) for f in found] == wanted
+
+
+def test_no_similar_pair_fails_the_prefix_filter(spark):
+    """Random sets around 0.8, of common and rare shingles, against all pairs."""
+    dice, sets = np.random.default_rng(3), []
+    for base in range(20):
+        whole = np.r_[dice.choice(40, 25, replace=False), 1000 * (base + 1) + np.arange(dice.integers(0, 60))]
+        sets += [whole[dice.random(len(whole)) > dice.choice([0, 0.05, 0.1, 0.2])] for _ in range(6)]
+    sets = [set(map(int, s)) for s in sets] + [{1}, {1, 2}, {2, 1, 3, 4}, {1, 2, 3, 4, 5}, set()]
+    rows = [(n, sorted(s)) for n, s in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "node long, shingles array<bigint>")
+    links = nodes.where("node % 6 = 1").selectExpr("node as a", "node - 1 as b")
+    pairs = {(r["a"], r["b"]) for r in st.sharing_pairs(st.rare_shingles(nodes), links).collect()}
+    apart = [(i, j) for i in range(len(sets)) for j in range(i) if not (i % 6 == 1 and j == i - 1)]
+    similar = {(i, j) for i, j in apart if sets[i] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    assert len(similar) > 100 and similar <= pairs
+    assert len(pairs) < len(apart) / 2 and pairs <= set(apart)
