@@ -554,7 +554,7 @@ SELECT * REPLACE ({snapped_sql(FEATURES)}) FROM features"""
 @query(FEATURES_SQL)
 def stock_features(spark, sf_dir):
     """The flagship: nine steps from raw quotes to 48 columns."""
-    quotes = stored(views.bars(spark, sf_dir), "quotes")
+    quotes = stored(views.bars(spark, sf_dir, in_order=True), "quotes")
     events = views.corp_events(spark, sf_dir)
     return snapped(features(quotes, events, min_trades=MIN_TRADES), FEATURES)
 
@@ -574,7 +574,7 @@ def stock_features_bucketed(spark, sf_dir):
 def stock_features_daily(spark, sf_dir):
     """The same rows from three runs, each from the state of the one before and new sessions."""
     root = scratch_path(spark, "daily-features")
-    quotes = stored(views.bars(spark, sf_dir), "quotes")
+    quotes = stored(views.bars(spark, sf_dir, in_order=True), "quotes")
     events = views.corp_events(spark, sf_dir)
     newest = quotes.agg(F.max("trade_date")).first()[0]
     ends = [newest - timedelta(days=days) for days in (60, 30, 0)]

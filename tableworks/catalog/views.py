@@ -65,36 +65,49 @@ bars AS (
 SPECIFICATIONS = ["DRN PROMO", "ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
-def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bars(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
     """Daily quotes: one row per supplier (as ISIN), era (as ticker) and ship date.
 
-    Texts are built after the aggregation: with numbers only, it stays a hash aggregation.
+    Texts are built after the aggregation: with numbers only, it stays a hash aggregation. Lines
+    are made small before they are shuffled, and dealt out by supplier and year as they are: a
+    supplier has hardly more lines than days, so sums in the tasks before would only widen the
+    rows. ``in_order`` sorts a supplier's days of a year, which makes a stored copy small.
     """
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    kind, big = F.col("p_type"), F.col("l_quantity") > 25
-    specification = (
-        F.when((kind == "PROMO") & big, F.lit("DRN PROMO"))
-        .when((kind == "ECONOMY") & big, F.lit(None))
-        .otherwise(kind)
+    lots = table(spark, sf_dir, "lineitem").select(
+        "l_partkey",
+        "l_suppkey",
+        F.col("l_shipdate").cast("date").alias("trade_date"),
+        cents("l_extendedprice").alias("volume_cents"),
+        F.col("l_quantity").cast("long").alias("shares"),
+        (F.col("l_quantity") > 25).alias("big"),
+        (F.col("l_tax") < 0.08).alias("low_tax"),
     )
     names = F.array(*[F.lit(name) for name in SPECIFICATIONS])
+    kind = F.col("p_type")
+    big_kind = F.when(kind == "PROMO", F.lit("DRN PROMO")).when(kind == "ECONOMY", F.lit(None)).otherwise(kind)
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.array_position(names, kind).alias("small_code"),
+        F.array_position(names, big_kind).alias("big_code"),
+    )
     days = (
-        lines.select(
+        lots.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .select(
             "l_suppkey",
-            F.col("l_shipdate").cast("date").alias("trade_date"),
-            F.array_position(names, specification).alias("specification_code"),
-            cents("l_extendedprice").alias("volume_cents"),
-            F.col("l_quantity").cast("long").alias("shares"),
-            "l_tax",
+            F.year("trade_date").alias("year"),
+            "trade_date",
+            F.when(F.col("big"), F.col("big_code")).otherwise(F.col("small_code")).alias("code"),
+            "volume_cents",
+            "shares",
+            "low_tax",
         )
+        .repartition("l_suppkey", "year")
         .withColumn("price_cents", F.expr("volume_cents div shares"))
-        .groupBy("l_suppkey", "trade_date")
+        .groupBy("l_suppkey", "year", "trade_date")
         .agg(
             F.min("shares").alias("smallest"),
-            F.max("l_tax").alias("highest_tax"),
-            F.min("specification_code").alias("specification_code"),
+            F.bool_and("low_tax").alias("low_tax"),
+            F.min("code").alias("specification_code"),
             F.min("price_cents").alias("low"),
             F.max("price_cents").alias("high"),
             F.count("*").alias("total_trades"),
@@ -102,6 +115,8 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("volume_cents").alias("volume"),
         )
     )
+    if in_order:
+        days = days.sortWithinPartitions("l_suppkey", "trade_date")
     supplier = F.col("l_suppkey").cast("string")
     early = F.col("trade_date") < F.lit("1998-07-01").cast("date")
     return days.select(
@@ -109,9 +124,9 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("I"), supplier, F.when(early, "A").otherwise("B")).alias("ticker"),
         F.concat(F.lit("Empresa Nº "), supplier).alias("company_name"),
         "trade_date",
-        F.year("trade_date").alias("year"),
+        "year",
         F.when(F.col("smallest") >= 3, "010").otherwise("070").alias("market_type"),
-        F.when(F.col("highest_tax") < 0.08, "02").otherwise("96").alias("bdi_code"),
+        F.when(F.col("low_tax"), "02").otherwise("96").alias("bdi_code"),
         F.get(names, F.col("specification_code") - 1).alias("specification"),
         (F.expr("low + (high - low) * (total_quantity % 11) div 10") / 100.0).alias("open_price"),
         (F.col("high") / 100.0).alias("high_price"),

@@ -152,3 +152,28 @@ def test_features_of_bucketed_quotes_need_no_shuffle_on_ticker(spark, stored_quo
         assert places.count() == places.select("ticker").distinct().count()
     finally:
         spark.sql("DROP TABLE bucketed_quotes")
+
+
+def _shuffled(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(place).getName() for place in range(files.size())}
+    return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_stored_copies_leave_no_shuffle_files(spark):
+    rows = spark.range(1000).repartition(7, "id").groupBy(F.col("id") % 3).count()
+    before = _shuffled(spark)
+    copy = session.stored(rows, "copy")
+    assert not _shuffled(spark) - before
+    assert sorted(r[0] for r in copy.collect()) == [0, 1, 2]
+    # The rows can be asked for again, and the session's setting is as it was.
+    assert rows.count() == 3 and spark.conf.get(session._CLEANUP, None) in (None, "false")
+
+
+def test_quotes_in_order_are_the_same_rows(spark):
+    plain, laid = (views.bars(spark, SMALL, in_order=x) for x in (False, True))
+    assert plain.schema == laid.schema
+    assert plain.exceptAll(laid).isEmpty() and laid.exceptAll(plain).isEmpty()
+    # Lines move as they are: no sums of tasks between the two shuffles.
+    plan = laid._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_suppkey" in plan and "trade_date" not in plan.split("hashpartitioning(l_suppkey")[1].split(")")[0]
