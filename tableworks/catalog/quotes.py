@@ -16,7 +16,7 @@ from ..plans import daily
 from ..plans.pipeline import Pipeline, Step, StoredPipeline
 from ..plans.stocks import adjusted_prices
 from ..plans.stocks import stock_features as features
-from ..session import scratch_path, stored
+from ..session import scratch, scratch_path, stored
 from ..sources import tables
 from . import views
 from .registry import query, snap, snap_sql, snapped, snapped_sql
@@ -565,8 +565,9 @@ def stock_features_bucketed(spark, sf_dir):
     path = scratch_path(spark, "quotes-by-ticker")
     table = "quotes_" + path.rsplit("-", 1)[-1]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bars = views.bars(spark, sf_dir)
-    quotes = tables.sink_bucketed(bars, table, path, "ticker", "trade_date", buckets)
+    with scratch(spark):
+        bars = stored(views.bars(spark, sf_dir, in_order=True), "quotes")
+        quotes = tables.sink_bucketed(bars, table, path, "ticker", "trade_date", buckets)
     return snapped(features(quotes, views.corp_events(spark, sf_dir), min_trades=MIN_TRADES), FEATURES)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shuffles_freed
+
 # What a finished table holds at its root. A half-written folder has neither.
 _MARKERS = {"delta": "_delta_log"}
 _PLAIN_MARKER = "_SUCCESS"
@@ -80,7 +82,8 @@ def sink_bucketed(
     spark = df.sparkSession
     dealt = df.repartition(buckets, key).sortWithinPartitions(key, order)
     writer = dealt.write.bucketBy(buckets, key).sortBy(key, order).option("path", path)
-    writer.mode("overwrite").saveAsTable(table)
+    with shuffles_freed(spark):
+        writer.mode("overwrite").saveAsTable(table)
     return spark.table(table)
 
 

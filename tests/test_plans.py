@@ -177,3 +177,11 @@ def test_quotes_in_order_are_the_same_rows(spark):
     # Lines move as they are: no sums of tasks between the two shuffles.
     plan = laid._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(l_suppkey" in plan and "trade_date" not in plan.split("hashpartitioning(l_suppkey")[1].split(")")[0]
+
+
+def test_bucketed_copy_leaves_no_shuffle_files(spark, tmp_path):
+    before = _shuffled(spark)
+    quotes = spark.range(100).select((F.col("id") % 5).cast("string").alias("ticker"), F.col("id").alias("trade_date"))
+    kept = tables.sink_bucketed(quotes, "freed_series", str(tmp_path / "t"), "ticker", "trade_date", 3)
+    assert not _shuffled(spark) - before and kept.count() == 100
+    spark.sql("DROP TABLE freed_series")
