@@ -20,7 +20,7 @@ from ..operators import events as ev
 from ..operators import indicators as ind
 from ..operators.quotes import filter_stocks, normalize_price
 from ..operators.series import rolling_medians, series_window
-from ..session import scratch, stored
+from ..session import scratch, shuffles_freed, stored
 from ..sources import versions
 from . import stocks
 
@@ -84,7 +84,10 @@ def advance(
         as_of, batch = state["meta"].first() if state else (None, -1)
         batch += 1
         quotes = history if state is None else fresh
-        priced = stored(normalize_price(filter_stocks(quotes)), "fresh-quotes")
+        priced = normalize_price(filter_stocks(quotes))
+        if state:
+            # The first run's are the history, which is read as it is.
+            priced = stored(priced, "fresh-quotes")
         known = priced.select(*_LAST)
         met = known if state is None else state["last"].unionByName(known)
         inferred = ev.inferred_events(met, **thresholds)
@@ -109,16 +112,23 @@ def advance(
             pairs = state["pairs"].unionByName(pairs).distinct()
             redo = stored(_to_redo(state, steps, pairs, late, as_of), "redo")
         made = _batch(spark, state, priced, steps, redo, history)
-        made = stored(made, "measured")
 
         shown = [name for name in made.columns if name in _series_columns(priced)]
         target = f"{root}/features/{BATCH}={batch}"
         features = made.where(FRESH).select(*stocks.feature_columns(shown))
-        features.write.mode("overwrite").parquet(target)
+        with shuffles_freed(spark):
+            features.write.mode("overwrite").option("compression", "zstd").parquet(target)
 
+        # The features hold all that the next run has to know of new rows; old ones stay as they are.
         version = versions.new_version(root)
-        kept = _last_rows(made, ind.KEY, stocks.sessions_behind())
-        kept.select(*shown, F.col("obv").alias(CARRIED)).write.parquet(f"{version}/rows")
+        written = spark.read.schema(_schema(features)).parquet(target)
+        kept = written.select(*shown, F.col("obv").alias(CARRIED))
+        if state:
+            behind = state["rows"].join(redo, ind.KEY, "left_anti")
+            kept = kept.unionByName(behind.select(*shown, CARRIED))
+        kept = _last_rows(kept, ind.KEY, stocks.sessions_behind())
+        with shuffles_freed(spark):
+            kept.write.option("compression", "zstd").parquet(f"{version}/rows")
         steps.write.parquet(f"{version}/steps")
         inferred.write.parquet(f"{version}/inferred")
         _last_rows(met, "isin_code", 1).write.parquet(f"{version}/last")
@@ -131,6 +141,8 @@ def advance(
         newest = met.agg(F.max("trade_date").alias("as_of"), F.lit(batch).alias(BATCH))
         newest.write.parquet(f"{version}/meta")
         versions.point_to(spark, root, version)
+        # The state of the last run stays for those who read it now.
+        versions.drop_versions(spark, root, keep=2)
     return spark.read.schema(_schema(features)).parquet(target)
 
 

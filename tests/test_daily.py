@@ -119,3 +119,18 @@ def test_days_without_quotes(spark, quotes, tmp_path):
     daily.advance(spark, root, quotes, none(spark), quotes, min_trades=1)
     assert rows(daily.features(spark, root)) == rows(stock_features(quotes, none(spark), min_trades=1))
     assert os.path.isdir(f"{root}/features/batch=2")
+
+
+def test_measured_rows_are_written_once(spark, quotes, days, tmp_path, monkeypatch):
+    """Features are the only copy of the new rows, and states that nobody reads any more go."""
+    root, names, keep = str(tmp_path / "f"), [], daily.stored
+    monkeypatch.setattr(daily, "stored", lambda df, name: names.append((name, df.columns)) or keep(df, name))
+    options, before = {"min_trades": 10**6}, None
+    for end in days:
+        known = upto(quotes, end)
+        fresh = known if before is None else known.where(F.col("trade_date") > F.lit(before))
+        daily.advance(spark, root, fresh, none(spark), known, **options)
+        before = end
+    assert not [name for name, columns in names if "obv" in columns]
+    assert len(versions.versions(spark, root)) == 2
+    assert rows(daily.features(spark, root)) == rows(stock_features(quotes, none(spark), **options))
